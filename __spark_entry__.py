@@ -70,12 +70,17 @@ def flagged(spark, sf):
     return q.flag_rules(apply_types(raw_trips(spark, sf)), q.trip_rules(LIMITS))
 
 
+def stored_flags(spark, sf):
+    """The flagged rows as a staged table, laid out by validity: each side reads only its own files."""
+    return stage_table(flagged(spark, sf), "flagged", partition_by="es_valido")
+
+
 def clean(spark, sf):
-    return q.quarantine_split(flagged(spark, sf))[0]
+    return q.quarantine_split(stored_flags(spark, sf))[0]
 
 
 def quarantine(spark, sf):
-    return q.quarantine_split(flagged(spark, sf))[1]
+    return q.quarantine_split(stored_flags(spark, sf))[1]
 
 
 def r6(df, *columns):
@@ -101,19 +106,27 @@ def halves(df):
     return df.filter("split_flag = 'train'"), df.filter("split_flag = 'test'")
 
 
+# Layers that a query reads more than once are staged first, as the pipelines do with tables.
+
+def stored_analytics(spark, sf):
+    return stage_table(analytics(spark, sf), "analytics", partition_by="split_flag")
+
+
+def stored_features(spark, sf):
+    return stage_table(features(spark, sf), "features", partition_by="split_flag")
+
+
 def logs(spark, sf):
-    return eda.with_logs(analytics(spark, sf))
+    return eda.with_logs(stored_analytics(spark, sf))
 
 
 def scored(spark, sf):
-    rows = analytics(spark, sf)
-    return model.baseline_predictions(halves(rows)[0], rows)
+    rows = stored_analytics(spark, sf)
+    return stage_table(model.baseline_predictions(halves(rows)[0], rows), "scored", partition_by="split_flag")
 
 
 def residuals(spark, sf):
-    rows = analytics(spark, sf)
-    train, test = halves(rows)
-    return ev.with_residual_minutes(model.baseline_predictions(train, test), "trip_duration", "p_distancia_hora")
+    return ev.with_residual_minutes(scored(spark, sf).filter("split_flag = 'test'"), "trip_duration", "p_distancia_hora")
 
 
 # --- Sources, audit, sinks ---------------------------------------------------
@@ -225,8 +238,7 @@ def _(spark, sf):
 
 @query("stage_table", with_ctes("SELECT es_valido, count(*) AS n FROM flagged GROUP BY 1", "flagged"))
 def _(spark, sf):
-    staged = stage_table(flagged(spark, sf), "flagged", partition_by="es_valido")
-    return staged.groupBy("es_valido").agg(F.count(F.lit(1)).alias("n"))
+    return stored_flags(spark, sf).groupBy("es_valido").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("summary_json", with_ctes("""
@@ -234,7 +246,7 @@ def _(spark, sf):
            round(avg(trip_duration), 6) AS media_seg, round(pow(corr(log_dur, log_dist), 2), 5) AS r2 FROM logs""", "logs"))
 def _(spark, sf):
     path = f"{scratch_dir(spark)}/stages/summary-{uuid.uuid4().hex}"
-    writers.write_summary_json(eda.eda_summary(analytics(spark, sf), "trips"), path)
+    writers.write_summary_json(eda.eda_summary(stored_analytics(spark, sf), "trips"), path)
     read = readers.stats_from_summary(spark, path)
     return read.select("n_viajes", "target.mediana_seg", F.round("target.media_seg", 6).alias("media_seg"),
                        F.round("r2_distancia_sola", 5).alias("r2"))
@@ -317,7 +329,7 @@ def _(spark, sf):
     SELECT 'clean' AS lado, id, NULL AS v_duracion, trip_duration FROM clean
     UNION ALL SELECT 'quarantine', id, v_duracion, trip_duration FROM quarantine""", "quarantine"))
 def _(spark, sf):
-    good, bad = q.quarantine_split(flagged(spark, sf))
+    good, bad = q.quarantine_split(stored_flags(spark, sf))
     return good.select(F.lit("clean").alias("lado"), "id", F.lit(None).cast("boolean").alias("v_duracion"),
                        "trip_duration").unionByName(
         bad.select(F.lit("quarantine").alias("lado"), "id", "v_duracion", "trip_duration"))
@@ -365,9 +377,10 @@ def _(spark, sf):
       SELECT 'entrada' AS tabla, count(*) AS filas FROM flagged UNION ALL SELECT 'clean', count(*) FROM clean
       UNION ALL SELECT 'quarantine', count(*) FROM quarantine) t""", "zoned"))
 def _(spark, sf):
-    rows = flagged(spark, sf)
+    rows = stored_flags(spark, sf)
     good, bad = q.quarantine_split(rows)
-    return q.conservation_check(rows, {"clean": good, "quarantine": bad}, features(spark, sf))
+    checked = q.select_whitelist(zn.zone_assign(gold.enrich(good, LIMITS), CENTROIDS))
+    return q.conservation_check(rows, {"clean": good, "quarantine": bad}, checked)
 
 
 # --- Column functions --------------------------------------------------------
@@ -490,7 +503,7 @@ SKEW_LOG, KURT_LOG = shape_sql("log_dur")
            round(quantile_disc(trip_duration, 0.9) / 60.0, 6) AS p90_min, {SKEW} AS asimetria, {KURT} AS curtosis,
            {SKEW_LOG} AS asimetria_log, {KURT_LOG} AS curtosis_log FROM logs""", "logs"))
 def _(spark, sf):
-    shape = ef.distribution_shape(clean(spark, sf), "trip_duration")
+    shape = ef.distribution_shape(stored_analytics(spark, sf), "trip_duration")
     return r6(shape, *shape.columns)
 
 
@@ -520,7 +533,7 @@ def _(spark, sf):
            round(quantile_cont(trip_duration, 0.9) / quantile_cont(trip_duration, 0.1), 6) AS razon
     FROM everything WHERE tramo IS NOT NULL AND distancia_haversine_km <= 100 GROUP BY 1 HAVING count(*) >= 100""", "everything"))
 def _(spark, sf):
-    return r6(ef.band_dispersion(analytics(spark, sf), "distancia_haversine_km", "trip_duration"),
+    return r6(ef.band_dispersion(stored_analytics(spark, sf), "distancia_haversine_km", "trip_duration"),
               "p10", "p50", "p90", "ancho", "razon")
 
 
@@ -647,12 +660,12 @@ def _(spark, sf):
 
 
 @query("regime_profile", with_ctes("""
-    SELECT CAST(es_aeropuerto AS VARCHAR) AS grupo, count(*) AS n, round(median(duracion_min), 6) AS mediana_duracion_min,
-           round(median(distancia_haversine_km), 6) AS mediana_distancia_haversine_km,
-           round(median(velocidad_kmh), 6) AS mediana_velocidad_kmh FROM analytics GROUP BY 1""", "analytics"))
+    SELECT CAST(es_aeropuerto AS VARCHAR) AS grupo, count(*) AS n, round(median(duracion_min), 4) AS mediana_duracion_min,
+           round(median(distancia_haversine_km), 4) AS mediana_distancia_haversine_km,
+           round(median(velocidad_kmh), 4) AS mediana_velocidad_kmh FROM analytics GROUP BY 1""", "analytics"))
 def _(spark, sf):
-    return r6(dm.regime_profile(analytics(spark, sf)),
-              "mediana_duracion_min", "mediana_distancia_haversine_km", "mediana_velocidad_kmh")
+    profile = dm.regime_profile(stored_analytics(spark, sf))
+    return profile.select("grupo", "n", *[F.round(c, 4).alias(c) for c in profile.columns if c.startswith("mediana_")])
 
 
 @query("site_profile", with_ctes(" UNION ALL ".join(f"""
@@ -660,7 +673,7 @@ def _(spark, sf):
            round(median(trip_duration) / 60, 6) AS mediana_min FROM analytics WHERE {_near(place)}"""
     for name, place in SITES.items()), "analytics"))
 def _(spark, sf):
-    return r6(dm.site_profile(analytics(spark, sf)), "pct", "mediana_min")
+    return r6(dm.site_profile(stored_analytics(spark, sf)), "pct", "mediana_min")
 
 
 @query("pearson", with_ctes(" UNION ALL ".join(
@@ -771,13 +784,13 @@ def test_metrics(spark, sf):
 
 @query("calendar_baseline", with_ctes("SELECT id, p_calendario AS pred FROM scored WHERE split_flag = 'test'", "scored"))
 def _(spark, sf):
-    train, test = halves(analytics(spark, sf))
+    train, test = halves(stored_analytics(spark, sf))
     return bl.calendar_baseline(train, test).select("id", "pred")
 
 
 @query("distance_hour_baseline", with_ctes("SELECT id, p_distancia_hora AS pred FROM scored WHERE split_flag = 'test'", "scored"))
 def _(spark, sf):
-    train, test = halves(analytics(spark, sf))
+    train, test = halves(stored_analytics(spark, sf))
     return bl.distance_hour_baseline(train, test).select("id", "pred")
 
 
@@ -874,33 +887,33 @@ def _test_scores(rows, name):
 
 @query("ridge_pipeline")
 def _(spark, sf):
-    rows = features(spark, sf)
+    rows = stored_features(spark, sf)
     return _test_scores(md.predict(md.fit_ridge(halves(rows)[0]), rows), model.RIDGE)
 
 
 @query("gbt_pipeline")
 def _(spark, sf):
-    rows = features(spark, sf)
+    rows = stored_features(spark, sf)
     return _test_scores(md.predict(md.fit_gbt(halves(rows)[0], LIGHT), rows), model.GBT)
 
 
 @query("forward_search")
 def _(spark, sf):
-    rows = analytics(spark, sf)
+    rows = stored_analytics(spark, sf)
     train = bl.attach_dates(halves(q.select_whitelist(rows))[0], rows)
     return md.forward_search(train, WINDOWS, LIGHT_GRID)[1]
 
 
 @query("final_fit_predict")
 def _(spark, sf):
-    train, test = halves(features(spark, sf))
+    train, test = halves(stored_features(spark, sf))
     _, rows = md.final_fit_predict(train, test, LIGHT)
     return rows.select("id", "split_flag", "trip_duration", "pred")
 
 
 @query("permutation_importance")
 def _(spark, sf):
-    train, test = halves(features(spark, sf))
+    train, test = halves(stored_features(spark, sf))
     return md.permutation_importance(md.fit_gbt(train, LIGHT), test)
 
 
@@ -961,20 +974,20 @@ def _(spark, sf):
            (SELECT count(*) FROM psi WHERE psi >= 0.25) AS n_en_alerta,
            (SELECT count(*) FROM psi WHERE psi >= 0.25) > 0 AS alerta FROM psi""", "test", TRIP_PSI))
 def _(spark, sf):
-    return dr.drift_report(*halves(features(spark, sf)), MODEL.monitored)
+    return dr.drift_report(*halves(stored_features(spark, sf)), MODEL.monitored)
 
 
 @query("target_drift", with_ctes(PSI_ROW, "test", psi_ctes(
     long_sql("train", ["trip_duration"]), long_sql("test", ["trip_duration"]))))
 def _(spark, sf):
-    return r6(dr.target_drift(*halves(features(spark, sf)), "trip_duration"), "psi")
+    return r6(dr.target_drift(*halves(stored_features(spark, sf)), "trip_duration"), "psi")
 
 
 @query("split_drift_check", with_ctes(
     f"SELECT variable, round(psi, 4) AS psi, {state('psi')} AS estado FROM psi", "test",
     psi_ctes(long_sql("train", MODEL.split_checked), long_sql("test", MODEL.split_checked))))
 def _(spark, sf):
-    return dr.split_drift_check(features(spark, sf), MODEL.split_checked)
+    return dr.split_drift_check(stored_features(spark, sf), MODEL.split_checked)
 
 
 @query("categorical_psi", with_ctes(" UNION ALL ".join(f"""
@@ -985,7 +998,7 @@ def _(spark, sf):
           FROM (SELECT {c}, count(*) FILTER (split_flag = 'train') AS r, count(*) FILTER (split_flag = 'test') AS w
                 FROM everything GROUP BY 1))""" for c in ("es_aeropuerto", "store_and_fwd_flag")), "everything"))
 def _(spark, sf):
-    return r6(dr.categorical_psi(*halves(features(spark, sf)), ["es_aeropuerto", "store_and_fwd_flag"]), "psi")
+    return r6(dr.categorical_psi(*halves(stored_features(spark, sf)), ["es_aeropuerto", "store_and_fwd_flag"]), "psi")
 
 
 @query("drift_history", with_ctes(f"""
@@ -994,7 +1007,7 @@ def _(spark, sf):
            {state("psi")} AS estado, n_referencia, n_lote FROM psi""", "test",
     psi_ctes(long_sql("train", [*MODEL.monitored, "trip_duration"]), long_sql("test", [*MODEL.monitored, "trip_duration"]))))
 def _(spark, sf):
-    train, test = halves(features(spark, sf))
+    train, test = halves(stored_features(spark, sf))
     rows = dr.drift_history(dr.drift_report(train, test, MODEL.monitored), dr.target_drift(train, test, "trip_duration"), "lote")
     return r6(writers.append_history(rows, scratch_tables(spark).drift).drop("evaluado_en"), "psi")
 
@@ -1030,10 +1043,10 @@ def _(spark, sf):
 
 
 @query("scale_columns", with_ctes("""
-    SELECT id, round(distancia_haversine_km * 1.25, 6) AS distancia_haversine_km,
-           round(distancia_manhattan_km * 1.25, 6) AS distancia_manhattan_km FROM test""", "test"))
+    SELECT id, distancia_haversine_km * 2 AS distancia_haversine_km,
+           distancia_manhattan_km * 2 AS distancia_manhattan_km FROM test""", "test"))
 def _(spark, sf):
-    return r6(sc.scale_columns(halves(features(spark, sf))[1], 0.25), *sc.SCALED).select("id", *sc.SCALED)
+    return sc.scale_columns(halves(features(spark, sf))[1], 1.0).select("id", *sc.SCALED)
 
 
 SWEEP = (0.0, 0.5, 2.0)
@@ -1060,17 +1073,17 @@ def sweep_sql() -> str:
 
 @query("sensitivity_sweep", sweep_sql())
 def _(spark, sf):
-    return sc.sensitivity_sweep(*halves(features(spark, sf)), MODEL.monitored, SWEEP)
+    return sc.sensitivity_sweep(*halves(stored_features(spark, sf)), MODEL.monitored, SWEEP)
 
 
 @query("sweep_pivot")
 def _(spark, sf):
-    return sc.sweep_pivot(sc.sensitivity_sweep(*halves(features(spark, sf)), MODEL.monitored))
+    return sc.sweep_pivot(sc.sensitivity_sweep(*halves(stored_features(spark, sf)), MODEL.monitored))
 
 
 @query("min_detected_intensity")
 def _(spark, sf):
-    return sc.min_detected_intensity(sc.sensitivity_sweep(*halves(features(spark, sf)), MODEL.monitored))
+    return sc.min_detected_intensity(sc.sensitivity_sweep(*halves(stored_features(spark, sf)), MODEL.monitored))
 
 
 WEEK_ERRORS = """
@@ -1134,11 +1147,9 @@ ALERTS_SQL = """
     "mt": "SELECT avg(abs(p_distancia_hora - trip_duration)) / 60 AS m FROM scored WHERE split_flag = 'test'",
     "mr": "SELECT avg(abs(p_distancia_hora - trip_duration)) / 60 AS m FROM scored WHERE split_flag = 'train'"}))
 def _(spark, sf):
-    rows = analytics(spark, sf)
+    rows = scored(spark, sf)
     train, test = halves(rows)
-    error = (F.avg(F.abs(F.col("p_distancia_hora") - F.col("trip_duration"))) / 60)
-    predicted = scored(spark, sf)
-    errors = predicted.agg(
+    errors = rows.agg(
         (F.avg(F.when(F.col("split_flag") == "test", F.abs(F.col("p_distancia_hora") - F.col("trip_duration")))) / 60).alias("mae_min"),
         (F.avg(F.when(F.col("split_flag") == "train", F.abs(F.col("p_distancia_hora") - F.col("trip_duration")))) / 60).alias("mae_referencia"))
     table_ = al.alert_table(

@@ -195,7 +195,7 @@ def psi_ctes(ref_sql: str, new_sql: str, bins: int = 10) -> dict[str, str]:
                 f"WHERE list_contains([0, n - 1, {picks}], rk) GROUP BY variable",
         "bins": """
             SELECT variable, lado, CASE WHEN len(c) > 1 AND valor <= c[len(c)]
-                THEN len(list_filter(c[2:len(c)-1], x -> x <= valor)) END AS bin
+                THEN len([x for x in c[2:len(c)-1] if x <= valor]) END AS bin
             FROM (SELECT *, 'r' AS lado FROM lr UNION ALL SELECT *, 'n' AS lado FROM ln) JOIN cuts USING (variable)""",
         "binned": """
             SELECT variable, bin, count(*) FILTER (lado = 'r') AS r, count(*) FILTER (lado = 'n') AS w

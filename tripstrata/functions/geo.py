@@ -75,9 +75,8 @@ def nearest(lat: Column, lon: Column, centroids: list[tuple[float, float]]) -> C
     Centroids are literals of the expression (there are only as many as zones), so
     assigning a zone needs neither a join nor a model object.
     """
-    options = [
-        F.struct(((lat - c_lat) * (lat - c_lat) + (lon - c_lon) * (lon - c_lon)).alias("d"), F.lit(i).alias("i"))
-        for i, (c_lat, c_lon) in enumerate(centroids)
-    ]
-    best = F.least(*options) if len(options) > 1 else options[0]
-    return F.when(lat.isNotNull() & lon.isNotNull(), best["i"])
+    def square(side):
+        return side * side
+
+    distances = F.array(*[square(lat - c_lat) + square(lon - c_lon) for c_lat, c_lon in centroids])
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")

@@ -13,6 +13,7 @@ from tripstrata.config import DISTANCE_CUTS, MODEL
 from tripstrata.functions.numeric import bucket_right_closed
 from tripstrata.operators.effects import one_row
 from tripstrata.operators.quantiles import quantiles
+from tripstrata.sources.staging import stage_table
 
 CALENDAR_KEYS = ("pickup_hour", "pickup_dayofweek")
 DISTANCE_KEYS = ("tramo", "pickup_hour")
@@ -20,10 +21,19 @@ DISTANCE_KEYS = ("tramo", "pickup_hour")
 
 def group_median_model(train: DataFrame, keys: Sequence[str], target: str = MODEL.target,
                        domain: str = "discrete") -> tuple[DataFrame, DataFrame]:
-    """(median of the target per key, one-row global median). Rows with an unknown key fit only the latter."""
+    """(median of the target per key, one-row global median). Rows with an unknown key fit only the latter.
+
+    For a discrete target the training rows are read once: counts per key and value are
+    staged, and both medians come from those.
+    """
     known = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    table = quantiles(train.filter(known), keys, target, [0.5], ["mediana"], domain).drop("n")
-    overall = quantiles(train, [], target, [0.5], ["mediana_global"], domain).drop("n")
+    if domain == "discrete":
+        counts = stage_table(train.groupBy(*keys, target).agg(F.count(F.lit(1)).alias("_rows")), "fitted")
+        train, options = counts, {"domain": domain, "weight": "_rows"}
+    else:
+        options = {"domain": domain}
+    table = quantiles(train.filter(known), keys, target, [0.5], ["mediana"], **options).drop("n")
+    overall = quantiles(train, [], target, [0.5], ["mediana_global"], **options).drop("n")
     return table, overall
 
 

@@ -154,14 +154,16 @@ def threshold_audit(quarantine: DataFrame) -> DataFrame:
     Takes rejected rows whose duration rule failed with both ends inside the box.
     """
     hours = F.col("trip_duration") / 3600.0
-    suspects = (
+    # Read three times below; a small part of the rejected rows.
+    suspects = stage_table(
         quarantine.filter("NOT v_duracion AND v_coords_pickup AND v_coords_dropoff AND trip_duration IS NOT NULL")
         .select(
             hours.alias("horas"),
             haversine_km(*[F.col(c) for c in (*PICKUP, *DROPOFF)]).alias("km"),
             F.col("trip_duration"),
         )
-        .withColumn("kmh", speed_kmh(F.col("km"), F.col("trip_duration")))
+        .withColumn("kmh", speed_kmh(F.col("km"), F.col("trip_duration"))),
+        "suspects",
     )
     totals = suspects.agg(
         F.count(F.lit(1)).alias("n"),

@@ -72,20 +72,22 @@ def _columns_by_position(hits: DataFrame, keys: list[str], names: Sequence[str])
 
 
 def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: Sequence[Rank], names: Sequence[str],
-                     domain: str = "continuous") -> DataFrame:
+                     domain: str = "continuous", weight: str | None = None) -> DataFrame:
     """Values at 0-based ``ranks`` (functions of the group size) of each group, and the size ``n``.
 
-    NULL values are not counted. The continuous search stages its two small intermediate
+    NULL values are not counted. ``weight`` is for rows that already stand for several
+    (value counts), in the discrete search only. The continuous search stages its two small intermediate
     tables, so it runs two jobs when called; whether the wanted steps are broadcast follows
     from their size on disk.
     """
     keys = list(keys)
     own_keys = keys or ["_all_rows"]
-    rows = df.filter(F.col(value).isNotNull())
-    rows = rows.select(*keys, F.col(value).alias("_v")) if keys else rows.select(
-        F.lit(0).alias("_all_rows"), F.col(value).alias("_v"))
+    group = [F.col(k) for k in keys] or [F.lit(0).alias("_all_rows")]
+    taken = [F.col(value).alias("_v")] + ([F.col(weight).alias("_n")] if weight else [])
+    rows = df.filter(F.col(value).isNotNull()).select(*group, *taken)
     if domain == "discrete":
-        counted = rows.groupBy(*own_keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+        times = F.sum("_n") if weight else F.count(F.lit(1))
+        counted = rows.groupBy(*own_keys, "_v").agg(times.alias("_n"))
         found = _rank_hits(counted, own_keys, ["_v"], ranks)
     elif domain == "continuous":
         found = _narrowed(rows, own_keys, ranks)
@@ -152,14 +154,14 @@ def _interpolated(names: Sequence[str], probabilities: Sequence[float]) -> list[
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str],
-              domain: str = "continuous") -> DataFrame:
+              domain: str = "continuous", weight: str | None = None) -> DataFrame:
     """Quantiles with linear interpolation between neighbours, and the group size ``n``."""
     ranks, columns = [], []
     for name, p in zip(names, probabilities):
         ranks.append(lambda n, p=p: F.floor(F.lit(float(p)) * (n - 1)))
         ranks.append(lambda n, p=p: F.least(F.floor(F.lit(float(p)) * (n - 1)) + 1, n - 1))
         columns += [f"_{name}_lo", f"_{name}_hi"]
-    found = order_statistics(df, keys, value, ranks, columns, domain)
+    found = order_statistics(df, keys, value, ranks, columns, domain, weight)
     return found.select(*keys, "n", *_interpolated(names, probabilities))
 
 

@@ -14,6 +14,9 @@ DEFAULTS = {
     # Split a skewed join side even where that costs one more exchange for the aggregate above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # HotSpot leaves methods above 8000 bytes of bytecode uncompiled; wide feature projections
+    # run several times faster as separate operators than as one such method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
