@@ -1019,7 +1019,7 @@ def copies_sql(increase):
     """Copies per row for a higher share of night rows."""
     target = f"least(0.95, p * {1 + increase})"
     weight = f"CASE WHEN {NIGHT_SQL} THEN {target} / p ELSE (1 - {target}) / (1 - p) END"
-    return (f"SELECT *, CAST(floor(w) AS INTEGER) + ({share_sql('id', f'share{increase:g}')} < w - floor(w))::INT AS copias "
+    return (f"SELECT *, CAST(floor(w) AS INTEGER) + ({share_sql('id', 'share')} < w - floor(w))::INT AS copias "
             f"FROM (SELECT test.*, {weight} AS w FROM test, (SELECT avg(({NIGHT_SQL})::INT) AS p FROM test))")
 
 
@@ -1034,7 +1034,7 @@ TOP3 = "(SELECT pickup_cluster FROM test GROUP BY 1 ORDER BY count(*) DESC, pick
 
 
 def thinned_sql(intensity):
-    return f"(pickup_cluster NOT IN {TOP3} OR {share_sql('id', f'thin{intensity:g}')} < {1 - min(intensity, 0.95)!r})"
+    return f"(pickup_cluster NOT IN {TOP3} OR {share_sql('id', 'thin')} < {1 - min(intensity, 0.95)!r})"
 
 
 @query("thin_top_categories", with_ctes(f"SELECT id, pickup_cluster FROM test WHERE {thinned_sql(0.5)}", "test"))

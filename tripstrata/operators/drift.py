@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripstrata.config import THRESHOLDS, Thresholds
@@ -62,26 +63,24 @@ def histogram_share(df: DataFrame, columns: Sequence[str], cuts: DataFrame, bins
     shares of a batch need not add up to 1. Empty bins are not listed.
     """
     counts = _binned(long_values(df, columns), cuts, bins).groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("variable").agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(totals), "variable").filter("bin IS NOT NULL").select(
-        "variable", "bin", "n", (F.col("n") / F.col("total")).alias("proporcion"))
+    # The window holds one row per bin.
+    total = F.sum("n").over(W.partitionBy("variable"))
+    return counts.withColumn("proporcion", F.col("n") / total).filter("bin IS NOT NULL")
 
 
 def psi_terms(counts: DataFrame, keys: Sequence[str], reference: str, batch: str,
               floor: float = THRESHOLDS.psi_floor) -> DataFrame:
     """PSI per key from counts per bin (``bin`` NULL for values outside): one row per key."""
-    totals = counts.groupBy(*keys).agg(
-        F.sum(reference).alias("n_referencia"), F.sum(batch).alias("n_lote")
-    )
+    # The window holds one row per bin (or category) of a key.
+    whole = W.partitionBy(*keys)
+    shares = counts.withColumns({
+        "n_referencia": F.sum(reference).over(whole), "n_lote": F.sum(batch).over(whole),
+    })
     share_ref = F.greatest(F.try_divide(F.col(reference), F.col("n_referencia")), F.lit(floor))
     share_new = F.greatest(F.coalesce(F.try_divide(F.col(batch), F.col("n_lote")), F.lit(0.0)), F.lit(floor))
     term = F.when(F.col("bin").isNotNull(), (share_new - share_ref) * F.log(share_new / share_ref)).otherwise(0.0)
-    # One row per named variable (and scenario).
-    return (
-        counts.join(F.broadcast(totals), list(keys))
-        .groupBy(*keys)
-        .agg(F.sum(term).alias("psi"), F.max("n_referencia").alias("n_referencia"), F.max("n_lote").alias("n_lote"))
-    )
+    return shares.groupBy(*keys).agg(
+        F.sum(term).alias("psi"), F.max("n_referencia").alias("n_referencia"), F.max("n_lote").alias("n_lote"))
 
 
 def psi_by_variable(reference: DataFrame, batch: DataFrame, columns: Sequence[str],
@@ -127,8 +126,9 @@ def drift_report(reference: DataFrame, batch: DataFrame, columns: Sequence[str],
 def with_batch_alert(psi: DataFrame, t: Thresholds = THRESHOLDS) -> DataFrame:
     """State from the unrounded PSI, then the number of alarming variables of the batch."""
     report = psi.withColumn("estado", classify_psi(F.col("psi"), t))
-    alarms = report.agg(F.count_if(F.col("estado") == "alerta").alias("n"))
-    return report.withColumn("n_en_alerta", alarms.scalar()).select(
+    # One row per named variable: a single small window.
+    alarms = F.count_if(F.col("estado") == "alerta").over(W.partitionBy())
+    return report.withColumn("n_en_alerta", alarms).select(
         "variable",
         F.round("psi", 4).alias("psi"),
         "estado", "n_referencia", "n_lote", "n_en_alerta",

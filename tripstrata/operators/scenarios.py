@@ -27,10 +27,13 @@ def _copies(weight: Column, key: str, salt: str) -> Column:
 
 
 def share_copies(flag: Column, share: Column, increase: float, key: str) -> Column:
-    """Copies per row that raise the share of flagged rows by ``increase``, at most to 0.95."""
+    """Copies per row that raise the share of flagged rows by ``increase``, at most to 0.95.
+
+    The key decides alike at every intensity, so a stronger change only adds to a weaker one.
+    """
     target = F.least(F.lit(0.95), share * (1 + increase))
     weight = F.when(flag, F.try_divide(target, share)).otherwise(F.try_divide(1 - target, 1 - share))
-    return _copies(F.coalesce(weight, F.lit(0.0)), key, f"share{increase:g}")
+    return _copies(F.coalesce(weight, F.lit(0.0)), key, "share")
 
 
 def flag_share(df: DataFrame, flag: Column) -> Column:
@@ -56,7 +59,7 @@ def top_categories(df: DataFrame, column: str, top: int = 3) -> Column:
 
 
 def keep_after_thinning(in_top: Column, intensity: float, key: str) -> Column:
-    kept = hash_share(F.col(key), f"thin{intensity:g}") < 1 - min(intensity, 0.95)
+    kept = hash_share(F.col(key), "thin") < 1 - min(intensity, 0.95)
     return ~F.coalesce(in_top, F.lit(False)) | kept
 
 
