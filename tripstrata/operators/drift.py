@@ -7,6 +7,7 @@ row per variable and bin leaving each task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,6 @@ from pyspark.sql import functions as F
 from tripstrata.config import THRESHOLDS, Thresholds
 from tripstrata.operators.quantiles import quantile_cuts
 
-REFERENCE, BATCH = "referencia", "lote"
-
 
 def classify_psi(psi: Column, t: Thresholds = THRESHOLDS) -> Column:
     """estable, vigilar or alerta."""
@@ -35,25 +34,31 @@ def reference_cuts(reference: DataFrame, columns: Sequence[str], bins: int = THR
     return quantile_cuts(long_values(reference, columns), ["variable"], "valor", bins)
 
 
-def bin_of(value: Column, cuts: Column, bins: int = THRESHOLDS.psi_bins) -> Column:
-    """Bin of a value among sorted distinct ``cuts``.
+def with_bin(long: DataFrame, cuts: DataFrame, bins: int = THRESHOLDS.psi_bins) -> DataFrame:
+    """Add the ``bin`` of every value among the sorted distinct edges of its variable.
 
     A bin holds its lower edge, the last one also its upper edge. Values below the lowest
     edge go to the first bin; above the highest edge there is none (NULL). With a single
-    edge there are no bins at all.
-    """
-    last = F.size(cuts) - 1
-    inner = [
-        F.when((F.lit(i) < last) & (value >= F.get(cuts, F.lit(i))), 1).otherwise(0) for i in range(1, bins)
-    ]
-    index = sum(inner[1:], inner[0]) if inner else F.lit(0)
-    return F.when((last > 0) & (value <= F.get(cuts, last)), index)
+    edge there are no bins at all. Variables without edges drop out.
 
-
-def _binned(long: DataFrame, cuts: DataFrame, bins: int) -> DataFrame:
+    The edges travel as plain columns, absent ones as infinity, so that a bin is a sum of
+    comparisons in compiled code.
+    """
+    inner = [f"_e{i}" for i in range(1, bins)]
+    last = F.size("cortes") - 1
+    edges = cuts.select(
+        "variable",
+        F.when(last > 0, F.get("cortes", last)).otherwise(F.lit(-math.inf)).alias("_top"),
+        *[F.when(F.lit(i) < last, F.get("cortes", F.lit(i))).otherwise(F.lit(math.inf)).alias(name)
+          for i, name in enumerate(inner, start=1)],
+    )
+    passed = sum([(F.col("valor") >= F.col(e)).cast("int") for e in inner], F.lit(0))
     # One row per named variable.
-    known = F.broadcast(cuts.select("variable", "cortes"))
-    return long.join(known, "variable").withColumn("bin", bin_of(F.col("valor"), F.col("cortes"), bins)).drop("cortes")
+    return (
+        long.join(F.broadcast(edges), "variable")
+        .withColumn("bin", F.when(F.col("valor") <= F.col("_top"), passed))
+        .drop("_top", *inner)
+    )
 
 
 def histogram_share(df: DataFrame, columns: Sequence[str], cuts: DataFrame, bins: int = THRESHOLDS.psi_bins) -> DataFrame:
@@ -62,7 +67,7 @@ def histogram_share(df: DataFrame, columns: Sequence[str], cuts: DataFrame, bins
     Values above the highest edge are in no bin but still in the denominator, so the
     shares of a batch need not add up to 1. Empty bins are not listed.
     """
-    counts = _binned(long_values(df, columns), cuts, bins).groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = with_bin(long_values(df, columns), cuts, bins).groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))
     # The window holds one row per bin.
     total = F.sum("n").over(W.partitionBy("variable"))
     return counts.withColumn("proporcion", F.col("n") / total).filter("bin IS NOT NULL")
@@ -92,10 +97,10 @@ def psi_by_variable(reference: DataFrame, batch: DataFrame, columns: Sequence[st
     """
     present = [c for c in columns if c in batch.columns]
     cuts = reference_cuts(reference, present, bins)
-    both = long_values(reference, present).withColumn("origen", F.lit(REFERENCE)).unionByName(
-        long_values(batch, present).withColumn("origen", F.lit(BATCH)))
-    counts = _binned(both, cuts, bins).groupBy("variable", "bin").agg(
-        F.count_if(F.col("origen") == REFERENCE).alias("ref"), F.count_if(F.col("origen") == BATCH).alias("new"))
+    both = long_values(reference, present).withColumn("_ref", F.lit(1)).unionByName(
+        long_values(batch, present).withColumn("_ref", F.lit(0)))
+    counts = with_bin(both, cuts, bins).groupBy("variable", "bin").agg(
+        F.sum("_ref").alias("ref"), F.sum(1 - F.col("_ref")).alias("new"))
     return psi_terms(counts, ["variable"], "ref", "new")
 
 
@@ -108,12 +113,13 @@ def categorical_psi(reference: DataFrame, batch: DataFrame, columns: Sequence[st
     """
     present = [c for c in columns if c in batch.columns]
 
-    def counted(df, tag):
+    def counted(df, is_reference):
         cast = df.select(*[F.col(c).cast("string").alias(c) for c in present])
-        return cast.unpivot([], present, "variable", "bin").filter("bin IS NOT NULL").withColumn("origen", F.lit(tag))
+        return cast.unpivot([], present, "variable", "bin").filter("bin IS NOT NULL").withColumn(
+            "_ref", F.lit(is_reference))
 
-    counts = counted(reference, REFERENCE).unionByName(counted(batch, BATCH)).groupBy("variable", "bin").agg(
-        F.count_if(F.col("origen") == REFERENCE).alias("ref"), F.count_if(F.col("origen") == BATCH).alias("new"))
+    counts = counted(reference, 1).unionByName(counted(batch, 0)).groupBy("variable", "bin").agg(
+        F.sum("_ref").alias("ref"), F.sum(1 - F.col("_ref")).alias("new"))
     return psi_terms(counts, ["variable"], "ref", "new", floor)
 
 

@@ -39,8 +39,16 @@ def _magnitude_step(value: Column) -> Column:
     return F.when(value < 0, -step).otherwise(step)
 
 
-def _same(left: str, right: str, columns: Sequence[str]) -> Column:
-    return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+def _join(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Inner join of ``left`` (alias ``r``) and ``right`` (alias ``t``) in which NULL keys meet.
+
+    A key that one side can never lack is compared by plain equality, which hashes faster.
+    """
+    def equal(c):
+        a, b = F.col(f"r.{c}"), F.col(f"t.{c}")
+        return a.eqNullSafe(b) if left.schema[c].nullable and right.schema[c].nullable else a == b
+
+    return left.alias("r").join(right.alias("t"), reduce(and_, [equal(c) for c in columns]))
 
 
 def _qualified(alias: str, columns: Sequence[str]) -> list[Column]:
@@ -111,7 +119,7 @@ def _narrowed(rows: DataFrame, keys: list[str], ranks: Sequence[Rank]) -> DataFr
     width = F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
     slot = F.coalesce(F.floor((F.col("_v") - F.col("_low")) / width * SLOTS).cast("int"), F.lit(0))
     cells = stage_table(
-        rows.alias("r").join(spans.drop("_wanted", "_all").alias("t"), _same("r", "t", [*keys, "_step"]))
+        _join(rows, spans.drop("_wanted", "_all"), [*keys, "_step"])
         .select(*_qualified("r", [*keys, "_step"]), "_v", slot.alias("_slot"))
         .groupBy(*keys, "_step", "_slot", "_v").agg(F.count(F.lit(1)).alias("_n")),
         "cells",
@@ -133,7 +141,7 @@ def _covering(counted: DataFrame, targets: DataFrame, place: list[str], order: s
     carried = [c for c in counted.columns if c not in place]
     before = F.col("_upto") - F.col("_n")
     return (
-        counted.alias("r").join(targets.alias("t"), _same("r", "t", place))
+        _join(counted, targets, place)
         .select(*_qualified("r", place), *carried, "_all", "_wanted")
         .withColumn("_upto", F.sum("_n").over(window))
         .withColumn("_w", F.explode("_wanted"))

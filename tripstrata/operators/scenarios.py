@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.config import INTENSITIES, NIGHT_HOURS, THRESHOLDS, Thresholds
-from tripstrata.operators.drift import bin_of, classify_psi, long_values, psi_terms, reference_cuts
+from tripstrata.operators.drift import classify_psi, long_values, psi_terms, reference_cuts, with_bin
 from tripstrata.operators.ordering import hash_share
 
 # Names of the three scenarios.
@@ -107,10 +107,7 @@ def sweep_psi(reference: DataFrame, batch: DataFrame, columns: Sequence[str],
         "serie": F.coalesce(F.try_element_at(F.split("variable", "@"), F.lit(2)).cast("int"), F.lit(-1)),
         "variable": F.split_part("variable", F.lit("@"), F.lit(1)),
     })
-    # One row per named variable.
-    binned = rows.join(F.broadcast(cuts.select("variable", "cortes")), "variable").withColumn(
-        "bin", bin_of(F.col("valor"), F.col("cortes"), bins))
-    counts = binned.groupBy("serie", "variable", "bin").agg(*[F.sum(c).alias(c) for c in ("_new", "_ref", *names)])
+    counts = with_bin(rows, cuts, bins).groupBy("serie", "variable", "bin").agg(*[F.sum(c).alias(c) for c in ("_new", "_ref", *names)])
 
     def entry(scenario, intensity, new):
         return F.struct(F.lit(scenario).alias("escenario"), F.lit(float(intensity)).alias("intensidad"),

@@ -54,8 +54,9 @@ def gold_frames(enriched: DataFrame, centroids: Sequence[tuple[float, float]]) -
     return GoldFrames(analytics_frame(zoned), demand_aggregate(zoned), features, split_share(enriched), list(centroids))
 
 
-def run_gold(spark: SparkSession, tables: TableNames = TABLES, t: Thresholds = THRESHOLDS) -> GoldFrames:
-    """Clean table to the three product tables.
+def run_gold(spark: SparkSession, tables: TableNames = TABLES, t: Thresholds = THRESHOLDS,
+             rebalance: bool = False) -> GoldFrames:
+    """Clean table to the three product tables; ``rebalance`` evens out the files of the partitioned ones.
 
     Zones are fitted on the staged enriched rows; assigning them is an expression, so it
     needs no second stage. Every check reads what was written.
@@ -64,9 +65,9 @@ def run_gold(spark: SparkSession, tables: TableNames = TABLES, t: Thresholds = T
     enriched = stage_table(enrich(clean, t), "enriched")
     centroids = centroids_of(fit_zones(enriched, k=t.zones, seed=t.seed))
     frames = gold_frames(enriched, centroids)
-    analytics = overwrite_partitioned(frames.analytics, tables.analytics, "pickup_month")
+    analytics = overwrite_partitioned(frames.analytics, tables.analytics, "pickup_month", rebalance=rebalance)
     demand = overwrite_table(frames.demand, tables.demand)
-    features = overwrite_partitioned(frames.features, tables.features, "split_flag")
+    features = overwrite_partitioned(frames.features, tables.features, "split_flag", rebalance=rebalance)
     assert_no_leakage(features.columns)
     assert_conserved(
         conservation_check(clean, {"trips_analytics": analytics, "trips_features": features}, features, MODEL.whitelist))

@@ -50,7 +50,9 @@ def run_model(spark: SparkSession, tables: TableNames = TABLES, first_day: str =
 
     ridge = m.fit_ridge(train)
     default = m.fit_gbt(train, grid[0], **gbt)
-    dated = b.attach_dates(train, spark.table(tables.analytics))
+    # The analytics table holds the same rows with their time, so no join by id is needed.
+    timed = spark.table(tables.analytics).filter(F.col("split_flag") == TRAIN)
+    dated = timed.withColumns({"fecha": F.to_date("pickup_datetime"), MODEL.target_log: F.log1p(target)})
     best, search = m.forward_search(dated, forward_windows(first_day, t.split_cutoff, windows), grid, **gbt)
     tuned, scored = m.final_fit_predict(train, test, best, **gbt)
 

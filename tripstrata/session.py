@@ -17,6 +17,9 @@ DEFAULTS = {
     # HotSpot leaves methods above 8000 bytes of bytecode uncompiled; wide feature projections
     # run several times faster as separate operators than as one such method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Medians per zone, hour and weekday are a few thousand groups: keep them in a hash table
+    # instead of sorting every task's rows.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 

@@ -12,14 +12,18 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame
     return df.sparkSession.table(name)
 
 
-def overwrite_partitioned(df: DataFrame, name: str, column: str, fmt: str = "parquet") -> DataFrame:
+def overwrite_partitioned(df: DataFrame, name: str, column: str, fmt: str = "parquet",
+                          rebalance: bool = False) -> DataFrame:
     """Replace a table laid out by a low-cardinality column, for partition pruning.
 
-    Tasks write straight to the partitions they hold rows of: a repartition by the
-    column would put each partition value into one task.
+    Tasks write straight to the partitions they hold rows of, which fits input that
+    already arrives by time. Where every task holds rows of every partition, ``rebalance``
+    shuffles once to files of the advisory size: it merges small ones and splits a
+    partition value that holds most rows over many tasks.
     """
+    rows = df.hint("rebalance", column) if rebalance else df
     (
-        df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+        rows.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
         .partitionBy(column).saveAsTable(name)
     )
     return df.sparkSession.table(name)
