@@ -765,16 +765,17 @@ def _(spark, sf):
 
 # --- Evaluation --------------------------------------------------------------
 
-def metrics_sql(pred, name, table="scored", where="split_flag = 'test'"):
-    return f"""SELECT '{name}' AS modelo, round(sqrt(avg(pow({pred} - trip_duration, 2))) / 60, 6) AS rmse_min,
-        round(avg(abs({pred} - trip_duration)) / 60, 6) AS mae_min,
-        round(1 - avg(pow({pred} - trip_duration, 2)) / var_pop(trip_duration), 6) AS r2,
-        round(sqrt(avg(pow(ln(1 + {pred}) - ln(1 + trip_duration), 2))), 6) AS rmsle FROM {table} WHERE {where}"""
+def metrics_sql(pred, name, where="split_flag = 'test'"):
+    return f"""SELECT '{name}' AS modelo, sqrt(avg(pow({pred} - trip_duration, 2))) / 60 AS rmse_min,
+        avg(abs({pred} - trip_duration)) / 60 AS mae_min,
+        1 - avg(pow({pred} - trip_duration, 2)) / var_pop(trip_duration) AS r2,
+        sqrt(avg(pow(ln(1 + {pred}) - ln(1 + trip_duration), 2))) AS rmsle FROM scored WHERE {where}"""
 
 
 NAMES = {model.CALENDAR: "p_calendario", model.DISTANCE_HOUR: "p_distancia_hora"}
 METRICS_SQL = " UNION ALL ".join(metrics_sql(p, n) for n, p in NAMES.items())
 METRICS = ("rmse_min", "mae_min", "r2", "rmsle")
+ROUNDED = ", ".join(f"round({m}, 6) AS {m}" for m in METRICS)
 
 
 def test_metrics(spark, sf):
@@ -794,7 +795,7 @@ def _(spark, sf):
     return bl.distance_hour_baseline(train, test).select("id", "pred")
 
 
-@query("regression_metrics", with_ctes(METRICS_SQL, "scored"))
+@query("regression_metrics", with_ctes(f"SELECT modelo, {ROUNDED} FROM mm", "scored", {"mm": METRICS_SQL}))
 def _(spark, sf):
     return r6(test_metrics(spark, sf), *METRICS)
 
@@ -813,14 +814,14 @@ def _(spark, sf):
     SELECT '{m}' AS metrica, {rnd("a." + m, 4)} AS train, {rnd("b." + m, 4)} AS test,
            {rnd(f"b.{m} - a.{m}", 4)} AS brecha_absoluta, {rnd(f"(b.{m} - a.{m}) / a.{m} * 100", 1)} AS brecha_relativa_pct
     FROM a, b""" for m in ("rmse_min", "mae_min", "rmsle")), "scored", {
-        "a": metrics_sql("p_distancia_hora", "x", where="split_flag = 'train'"),
+        "a": metrics_sql("p_distancia_hora", "x", "split_flag = 'train'"),
         "b": metrics_sql("p_distancia_hora", "x")}))
 def _(spark, sf):
     return ev.overfit_gap(ev.regression_metrics(scored(spark, sf), "trip_duration", "p_distancia_hora", by=["split_flag"]))
 
 
-@query("model_comparison", with_ctes("""
-    SELECT modelo, rmse_min, mae_min, r2, rmsle, round((1 - rmsle / (SELECT min(rmsle) FROM mm)) * 100, 3) AS mejora_pct FROM mm""",
+@query("model_comparison", with_ctes(f"""
+    SELECT modelo, {ROUNDED}, round((1 - rmsle / (SELECT min(rmsle) FROM mm)) * 100, 3) AS mejora_pct FROM mm""",
     "scored", {"mm": METRICS_SQL}))
 def _(spark, sf):
     return r6(ev.model_comparison(test_metrics(spark, sf), list(NAMES)), *METRICS).withColumn(
@@ -918,7 +919,7 @@ def _(spark, sf):
 
 
 @query("run_log", with_ctes(f"""
-    SELECT modelo, CASE modelo WHEN '{model.CALENDAR}' THEN 'mediana por hora y dia' ELSE 'mediana por tramo y hora' END AS tipo, rmsle
+    SELECT modelo, CASE modelo WHEN '{model.CALENDAR}' THEN 'mediana por hora y dia' ELSE 'mediana por tramo y hora' END AS tipo, round(rmsle, 6) AS rmsle
     FROM mm""", "scored", {"mm": METRICS_SQL}))
 def _(spark, sf):
     params = {model.CALENDAR: {"tipo": "mediana por hora y dia"}, model.DISTANCE_HOUR: {"tipo": "mediana por tramo y hora"}}
