@@ -36,15 +36,15 @@ def test_plans_hold_no_python_and_no_cross_join(spark, sf, name):
 
 
 def test_row_level_data_is_never_sorted_in_one_task(spark, sf):
-    for name in ("effect_table", "dedup_exact", "lookup_predict", "quantile_linear"):
+    # Discrete quantiles are left out: they order value counts, which have a bounded number of rows.
+    for name in ("effect_table", "dedup_exact", "demand_aggregate", "quantile_linear"):
         assert not re.search(r"Window[^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", plan_of(spark, sf, name))
 
 
 def test_effects_read_the_table_once(spark, sf):
     from tripstrata.operators.effects import effect_table
 
-    df = effect_table(spark.read.parquet(f"{sf}/lineitem.parquet"), "l_extendedprice", "l_discount", ["l_returnflag", "l_suppkey"])
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final or final.count("Scan parquet") == 1
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    df = effect_table(lines, "l_extendedprice", "l_discount", ["l_returnflag", "l_suppkey"])
+    read = {f.split("/")[-2 if "/stages/" in f else -1].split("-")[0] for f in df.inputFiles()}
+    assert read == {"levels"}

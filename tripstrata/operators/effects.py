@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripstrata.config import DISPERSION_CUTS
 from tripstrata.functions.numeric import band_label, bucket_right_closed
 from tripstrata.operators.quantiles import lower_quantiles, quantiles
+from tripstrata.sources.staging import stage_table
 
 
 def one_row(df: DataFrame) -> Column:
@@ -61,17 +62,16 @@ def _between_shares(df: DataFrame, factors: Sequence[str], values: Sequence[str]
 
     One pass over the rows keeps count, mean and centred squares per level; the total
     is put together from those, so no sum of raw squares can cancel. A level of any
-    weight collapses inside each task before the exchange.
+    weight collapses inside each task before the exchange. The levels are staged, since
+    they are read for the mean of each factor and again for the spread around it.
     """
     long = df.select(*[F.col(f).cast("string").alias(f) for f in factors], *[F.col(v).alias(f"_v_{v}") for v in values])
     long = long.unpivot([f"_v_{v}" for v in values], list(factors), "factor", "nivel")
-    levels = long.groupBy("factor", "nivel").agg(*[
+    levels = stage_table(long.groupBy("factor", "nivel").agg(*[
         stat for v in values for stat in (
             F.count(f"_v_{v}").alias(f"n_{v}"), F.avg(f"_v_{v}").alias(f"m_{v}"), F.var_pop(f"_v_{v}").alias(f"s_{v}")
         )
-    ])
-    # Mean and within-level squares per factor. Uses every column of `levels`, so the
-    # exchange below it is planned once and reused by the join.
+    ]), "levels")
     totals = levels.groupBy("factor").agg(*[
         stat for v in values for stat in (
             (F.sum(F.col(f"n_{v}") * F.col(f"m_{v}")) / F.nullif(F.sum(f"n_{v}"), F.lit(0))).alias(f"g_{v}"),
