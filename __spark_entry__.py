@@ -579,7 +579,7 @@ def dated(df, column="fecha"):
 
 
 def daily(spark, sf):
-    return dm.daily_series(analytics(spark, sf))
+    return stage_table(dm.daily_series(analytics(spark, sf)), "daily")
 
 
 @query("daily_series", with_ctes(DAILY_SQL, "daily"))

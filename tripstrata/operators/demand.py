@@ -13,13 +13,14 @@ from tripstrata.functions.geo import near_any
 from tripstrata.operators.effects import one_row
 from tripstrata.operators.ordering import running_total
 from tripstrata.operators.quantiles import quantiles
+from tripstrata.sources.staging import stage_table
 
 
 def split_share(df: DataFrame, split: str = "split_flag") -> DataFrame:
     """Rows of each split and their share of all rows, from one count per split."""
     counts = df.groupBy(split).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("n"))
-    return counts.withColumn("pct", F.col("n") / total.scalar() * 100)
+    # One row per split.
+    return counts.withColumn("pct", F.col("n") / F.sum("n").over(W.partitionBy()) * 100)
 
 
 def demand_aggregate(df: DataFrame, keys: Sequence[str] = ("pickup_cluster", "pickup_hour", "pickup_dayofweek")) -> DataFrame:
@@ -95,7 +96,10 @@ def weekday_variance_share(daily: DataFrame, value: str = "viajes", day: str = "
 
 
 def extreme_day(daily: DataFrame, value: str = "viajes", day: str = "fecha") -> DataFrame:
-    """The day with fewest trips (the first on a tie), the median day and their ratio."""
+    """The day with fewest trips (the first on a tie), the median day and their ratio.
+
+    Reads ``daily`` twice: pass a staged series where it comes from a large table.
+    """
     middle = one_row(quantiles(daily, [], value, [0.5], ["mediana"], "discrete"))
     return (
         daily.agg(F.min(F.struct(value, day)).alias("low"), F.count(F.lit(1)).alias("dias"))
@@ -117,13 +121,13 @@ def cumulative_share(counts: DataFrame, key: str, amount: str, keys_bounded: boo
     ordered task. Otherwise the keys are range-partitioned and each range continues from
     the total of the ones before it.
     """
-    total = counts.agg(F.sum(amount).alias("t"))
     order = [F.desc(amount), F.col(key)]
     if keys_bounded:
-        window = W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        running = counts.withColumn("_upto", F.sum(amount).over(window))
-    else:
-        running = running_total(counts, order, amount, "_upto")
+        upto = F.sum(amount).over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+        return counts.withColumn("pct_acum", upto / F.sum(amount).over(W.partitionBy()) * 100)
+    counts = stage_table(counts, "counts")
+    total = counts.agg(F.sum(amount).alias("t"))
+    running = running_total(counts, order, amount, "_upto")
     return running.withColumn("pct_acum", F.col("_upto") / total.scalar() * 100).drop("_upto")
 
 
@@ -133,12 +137,9 @@ def zone_concentration(demand: DataFrame, zone: str = "pickup_cluster") -> DataF
     return cumulative_share(counts, zone, "viajes")
 
 
-def top_share(concentration: DataFrame, amount: str = "viajes", top: int = 3) -> DataFrame:
-    """Percentage of the ``top`` largest keys."""
-    largest = concentration.orderBy(F.desc(amount)).limit(top).agg(F.sum(amount).alias("s"))
-    return concentration.agg(F.sum(amount).alias("total")).select(
-        (largest.scalar() / F.col("total") * 100).alias("pct_principales")
-    )
+def top_share(concentration: DataFrame, share: str = "pct_acum", top: int = 3) -> DataFrame:
+    """Percentage of the ``top`` largest keys: the running share at the last of them."""
+    return concentration.orderBy(share).limit(top).agg(F.max(share).alias("pct_principales"))
 
 
 def od_pairs_topk(df: DataFrame, k: int = 10, origin: str = "pickup_cluster",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripstrata.config import RESIDUAL_CUTS, THRESHOLDS
@@ -80,8 +81,9 @@ def overfit_gap(metrics: DataFrame, split: str = "split_flag", names: Sequence[s
 
 def model_comparison(metrics: DataFrame, baselines: Sequence[str], metric: str = "rmsle") -> DataFrame:
     """Every model with its improvement over the best baseline, in percent."""
-    best = metrics.filter(F.col("modelo").isin(list(baselines))).agg(F.min(metric).alias("best"))
-    return metrics.withColumn("mejora_pct", (1 - F.col(metric) / best.scalar()) * 100)
+    # One row per model.
+    best = F.min(F.when(F.col("modelo").isin(list(baselines)), F.col(metric))).over(W.partitionBy())
+    return metrics.withColumn("mejora_pct", (1 - F.col(metric) / best) * 100)
 
 
 def with_residual_minutes(scored: DataFrame, real: str, pred: str, output: str = "residuo_min") -> DataFrame:

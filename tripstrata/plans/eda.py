@@ -9,6 +9,7 @@ from tripstrata.config import MODEL, TABLES, TableNames
 from tripstrata.operators import demand as d
 from tripstrata.operators import effects as e
 from tripstrata.operators.drift import split_drift_check
+from tripstrata.sources.staging import stage_table
 from tripstrata.sources.writers import write_summary_json
 
 CORRELATED = (
@@ -29,7 +30,7 @@ def eda_frames(analytics: DataFrame, demand: DataFrame) -> dict[str, DataFrame]:
     logs = with_logs(analytics)
     residual = e.with_residual(logs, "log_dist", "log_dur")
     profile = d.hour_profile(demand)
-    daily = d.daily_series(analytics)
+    daily = stage_table(d.daily_series(analytics), "daily")
     zones = d.zone_concentration(demand)
     factors = [f for f in MODEL.effect_factors if f in analytics.columns]
     return {

@@ -12,16 +12,20 @@ from tripstrata.operators import alerts as a
 from tripstrata.operators import drift as d
 from tripstrata.operators import scenarios as s
 from tripstrata.sources.readers import stats_from_summary
+from tripstrata.sources.staging import stage_table
 from tripstrata.sources.writers import append_history
 
 
 def monitoring_frames(reference: DataFrame, batch: DataFrame, columns: Sequence[str] = MODEL.monitored,
                       target: str = MODEL.target, intensities: Sequence[float] = INTENSITIES) -> dict[str, DataFrame]:
-    """Drift of features and target, lost coverage and the sensitivity of the detector."""
-    psi = d.psi_by_variable(reference, batch, columns)
-    target_psi = d.target_drift(reference, batch, target)
-    sweep = s.sensitivity_sweep(reference, batch, columns, intensities)
-    lost = a.coverage_loss(reference, batch, ["pickup_cluster", "pickup_hour"])
+    """Drift of features and target, lost coverage and the sensitivity of the detector.
+
+    Each result is a few rows that several frames below read, so it is staged.
+    """
+    psi = stage_table(d.psi_by_variable(reference, batch, columns), "psi")
+    target_psi = stage_table(d.target_drift(reference, batch, target), "target_psi")
+    sweep = stage_table(s.sensitivity_sweep(reference, batch, columns, intensities), "sweep")
+    lost = stage_table(a.coverage_loss(reference, batch, ["pickup_cluster", "pickup_hour"]), "coverage")
     return {
         "psi": psi,
         "deriva": d.with_batch_alert(psi),
