@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
+from importlib.util import find_spec
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -1249,6 +1250,21 @@ def _(spark, sf):
     return monitoring.run_monitoring(spark, names, intensities=(0.0, 1.0))["historial"]
 
 
+# --- Training-data operators: only where their folder is there -----------------
+
+if find_spec("tripstrata.llm"):
+    from tripstrata.llm import queries as llm_queries
+
+    _QUERIES.update(llm_queries.QUERIES)
+    _ORACLE.update(llm_queries.ORACLE)
+
+if find_spec("corpus_pipeline") and find_spec("tripstrata.llm"):
+    import corpus_pipeline
+
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        _ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 # --- Contract ----------------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
