@@ -24,7 +24,8 @@ from tripstrata.llm.text import let, lower_az, split_words
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 NOT_WORD_RAW = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WIDTH = 10
-#: Windows that one broadcast table may hold: about 100 bytes each with their words.
+#: Window hashes that go into the scan as a set of constants, and windows that may be a broadcast table.
+SET_WINDOWS = 20_000
 BROADCAST_WINDOWS = 1_000_000
 
 
@@ -32,12 +33,19 @@ def words_of(text: Column) -> Column:
     return split_words(lower_az(text), NOT_WORD)
 
 
-def window_hashes(words: Column, width: int) -> Column:
-    """The hash of each run of ``width`` words, by its start; none if there are fewer words."""
-    starts = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - width + 1)).otherwise(
+def run_hash(hashes: Column, first: Column, width: int) -> Column:
+    """Hash of ``width`` word hashes from ``first`` (from 0) on."""
+    return F.xxhash64(*[F.get(hashes, first + k) for k in range(width)])
+
+
+def run_starts(words: Column, width: int, among: list[int] | None) -> Column:
+    """Where runs of ``width`` words start (from 0); with ``among`` only those whose hash is in it."""
+    starts = F.when(F.size(words) >= width, F.sequence(F.lit(0), F.size(words) - width)).otherwise(
         F.array().cast("array<int>"))
-    return let(F.transform(words, lambda w: F.xxhash64(w)),
-               lambda hashes: F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, width))))
+    if among is None:
+        return starts
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda hashes: F.filter(
+        starts, lambda i: run_hash(hashes, i, width).isin(among)))
 
 
 def item_windows(benchmark: DataFrame, width: int = WIDTH, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -46,38 +54,39 @@ def item_windows(benchmark: DataFrame, width: int = WIDTH, key: str = "item_id",
         "size(words) > 0").withColumn("width", F.least(F.size("words"), F.lit(width)))
     starts = items.withColumn("at", F.explode(F.expr("sequence(1, size(words) - width + 1)")))
     windows = starts.select("item", "width", F.expr("slice(words, at, width)").alias("window"))
-    return windows.groupBy("width", "window").agg(F.sort_array(F.collect_set("item")).alias("items")).withColumn(
-        "h", F.xxhash64(F.transform("window", lambda w: F.xxhash64(w))))
+    return windows.groupBy("width", "window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
 def window_hits(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id",
                 text: str = "text", item_key: str = "item_id", item_text: str = "text",
-                broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """(key, n_words, first, last, items): verified hits, and one row without a hit for each document.
+                set_windows: int = SET_WINDOWS, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """(key, n_words, first, last, items): verified hits, and at least one row for each document.
 
-    ``first`` and ``last`` count words from 0. The hash table is broadcast up to ``broadcast_windows``
-    windows; beyond that the same join shuffles.
+    ``first`` and ``last`` count words from 0. Up to ``set_windows`` windows their hashes are constants of
+    the scan, so only probes that hit become rows; up to ``broadcast_windows`` every window of a document
+    probes a broadcast table; beyond that the same join shuffles.
     """
     table = item_windows(benchmark, width, item_key, item_text)
     by_width = {r["width"]: r["count"] for r in table.groupBy("width").count().collect()}  # at most ``width`` rows
-    small = sum(by_width.values()) <= broadcast_windows
+    total = sum(by_width.values())
     base = documents.select(F.col(key), words_of(F.col(text)).alias("words"))
 
     def scan(of: int, lead: bool) -> DataFrame:
-        """Hits of windows of ``of`` words; ``lead`` adds a first element that matches nothing."""
-        hashes = window_hashes(F.col("words"), of)
-        elements = F.concat(F.array(F.lit(None).cast("bigint")), hashes) if lead else hashes
-        probes = base.select(key, "words", elements.alias("hashes")).select(
-            key, "words", F.posexplode("hashes").alias("at", "h"))
-        known = table.filter(F.col("width") == of).select("h", "window", "items")
-        hits = probes.join(F.broadcast(known) if small else known, "h", "left" if lead else "inner")
-        start = F.col("at") if lead else F.col("at") + 1
-        same = F.slice("words", F.greatest(start, F.lit(1)), of) == F.col("window")
-        is_hit = F.col("window").isNotNull() & same
-        return hits.filter(((F.col("at") == 0) & F.lit(lead)) | is_hit).select(
-            key, F.when((F.col("at") == 0) & F.lit(lead), F.size("words")).cast("long").alias("n_words"),
-            F.when(is_hit, start - 1).alias("first"), F.when(is_hit, start + of - 2).alias("last"),
-            F.when(is_hit, F.col("items")).alias("items"))
+        own = table.filter(F.col("width") == of).select("window", "items")
+        among = None
+        if total <= set_windows:
+            hashes = F.transform("window", lambda w: F.xxhash64(w))
+            among = [r["h"] for r in own.select(run_hash(hashes, F.lit(0), of).alias("h")).distinct().collect()]
+        starts = run_starts(F.col("words"), of, among)
+        windows = F.transform(starts, lambda i: F.struct(
+            i.cast("long").alias("first"), F.array(*[F.get("words", i + k) for k in range(of)]).alias("window")))
+        probes = base.select(key, F.size("words").cast("long").alias("n_words"), (
+            F.explode_outer if lead else F.explode)(windows).alias("p")).select(key, "n_words", "p.first", "p.window")
+        hits = probes.join(F.broadcast(own) if total <= broadcast_windows else own, "window", "left" if lead else "inner")
+        found = F.col("items").isNotNull()
+        return hits.select(key, F.col("n_words") if lead else F.lit(None).cast("long").alias("n_words"),
+                           F.when(found, F.col("first")).alias("first"),
+                           F.when(found, F.col("first") + of - 1).alias("last"), "items")
 
     widths = sorted(by_width, reverse=True) or [width]
     return reduce(DataFrame.unionByName, [scan(w, w == widths[0]) for w in widths])
@@ -99,9 +108,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH
     """One row per document: words, hit words, items, and the hit spans (of word numbers from 0)."""
     hits = window_hits(documents, benchmark, width, key, text, **more)
     found = hits.groupBy(key).agg(
-        F.sum("n_words").alias("n_words"),
-        F.collect_set(F.when(F.col("first").isNotNull(), F.struct(
-            F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last")))).alias("spans"),
+        F.max("n_words").alias("n_words"),
+        F.collect_set(F.when(F.col("first").isNotNull(), F.struct("first", "last"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     return found.withColumn("n_hit", covered(F.col("spans"))).select(
         key, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

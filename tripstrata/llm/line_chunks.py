@@ -61,11 +61,11 @@ def chunk_ends(hashes: Column, counts: Column, window: int, divisor: int, long_l
 def chunks_of(lines: Column, window: int, divisor: int, long_line: int, least_words: int) -> Column:
     """The chunks (first, last, h) of ``lines``; h is NULL for those that are not compared."""
     def one(s: Column, hashes: Column, counts: Column) -> Column:
-        n = s["last"] - s["first"] + 1
-        return let(F.aggregate(F.slice(counts, s["first"], n), F.lit(0), lambda a, x: a + x), lambda words: F.struct(
+        places = F.sequence(s["first"], s["last"])
+        return let(F.aggregate(places, F.lit(0), lambda a, i: a + F.get(counts, i - 1)), lambda words: F.struct(
             s["first"].alias("first"), s["last"].alias("last"),
-            F.when((words >= least_words) & ((n >= 2) | (words >= long_line)),
-                   F.xxhash64(F.slice(hashes, s["first"], n), words)).alias("h")))
+            F.when((words >= least_words) & ((s["last"] > s["first"]) | (words >= long_line)), F.aggregate(
+                places, words.cast("long"), lambda a, i: F.xxhash64(a, F.get(hashes, i - 1)))).alias("h")))
 
     def cut(hashes: Column, counts: Column, ends: Column) -> Column:
         spans = F.transform(ends, lambda e, i: F.struct(
@@ -100,6 +100,13 @@ def repeated_chunks(documents: DataFrame, key: str = "doc_id", text: str = "text
     return bodies.filter("not is_kept").join(firsts, "h").filter("body = kept_body").select(key, "first", "last")
 
 
+def marks(spans: Column) -> Column:
+    """For sorted spans (first, last), which do not overlap: "1" at the places in one, "0" before and between."""
+    return F.split(F.array_join(F.transform(spans, lambda s, i: F.concat(
+        F.repeat(F.lit("0"), s["first"] - F.coalesce(F.get(spans, i - 1)["last"], F.lit(0)) - 1),
+        F.repeat(F.lit("1"), s["last"] - s["first"] + 1))), ""), "")
+
+
 def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
     """``documents`` with repeated chunks cut from ``text``, and ``n_lines``, ``n_removed`` (lines) added.
 
@@ -109,10 +116,11 @@ def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", *
         F.collect_list(F.struct("first", "last")).alias("_gone")).withColumnRenamed(key, "_gone_key")
     joined = documents.join(gone, documents[key] == F.col("_gone_key"), "left")
     lines = F.split(documents[text], "\n")
-    dropped = F.flatten(F.transform("_gone", lambda s: F.sequence(s["first"], s["last"])))
-    kept = let(dropped, lambda out: F.array_join(F.filter(lines, lambda s, i: ~F.array_contains(out, i + 1)), "\n"))
+    dropped = F.aggregate("_gone", F.lit(0), lambda n, s: n + s["last"] - s["first"] + 1)
+    kept = let(marks(F.sort_array("_gone")), lambda out: F.array_join(F.filter(
+        lines, lambda s, i: ~F.get(out, i).eqNullSafe("1")), "\n"))
     return joined.select(
         *[F.when(F.col("_gone").isNull(), documents[c]).otherwise(kept).alias(c) if c == text else documents[c]
           for c in documents.columns],
         F.when(documents[text].isNotNull(), F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size(dropped)).cast("long").alias("n_removed"))
+        F.when(F.col("_gone").isNull(), 0).otherwise(dropped).cast("long").alias("n_removed"))
