@@ -13,8 +13,9 @@ chunk that a third of all rows have is one row of the grouped side, so its other
 
 Defined results: NULL stays NULL and has no chunk; an empty text is one empty line, never removed;
 empty lines belong to chunks like others; lines end at ``\\n`` only; copies within one document go
-as well; keys that repeat are told apart by a number of their row. A text of which everything goes
-becomes empty. Extra columns pass unchanged, an empty table gives an empty result.
+as well; rows that repeat in key and text are one document and stay alike, rows that share only the key
+are documents of their own. A text of which everything goes becomes empty. Extra columns pass
+unchanged, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -76,28 +77,33 @@ def chunks_of(lines: Column, window: int, divisor: int, long_line: int, least_wo
         chunk_ends(hashes, counts, window, divisor, long_line), lambda ends: cut(hashes, counts, ends))))
 
 
+def row_of(key: str, text: str) -> Column:
+    """What tells documents apart, in the order of keys."""
+    return F.struct(F.col(key), F.xxhash64(F.col(text)).alias("h"))
+
+
 def chunks(documents: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
            divisor: int = DIVISOR, long_line: int = LONG_LINE, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(key, chunks): the chunks of each text that is not NULL."""
-    return documents.filter(F.col(text).isNotNull()).select(key, let(
+    """(row, chunks): the chunks of each text that is not NULL."""
+    return documents.filter(F.col(text).isNotNull()).select(row_of(key, text).alias("row"), let(
         F.split(text, "\n"), lambda lines: chunks_of(lines, window, divisor, long_line, least_words)).alias("chunks"))
 
 
 def repeated_chunks(documents: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
-    """(key, first, last): the chunks to remove, each equal in bytes to one that comes before it."""
+    """(row, first, last): the chunks to remove, each equal in bytes to one that comes before it."""
     cut = chunks(documents, key, text, **rules)
-    rows = stage_table(cut.select(key, F.explode(F.filter("chunks", lambda c: c["h"].isNotNull())).alias("c")).select(
-        key, "c.first", "c.last", "c.h"), "chunks")
-    again = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(key, "first")).alias("kept")).filter(
+    rows = stage_table(cut.select("row", F.explode(F.filter("chunks", lambda c: c["h"].isNotNull())).alias("c")).select(
+        "row", "c.first", "c.last", "c.h"), "chunks")
+    again = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first")).alias("kept")).filter(
         "n > 1").select("h", "kept")
-    asked = rows.join(again, "h").groupBy(key).agg(F.collect_list(F.struct(
-        "first", "last", "h", (F.struct(F.col(key), F.col("first")) == F.col("kept")).alias("is_kept"))).alias("asked"))
-    texts = documents.select(key, text).join(asked, key)
-    bodies = stage_table(texts.select(key, F.split(text, "\n").alias("lines"), F.explode("asked").alias("a")).select(
-        key, "a.*", F.array_join(F.slice("lines", F.col("a.first"), F.col("a.last") - F.col("a.first") + 1), "\n")
+    asked = rows.join(again, "h").groupBy("row").agg(F.collect_set(F.struct(
+        "first", "last", "h", (F.struct("row", "first") == F.col("kept")).alias("is_kept"))).alias("asked"))
+    texts = documents.select(row_of(key, text).alias("row"), F.col(text).alias("text")).join(asked, "row")
+    bodies = stage_table(texts.select("row", F.split("text", "\n").alias("lines"), F.explode("asked").alias("a")).select(
+        "row", "a.*", F.array_join(F.slice("lines", F.col("a.first"), F.col("a.last") - F.col("a.first") + 1), "\n")
         .alias("body")), "chunk-bodies", partition_by="is_kept")
-    firsts = bodies.filter("is_kept").select("h", F.col("body").alias("kept_body"))
-    return bodies.filter("not is_kept").join(firsts, "h").filter("body = kept_body").select(key, "first", "last")
+    firsts = bodies.filter("is_kept").select("h", F.col("body").alias("kept_body")).distinct()
+    return bodies.filter("not is_kept").join(firsts, "h").filter("body = kept_body").select("row", "first", "last")
 
 
 def marks(spans: Column) -> Column:
@@ -108,16 +114,13 @@ def marks(spans: Column) -> Column:
 
 
 def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
-    """``documents`` with repeated chunks cut from ``text``, and ``n_lines``, ``n_removed`` (lines) added.
-
-    ``key`` must identify a row. Use :func:`with_row_key` first where it may repeat.
-    """
-    gone = repeated_chunks(documents, key, text, **rules).groupBy(key).agg(
-        F.collect_list(F.struct("first", "last")).alias("_gone")).withColumnRenamed(key, "_gone_key")
-    joined = documents.join(gone, documents[key] == F.col("_gone_key"), "left")
+    """``documents`` with repeated chunks cut from ``text``, and ``n_lines``, ``n_removed`` (lines) added."""
+    gone = repeated_chunks(documents, key, text, **rules).groupBy("row").agg(
+        F.sort_array(F.collect_set(F.struct("first", "last"))).alias("_gone")).withColumnRenamed("row", "_gone_row")
+    joined = documents.withColumn("_row", row_of(key, text)).join(gone, F.col("_row") == F.col("_gone_row"), "left")
     lines = F.split(documents[text], "\n")
     dropped = F.aggregate("_gone", F.lit(0), lambda n, s: n + s["last"] - s["first"] + 1)
-    kept = let(marks(F.sort_array("_gone")), lambda out: F.array_join(F.filter(
+    kept = let(marks(F.col("_gone")), lambda out: F.array_join(F.filter(
         lines, lambda s, i: ~F.get(out, i).eqNullSafe("1")), "\n"))
     return joined.select(
         *[F.when(F.col("_gone").isNull(), documents[c]).otherwise(kept).alias(c) if c == text else documents[c]

@@ -213,6 +213,21 @@ def with_scores(statistics: DataFrame, model: Model, key: str = "doc_id", thresh
         run, f"`{key}` {dict(statistics.dtypes)[key]}, score double, predicted int")
 
 
+def keep_good(documents: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents`` that the model does not reject, scored and filtered in one pass."""
+    place = documents.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute  # noqa: F401
+
+        for batch in batches:
+            if batch.num_rows:
+                x = np.concatenate([measure(data, a, b) for _, _, data, a, b in in_steps(batch.column(place))])
+                yield batch.filter(pa.array(model.score(x) >= threshold))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def held_out(key: str):
     """Whether a row is kept for testing: crc32 of its key as text is a multiple of five."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5 == 0

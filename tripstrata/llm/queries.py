@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from tripstrata.llm import decontaminate as dc
 from tripstrata.llm import licences as lc
 from tripstrata.llm import line_chunks as ch
+from tripstrata.llm import packing as pk
 from tripstrata.llm import pseudonyms as ps
+from tripstrata.llm import quality as ql
+from tripstrata.llm import set_join as sj
+from tripstrata.llm import token_files as tf
+from tripstrata.llm import tool_calls as tc
+from tripstrata.llm import vector_links as vl
+from tripstrata.sources.staging import stage_table
 
 QUERIES = {}
 ORACLE = {}
@@ -116,3 +123,86 @@ from u left join o on u.doc_id = o.doc_id"""
 @query("op10_licences", _licence_sql())
 def _(spark, sf):
     return lc.scan_licences(table(spark, sf, "documents"))
+
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_vector_links")
+def _(spark, sf):
+    return vl.vector_links(table(spark, sf, "embeddings"))
+
+
+@query("op6_token_files")
+def _(spark, sf):
+    documents = table(spark, sf, "documents")
+    folder = tf.new_folder(documents)
+    return tf.read_tokens(tf.write_tokens(documents, tokenizer(), folder), folder)
+
+
+@query("op7_quality")
+def _(spark, sf):
+    documents, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    stats = stage_table(ql.statistics(documents), "statistics")
+    model = ql.fit(stats, labels.filter(~ql.held_out("doc_id")))
+    return ql.with_scores(stats, model).withColumn("held_out", ql.held_out("doc_id"))
+
+
+@query("op8_packing")
+def _(spark, sf):
+    return pk.pack_documents(table(spark, sf, "documents"), tokenizer())
+
+
+@query("op9_set_join")
+def _(spark, sf):
+    return sj.jaccard_components(table(spark, sf, "documents"))
+
+
+#: Turns of the table as tool traffic: what a user or system turn says is the argument of a call, which refers to
+#: the user turn before it; an assistant turn is the result of the call of the turn before.
+TURN_SCHEMAS = {
+    "ask": {"type": "object", "required": ["text", "n_chars"], "additionalProperties": False, "properties": {
+        "text": {"type": "string", "minLength": 1}, "n_chars": {"type": "integer", "minimum": 25},
+        "after": {"type": "string"}}},
+    "instruct": {"type": "object", "required": ["text"], "additionalProperties": False, "properties": {
+        "text": {"type": "string", "minLength": 1}, "n_chars": {"type": "integer"}}},
+}
+
+
+def tool_messages(conversations):
+    """The messages of :data:`TURN_SCHEMAS`: (conv_id, turn, role, text)."""
+    back = F.when((F.col("role") == "user") & (F.col("turn") >= 2), F.struct(
+        F.concat(F.lit("c"), F.col("turn") - 2).alias("$ref")))
+    call = F.to_json(F.struct(
+        F.concat(F.lit("c"), "turn").alias("id"), F.when(F.col("role") == "user", "ask").otherwise("instruct").alias("name"),
+        F.struct("text", F.length("text").alias("n_chars"), back.alias("after")).alias("arguments")))
+    result = F.to_json(F.struct(F.concat(F.lit("c"), F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
+    answer = F.col("role") == "assistant"
+    return conversations.select(
+        "conv_id", "turn", F.when(answer, "tool").otherwise("assistant").alias("role"),
+        F.when(answer, result).otherwise(F.concat(F.lit("<tool_call>"), call, F.lit("</tool_call>"))).alias("text"))
+
+
+@query("op1_tool_calls", """
+with c as (select conv_id, turn, role, text, 'c' || turn id, 'c' || (turn - 2) back from conversations where role <> 'assistant'),
+a as (select conv_id, turn, text, 'c' || (turn - 1) id from conversations where role = 'assistant'),
+k as (select conv_id, id from c),
+l as (select c.*, a.turn result_turn, a.text content, role = 'user' and c.turn >= 2 refers, k.id is not null known
+  from c left join a on c.conv_id = a.conv_id and c.id = a.id left join k on c.conv_id = k.conv_id and c.back = k.id)
+select conv_id, id call_id, turn, 0 place, case when role = 'user' then 'ask' else 'instruct' end tool,
+  case when result_turn is null then 'unanswered' else 'linked' end status, result_turn,
+  case when role = 'user' then (turn // 2)::int else 0 end as level,
+  case when refers and not known then back else '' end missing_refs,
+  case when role = 'user' and length(text) < 25 then '$.n_chars: minimum' else '' end errors,
+  '{"arguments":{' || case when refers then '"after":{"$ref":"' || back || '"},' else '' end || '"n_chars":' || length(text)
+    || ',"text":' || to_json(text)::varchar || '},"id":"' || id || '","name":"'
+    || case when role = 'user' then 'ask' else 'instruct' end || '","result":'
+    || coalesce(to_json(content)::varchar, 'null') || '}' record from l
+union all
+select a.conv_id, a.id, null, null, null, 'orphan', a.turn, null, '', '', null
+from a left join k on a.conv_id = k.conv_id and a.id = k.id where k.id is null""")
+def _(spark, sf):
+    return tc.link_tool_calls(tool_messages(table(spark, sf, "conversations")), TURN_SCHEMAS)
