@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from tripstrata.llm import decontaminate as dc
@@ -31,6 +33,12 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark, sf, name):
+    """A given table. Python workers on this machine find this package even where the driver's path was set by hand;
+    on a cluster it comes with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{paths}" if paths else root
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

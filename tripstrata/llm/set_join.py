@@ -246,9 +246,9 @@ def list_pairs(blocks: DataFrame) -> DataFrame:
 def wanted_table(pairs: DataFrame) -> np.ndarray:
     """Bitmap of fixed size of the sets that take part in ``pairs``; words of it are or-ed before they reach the driver."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("sig"))
-    bit = F.conv(F.hex(F.substring("sig", 1, TABLE_BITS // 8)), 16, 10).cast("long")
-    words = ends.select(F.shiftright(bit, 5).alias("w"), F.shiftleft(F.lit(1).cast("long"), F.pmod(
-        bit, F.lit(32)).cast("int")).alias("bits")).groupBy("w").agg(F.bit_or("bits").alias("bits"))
+    bits = ends.select(F.conv(F.hex(F.substring("sig", 1, TABLE_BITS // 8)), 16, 10).cast("long").alias("bit"))
+    words = bits.select(F.shiftright("bit", 5).alias("w"), F.expr("shiftleft(1L, int(bit % 32))").alias("bits")).groupBy(
+        "w").agg(F.bit_or("bits").alias("bits"))
     out = np.zeros((1 << TABLE_BITS) // 32, np.uint32)
     for r in words.toLocalIterator():
         out[r["w"]] = r["bits"]

@@ -57,8 +57,7 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
                 own = np.sort(rolled[a:b - size + 1])
                 yield own[np.concatenate(([True], own[1:] != own[:-1]))]
             elif b > a:
-                few = (words[a:b] * PLACES[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a) * SHORT
-                yield mix(np.array([few], np.uint64))
+                yield mix((words[a:b] * PLACES[:b - a]).sum(keepdims=True) + np.array([b - a], np.uint64) * SHORT)
             else:
                 yield np.zeros(0, np.uint64)
 
