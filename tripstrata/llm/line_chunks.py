@@ -102,7 +102,8 @@ def repeated_chunks(documents: DataFrame, key: str = "doc_id", text: str = "text
     bodies = stage_table(texts.select("row", F.split("text", "\n").alias("lines"), F.explode("asked").alias("a")).select(
         "row", "a.*", F.array_join(F.slice("lines", F.col("a.first"), F.col("a.last") - F.col("a.first") + 1), "\n")
         .alias("body")), "chunk-bodies", partition_by="is_kept")
-    firsts = bodies.filter("is_kept").select("h", F.col("body").alias("kept_body")).distinct()
+    # Staged, so that both sides of the join come straight from an exchange and a chunk of very many rows can be split.
+    firsts = stage_table(bodies.filter("is_kept").select("h", F.col("body").alias("kept_body")).distinct(), "first-bodies")
     return bodies.filter("not is_kept").join(firsts, "h").filter("body = kept_body").select("row", "first", "last")
 
 
