@@ -89,7 +89,13 @@ def test_best_two_replace_the_smallest():
     lengths = rng.integers(1, 4097, 3000)
     bins = pk.pack(lengths)
     assert sorted(x for b in bins for x in b) == sorted(lengths.tolist()) and max(map(sum, bins)) <= 4096
-    assert len(bins) <= lengths.sum() / 4096 * 1.03 + 1
+    room = []  # best fit in falling order
+    for x in sorted(lengths.tolist(), reverse=True):
+        fits = [r for r in room if r >= x]
+        if fits:
+            room.remove(min(fits))
+        room.append((min(fits) if fits else 4096) - x)
+    assert len(bins) <= len(room)
 
 
 def test_statistics_of_odd_texts(spark):

@@ -3,7 +3,8 @@
 Each document's ids, with an end id, are cut only where they are longer than a sequence. Full pieces
 are sequences of their own. The others are dealt by a hash into groups of a few thousand, and each
 group is packed by itself: a bin is filled greedily, largest piece first; then its smallest piece
-gives way to two unpacked pieces that fit the widened gap more tightly, as long as that helps. A
+gives way to two unpacked pieces that fit the widened gap more tightly, as long as that helps. Pieces of up to
+a quarter of a sequence come last, each into the smallest gap that takes it, and the rest like the others. A
 group leaves about one bin that is not full, so what grouping costs is below one in a thousand,
 and no task holds more than a group whatever the size of the table.
 
@@ -14,7 +15,7 @@ an empty table gives an empty result; columns beside key and text are not read.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ from tripstrata.llm.tokens import encoder
 END_ID = 1
 CAPACITY = 4096
 GROUP = 4096
+#: Pieces of at most this part of a sequence wait until the larger ones are packed.
+SMALL_PART = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = f"{PIECES}, sequence_id long, offset long"
 
@@ -90,9 +93,9 @@ class Stock:
         return (int(small[i]), int(other[i])) if sums[i] else (0, 0)
 
 
-def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
-    """Bins as lists of lengths, by best-two-fit."""
-    stock, bins = Stock(lengths, capacity), []
+def fill_two_fit(stock: Stock, capacity: int) -> list[list[int]]:
+    """Bins of all of ``stock``: greedy in falling order, then two for the smallest while that is tighter."""
+    bins = []
     while stock.kinds:
         own, room = [], capacity
         while x := stock.largest(room):
@@ -114,6 +117,23 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
     return bins
 
 
+def pack(lengths: np.ndarray, capacity: int = CAPACITY, small_part: int = SMALL_PART) -> list[list[int]]:
+    """Bins as lists of lengths: best-two-fit of the larger pieces, then small ones, largest first, where they fit best."""
+    small = lengths * small_part <= capacity
+    bins = fill_two_fit(Stock(lengths[~small], capacity), capacity)
+    rooms = sorted((capacity - sum(own), n) for n, own in enumerate(bins))
+    left = []
+    for x in np.sort(lengths[small])[::-1].tolist():
+        k = bisect_left(rooms, (x, -1))
+        if k == len(rooms):
+            left.append(x)
+            continue
+        room, n = rooms.pop(k)
+        bins[n].append(x)
+        insort(rooms, (room - x, n))
+    return bins + fill_two_fit(Stock(np.array(left, int), capacity), capacity)
+
+
 def place(group: int, frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
     """Sequence and offset of each piece of a group; pieces of equal length go in the order of their rows."""
     lengths = frame["length"].to_numpy()
