@@ -6,7 +6,7 @@
 2. ``postings``: each distinct set lists the shingles of its prefix (what two similar sets cannot both
    miss) with its size and the position; the lists go to buckets of hashes as binary blocks.
 3. ``list_pairs``: a bucket merges its blocks into inverted lists. A short list yields all its pairs
-   that pass the size and position filters. A long list is not paired out: its members are linked
+   that pass the size filter; a pair stays a candidate if its prefixes share enough in all. A long list is not paired out: its members are linked
    to the member with most copies and to their neighbour in the order of sizes, the sets most like them.
 4. Pairs are verified by their exact overlap, and the verified links joined into components.
 5. ``late_pairs``: members of a long list that are still in different components derive their answers from
@@ -43,7 +43,7 @@ SHINGLE = 5
 #: Lists up to so many sets are paired out.
 SHORT_LIST = 6
 #: Distinct shingles that a chunk of a task counts at a time, sets that make one frequent there, and how many are sent.
-CHUNK, FREQUENT, MOST_FREQUENT = 2_000_000, 8, 200_000
+CHUNK, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 200_000
 #: Bits of the table of frequent shingles and of the table of wanted sets.
 TABLE_BITS = 24
 #: Posting entries per bucket, about.
@@ -198,20 +198,21 @@ def possible(n: np.ndarray, p: np.ndarray, m: np.ndarray, q: np.ndarray) -> np.n
 
 
 def list_pairs(blocks: DataFrame) -> DataFrame:
-    """(a, b, lead, h, n, pos): candidate pairs, and with ``h`` the members of long lists and their leaders (b)."""
+    """Candidate pairs (a, b, shared, n_a, n_b) with the short lists they share, and with ``h`` the members of long lists.
+
+    A member is (a, n_a) at ``pos`` of the list of ``h`` with leader b.
+    """
 
     def run(frame: pa.Table) -> pa.Table:
         sigs, n, copies, h, node, pos = merged(frame.column("block").to_pylist())
         start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         length = np.diff(np.append(start, len(h)))
-        found = [np.zeros((0, 2), np.int64)]
+        found, told = [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
         short = start[(length > 1) & (length <= SHORT_LIST)]
         size = length[(length > 1) & (length <= SHORT_LIST)]
         for i in range(SHORT_LIST):
             for j in range(i + 1, SHORT_LIST):
-                x, y = short[size > j] + i, short[size > j] + j
-                ok = possible(n[node[x]], pos[x], n[node[y]], pos[y])
-                found.append(np.column_stack((node[x][ok], node[y][ok])))
+                found.append(np.column_stack((node[short[size > j] + i], node[short[size > j] + j])))
         long_start, long_size = start[length > SHORT_LIST], length[length > SHORT_LIST]
         members, leaders = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for a, k in zip(long_start, long_size, strict=True):
@@ -219,28 +220,50 @@ def list_pairs(blocks: DataFrame) -> DataFrame:
             lead = own[np.lexsort((own, -copies[own]))[0]]
             members.append(np.arange(a, a + k))
             leaders.append(np.full(k, lead))
-            found.append(np.column_stack((own[own != lead], np.full(k - 1, lead))))
-            found.append(np.column_stack((own[:-1], own[1:])))
-        pairs = np.concatenate(found)
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-        near = pairs[np.minimum(n[pairs[:, 0]], n[pairs[:, 1]]) * WHOLE >= np.maximum(
-            n[pairs[:, 0]], n[pairs[:, 1]]) * PART]
-        at, lead = np.concatenate(members), np.concatenate(leaders)
-        named = np.array([s.tobytes() for s in sigs] + [None], object)
+            told.append(np.column_stack((own[own != lead], np.full(k - 1, lead))))
+            told.append(np.column_stack((own[:-1], own[1:])))
+        low, high = (np.concatenate(x) for x in (found, told))
+        both = np.sort(np.concatenate((low, high)), axis=1)  # by signature: nodes are numbered in its order
+        counted = np.concatenate((np.ones(len(low), np.int64), np.zeros(len(high), np.int64)))
+        small, large = np.minimum(n[both[:, 0]], n[both[:, 1]]), np.maximum(n[both[:, 0]], n[both[:, 1]])
+        near = small * WHOLE >= large * PART
+        pairs, at = np.unique(both[near], axis=0, return_inverse=True)
+        shared = np.bincount(at.ravel(), weights=counted[near], minlength=len(pairs)).astype(np.int64)
+        entry, lead = np.concatenate(members), np.concatenate(leaders)
+        named = np.array([x.tobytes() for x in sigs] + [None], object)
 
         def column(first, second, kind):
             return pa.concat_arrays([pa.array(first, kind), pa.array(second, kind)])
 
-        none = [None] * len(near)
-        low = [sigs[near[:, 0]], sigs[near[:, 1]]]
-        swap = np.array([named[x] > named[y] for x, y in near], bool).reshape(-1)
-        x, y = np.where(swap, near[:, 1], near[:, 0]), np.where(swap, near[:, 0], near[:, 1])
-        del low
-        return pa.table([column(named[x], named[node[at]], pa.binary()), column(named[y], named[lead], pa.binary()),
-                         column(none, h[at].view("<i8"), pa.int64()), column(none, n[node[at]], pa.int64()),
-                         column(none, pos[at], pa.int64())], ["a", "b", "h", "n", "pos"])
-
-    return blocks.groupBy("bucket").applyInArrow(run, "a binary, b binary, h long, n long, pos long")
+        no, none = [None] * len(pairs), [None] * len(entry)
+        return pa.table([
+            column(named[pairs[:, 0]], named[node[entry]], pa.binary()), column(named[pairs[:, 1]], named[lead], pa.binary()),
+            column(shared, none, pa.int64()), column(n[pairs[:, 0]], n[node[entry]], pa.int64()),
+            column(n[pairs[:, 1]], none, pa.int64()), column(no, h[entry].view("<i8"), pa.int64()),
+            column(no, pos[entry], pa.int64())], ["a", "b", "shared", "n_a", "n_b", "h", "pos"])
+
+    return blocks.groupBy("bucket").applyInArrow(
+        run, "a binary, b binary, shared long, n_a long, n_b long, h long, pos long")
+
+
+def likely_pairs(listed: DataFrame) -> DataFrame:
+    """(a, b): the candidates whose prefixes share enough.
+
+    What two sets share beyond the prefix that ends first is part of the rest of one of them, so they
+    need least_overlap - max(rest) shared prefix shingles. Those in short lists are counted, and at most as
+    many more are in long lists as the one of the two has entries there that has fewer.
+    """
+    in_long = listed.filter("h is not null").groupBy(F.col("a").alias("sig")).agg(F.count(F.lit(1)).alias("long"))
+    in_long = stage_table(in_long, "long-entries")
+    pairs = listed.filter("h is null").groupBy("a", "b").agg(
+        F.sum("shared").alias("shared"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+    for end in ("a", "b"):
+        pairs = pairs.join(in_long.select(F.col("sig").alias(end), F.col("long").alias(f"long_{end}")), end, "left")
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * PART / (PART + WHOLE))
+    rest = F.ceil(F.greatest("n_a", "n_b") * PART / WHOLE) - 1
+    more = F.coalesce(F.least("long_a", "long_b"), F.lit(0))
+    more = F.when(F.col("long_a").isNull() | F.col("long_b").isNull(), 0).otherwise(more)
+    return pairs.filter(F.col("shared") + more >= need - rest).select("a", "b")
 
 
 def wanted_table(pairs: DataFrame) -> np.ndarray:
@@ -332,8 +355,9 @@ def late_pairs(members: DataFrame, checked: DataFrame, labels: DataFrame) -> Dat
                 ok = ~told | (bound >= need)
                 out.append(np.column_stack((i[ok], j[ok])))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), int)
+        rank = np.unique(np.frombuffer(b"".join(sig), SIG), return_inverse=True)[1]
+        swap = rank[pairs[:, 0]] > rank[pairs[:, 1]]  # the order of all pairs
         x, y = sig[pairs[:, 0]], sig[pairs[:, 1]]
-        swap = np.array([p > q for p, q in zip(x, y, strict=True)], bool)
         return pd.DataFrame({"a": np.where(swap, y, x), "b": np.where(swap, x, y)})
 
     lists = named.join(split, "h", "left_semi").select("h", "sig", "lead", "n", "pos", "shared", "component")
@@ -351,10 +375,10 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
     entries = own.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(entries * (WHOLE - PART) / WHOLE / BUCKET))
     listed = stage_table(list_pairs(postings(documents, text, late, buckets)), "list-pairs")
-    pairs = stage_table(listed.filter("h is null").select("a", "b").distinct(), "pairs")
+    pairs = stage_table(likely_pairs(listed), "pairs")
     checked = stage_table(verified(pairs, documents, text), "checked")
     labels = stage_table(connected_components(linked(checked)), "labels")
-    members = listed.filter("h is not null").select(F.col("a").alias("sig"), F.col("b").alias("lead"), "h", "n", "pos")
+    members = listed.filter("h is not null").select(F.col("a").alias("sig"), F.col("b").alias("lead"), "h", F.col("n_a").alias("n"), "pos")
     more = stage_table(late_pairs(members, checked, labels), "late-pairs")
     if more.limit(1).count():
         found = linked(verified(more, documents, text))
