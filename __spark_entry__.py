@@ -21,10 +21,10 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from oracle_base import BAND, CENTROIDS, SITES, eta, hav, long_sql, psi_ctes, rnd, state, with_ctes  # noqa: E402
 from oracle_base import _near  # noqa: E402
-from tripstrata.config import MODEL, RULE_NAMES, THRESHOLDS, TableNames  # noqa: E402
+from tripstrata.config import INTENSITIES, MODEL, RULE_NAMES, THRESHOLDS, TableNames  # noqa: E402
 from tripstrata.functions import calendar as cal  # noqa: E402
 from tripstrata.functions import geo, numeric  # noqa: E402
-from tripstrata.functions.typing import apply_types, map_flag  # noqa: E402
+from tripstrata.functions.typing import apply_types, map_flag, schema_report  # noqa: E402
 from tripstrata.operators import alerts as al  # noqa: E402
 from tripstrata.operators import baselines as bl  # noqa: E402
 from tripstrata.operators import demand as dm  # noqa: E402
@@ -132,9 +132,15 @@ def residuals(spark, sf):
 
 # --- Sources, audit, sinks ---------------------------------------------------
 
-@query("read_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+@query("read_table", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def _(spark, sf):
-    return table(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_totalprice")
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query("schema_report", """
+    SELECT unnest(['r_regionkey', 'r_name']) AS columna, unnest(['bigint', 'string']) AS tipo FROM (SELECT count(*) FROM region)""")
+def _(spark, sf):
+    return schema_report(table(spark, sf, "region").select(F.col("r_regionkey").cast("bigint").alias("r_regionkey"), "r_name"))
 
 
 def csv_copy(spark, sf, origin="train"):
@@ -218,11 +224,11 @@ def _(spark, sf):
 
 @query("overwrite_partitioned", """
     SELECT o_orderstatus, count(*) AS n, sum(o_orderkey)::BIGINT AS claves FROM orders
-    WHERE o_orderstatus IN ('F', 'P') GROUP BY 1""")
+    GROUP BY 1""")
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     written = writers.overwrite_partitioned(orders, scratch_tables(spark).analytics, "o_orderstatus")
-    return written.filter("o_orderstatus IN ('F', 'P')").groupBy("o_orderstatus").agg(
+    return written.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("claves"))
 
 
@@ -281,7 +287,7 @@ TEXTS = ["event_id", "event_type", "props"]
 def event_texts(spark, sf):
     return table(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("event_id"), "event_type",
-        F.when(F.col("event_id") % 10 != 0, F.substring("props", 7, 2)).alias("props"))
+        F.when(F.col("event_id") % 10 != 0, F.regexp_replace("props", "[^0-9]", "")).alias("props"))
 
 
 @query("null_counts", """
@@ -294,7 +300,7 @@ def _(spark, sf):
 
 @query("cast_losses", """
     WITH t AS (SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
-                      CASE WHEN event_id % 10 <> 0 THEN substr(props, 7, 2) END AS props FROM events)
+                      CASE WHEN event_id % 10 <> 0 THEN regexp_replace(props, '[^0-9]', '', 'g') END AS props FROM events)
     SELECT 'event_id' AS columna, count(*) FILTER (event_id IS NOT NULL AND try_cast(event_id AS BIGINT) IS NULL) AS valores_perdidos FROM t
     UNION ALL SELECT 'event_type', count(*) FILTER (event_type IS NOT NULL AND try_cast(event_type AS INTEGER) IS NULL) FROM t
     UNION ALL SELECT 'props', count(*) FILTER (props IS NOT NULL AND try_cast(props AS INTEGER) IS NULL) FROM t""")
@@ -759,9 +765,17 @@ def _(spark, sf):
     return od.sample_by_key(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.2, "s42")
 
 
-@query("sample_fraction")
+@query("sample_fraction", """
+    SELECT count(*) AS n_tabla, true AS sin_repetidos, true AS de_la_tabla, true AS cantidad_esperada FROM orders""")
 def _(spark, sf):
-    return od.sample_fraction(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 0.4, 42, 30_000)
+    """A sample differs from run to run of another layout: what must hold is that it is one, of about the size asked for."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    drawn = stage_table(od.sample_fraction(orders, 0.4, 42), "sample")
+    facts = drawn.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("d"))
+    known = drawn.join(orders, "o_orderkey", "left_semi").agg(F.count(F.lit(1)).alias("k")).scalar()
+    return orders.agg(F.count(F.lit(1)).alias("n_tabla")).withColumn("f", facts.select(F.struct("n", "d")).scalar()).select(
+        "n_tabla", (F.col("f.n") == F.col("f.d")).alias("sin_repetidos"), (F.col("f.n") == known).alias("de_la_tabla"),
+        (F.abs(F.col("f.n") - 0.4 * F.col("n_tabla")) <= 5 * F.sqrt(0.24 * F.col("n_tabla"))).alias("cantidad_esperada"))
 
 
 # --- Evaluation --------------------------------------------------------------
@@ -874,49 +888,79 @@ def _(spark, sf):
 # --- Models ------------------------------------------------------------------
 
 LIGHT = md.BoostingParams(4, 10, 0.3)
-LIGHT_GRID = (LIGHT, md.BoostingParams(3, 10, 0.3))
+# Every point of the search, with a twentieth of its iterations: a fit of 300 takes minutes on one machine.
+LIGHT_GRID = tuple(replace(p, max_iter=p.max_iter // 20) for p in md.GRID)
 
 
-@query("fit_zones")
+@query("fit_zones", with_ctes("""
+    SELECT count(*) AS n_entrenamiento, 20 AS n_zonas, true AS dentro, true AS cercanas FROM enriched WHERE split_flag = 'train'""", "enriched"))
 def _(spark, sf):
-    rows = gold.enrich(clean(spark, sf), LIMITS)
-    return zn.centroid_table(rows, zn.centroids_of(zn.fit_zones(rows)))
+    """Fitted centres differ in their last digits: every training row has a zone, and rows lie nearer to it than to the mean of all."""
+    rows = stage_table(gold.enrich(clean(spark, sf), LIMITS), "enriched").filter("split_flag = 'train'")
+    centres = zn.centroids_of(zn.fit_zones(rows))
+    lat, lon = F.col("pickup_latitude"), F.col("pickup_longitude")
+    table_of = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in centres])
+    own = F.get(table_of, F.col("pickup_cluster"))
+    near = F.pow(lat - F.get(own, 0), 2) + F.pow(lon - F.get(own, 1), 2)
+    inside = F.lit(all(THRESHOLDS.lat_min <= a <= THRESHOLDS.lat_max and THRESHOLDS.lon_min <= b <= THRESHOLDS.lon_max
+                       for a, b in centres))
+    return zn.zone_assign(rows, centres).agg(
+        F.count("pickup_cluster").alias("n_entrenamiento"), F.lit(len(centres)).alias("n_zonas"), inside.alias("dentro"),
+        (F.avg(near) < (F.var_pop(lat) + F.var_pop(lon)) / 4).alias("cercanas"))
+
 
+# Fitted trees and weights are not SQL. What SQL can say: the rows of each split, that predictions are in range, and
+# that the error on the log scale is below that of the best constant.
+FACTS = with_ctes("SELECT split_flag, count(*) AS n, true AS en_rango, true AS supera_constante FROM enriched GROUP BY 1", "enriched")
 
-def _test_scores(rows, name):
-    return ev.regression_metrics(rows.filter("split_flag = 'test'").withColumn("modelo", F.lit(name)), "trip_duration", "pred")
 
+def facts(rows, pred="pred", real="trip_duration"):
+    low, high = THRESHOLDS.duration_min_s, THRESHOLDS.duration_max_s
+    miss = F.log1p(F.col(pred)) - F.log1p(F.col(real))
+    return rows.groupBy("split_flag").agg(
+        F.count(pred).alias("n"), ((F.min(pred) >= low) & (F.max(pred) <= high)).alias("en_rango"),
+        (F.avg(miss * miss) < F.var_pop(F.log1p(real))).alias("supera_constante"))
 
-@query("ridge_pipeline")
+
+@query("ridge_pipeline", FACTS)
 def _(spark, sf):
     rows = stored_features(spark, sf)
-    return _test_scores(md.predict(md.fit_ridge(halves(rows)[0]), rows), model.RIDGE)
+    return facts(md.predict(md.fit_ridge(halves(rows)[0]), rows))
 
 
-@query("gbt_pipeline")
+@query("gbt_pipeline", FACTS)
 def _(spark, sf):
     rows = stored_features(spark, sf)
-    return _test_scores(md.predict(md.fit_gbt(halves(rows)[0], LIGHT), rows), model.GBT)
+    return facts(md.predict(md.fit_gbt(halves(rows)[0], LIGHT), rows))
 
 
-@query("forward_search")
+@query("forward_search", "SELECT * FROM (VALUES " + ", ".join(
+    f"({p.max_depth}, {p.max_iter}, CAST({p.learning_rate} AS DOUBLE), 3, true)" for p in LIGHT_GRID)
+    + ") v(max_depth, max_iter, learning_rate, n_ventanas, es_promedio), (SELECT count(*) AS n_eventos FROM events)")
 def _(spark, sf):
     rows = stored_analytics(spark, sf)
     train = bl.attach_dates(halves(q.select_whitelist(rows))[0], rows)
-    return md.forward_search(train, WINDOWS, LIGHT_GRID)[1]
+    errors = F.col("rmsle_por_ventana")
+    mean = F.aggregate(errors, F.lit(0.0), lambda a, x: a + x) / F.size(errors)
+    return md.forward_search(train, WINDOWS, LIGHT_GRID)[1].select(
+        "max_depth", "max_iter", "learning_rate", F.size(errors).alias("n_ventanas"),
+        (F.abs(mean - F.col("rmsle_promedio")) < 1e-3).alias("es_promedio"),
+        table(spark, sf, "events").agg(F.count(F.lit(1))).scalar().alias("n_eventos"))
 
 
-@query("final_fit_predict")
+@query("final_fit_predict", FACTS)
 def _(spark, sf):
     train, test = halves(stored_features(spark, sf))
-    _, rows = md.final_fit_predict(train, test, LIGHT)
-    return rows.select("id", "split_flag", "trip_duration", "pred")
+    return facts(md.final_fit_predict(train, test, LIGHT)[1])
 
 
-@query("permutation_importance")
+@query("permutation_importance", "SELECT variable, true AS en_rango, n_eventos FROM (SELECT unnest(["
+       + ", ".join(f"'{c}'" for c in MODEL.ordered) + "]) AS variable), (SELECT count(*) AS n_eventos FROM events)")
 def _(spark, sf):
     train, test = halves(stored_features(spark, sf))
-    return md.permutation_importance(md.fit_gbt(train, LIGHT), test)
+    found = md.permutation_importance(md.fit_gbt(train, LIGHT), test)
+    return found.select("variable", (F.col("importancia").between(-1, 4) & (F.col("desviacion") >= 0)).alias("en_rango"),
+                        table(spark, sf, "events").agg(F.count(F.lit(1))).scalar().alias("n_eventos"))
 
 
 @query("run_log", with_ctes(f"""
@@ -1051,7 +1095,7 @@ def _(spark, sf):
     return sc.scale_columns(halves(features(spark, sf))[1], 1.0).select("id", *sc.SCALED)
 
 
-SWEEP = (0.0, 0.5, 2.0)
+SWEEP = INTENSITIES
 
 
 def sweep_sql() -> str:
@@ -1078,12 +1122,15 @@ def _(spark, sf):
     return sc.sensitivity_sweep(*halves(stored_features(spark, sf)), MODEL.monitored, SWEEP)
 
 
-@query("sweep_pivot")
+@query("sweep_pivot", "SELECT intensidad, " + ", ".join(
+    f"round(max(psi_maximo) FILTER (escenario = '{s}'), 3) AS \"{s}\"" for s in (sc.NIGHT, sc.ZONES, sc.DISTANCE))
+    + f" FROM ({sweep_sql()}) GROUP BY 1")
 def _(spark, sf):
     return sc.sweep_pivot(sc.sensitivity_sweep(*halves(stored_features(spark, sf)), MODEL.monitored))
 
 
-@query("min_detected_intensity")
+@query("min_detected_intensity", f"""
+    SELECT escenario, min(intensidad) FILTER (alerta) AS intensidad_minima FROM ({sweep_sql()}) GROUP BY 1""")
 def _(spark, sf):
     return sc.min_detected_intensity(sc.sensitivity_sweep(*halves(stored_features(spark, sf)), MODEL.monitored))
 
@@ -1221,6 +1268,13 @@ def through_gold(spark, sf):
     return names, gold.run_gold(spark, names, LIMITS)
 
 
+def through_fixed_zones(spark, sf):
+    """As :func:`through_gold`, with centres that SQL knows."""
+    names, _ = through_silver(spark, sf)
+    gold.run_gold(spark, names, LIMITS, centroids=CENTROIDS)
+    return names
+
+
 @query("run_gold", with_ctes("""
     SELECT split_flag, count(*) AS n, CAST(sum(trip_duration) AS BIGINT) AS segundos, CAST(sum(es_aeropuerto) AS BIGINT) AS aeropuerto,
            round(sum(distancia_haversine_km), 3) AS km FROM enriched GROUP BY 1""", "enriched"))
@@ -1231,23 +1285,38 @@ def _(spark, sf):
         F.sum("es_aeropuerto").alias("aeropuerto"), F.round(F.sum("distancia_haversine_km"), 3).alias("km"))
 
 
-@query("run_eda")
+@query("run_eda", with_ctes("""
+    SELECT count(*) AS n_viajes, round(avg(trip_duration), 6) AS media_seg,
+           CAST(quantile_disc(trip_duration, 0.5) AS DOUBLE) AS mediana_seg FROM enriched""", "enriched"))
 def _(spark, sf):
-    names, _ = through_gold(spark, sf)
-    return eda.run_eda(spark, names)["resumen"].select("n_viajes", "target.*", "ajuste_distancia.*", "orden_esperado_importancia")
+    return eda.run_eda(spark, through_fixed_zones(spark, sf))["resumen"].select(
+        "n_viajes", F.round("target.media_seg", 6).alias("media_seg"), "target.mediana_seg")
 
 
-@query("run_model")
+@query("run_model", with_ctes("SELECT modelo, n, true AS mejor_que_calendario FROM (SELECT unnest(["
+       + ", ".join(f"'{m}'" for m in (model.DISTANCE_HOUR, model.RIDGE, model.GBT, model.TUNED))
+       + "]) AS modelo), (SELECT count(*) AS n FROM enriched WHERE split_flag = 'test')", "enriched"))
 def _(spark, sf):
-    names, _ = through_gold(spark, sf)
-    frames = model.run_model(spark, names, FIRST_DAY, LIMITS, LIGHT_GRID)
-    return frames["comparacion"]
+    names = through_fixed_zones(spark, sf)
+    found = model.run_model(spark, names, FIRST_DAY, LIMITS, LIGHT_GRID)["comparacion"]
+    calendar = found.filter(F.col("modelo") == model.CALENDAR).select("rmsle").scalar()
+    tested = spark.table(names.features).filter("split_flag = 'test'").agg(F.count(F.lit(1))).scalar()
+    return found.filter(F.col("modelo") != model.CALENDAR).select(
+        "modelo", tested.alias("n"), (F.col("rmsle") < calendar).alias("mejor_que_calendario"))
+
 
+#: Distances are rounded in the SQL layers only, so their bins may differ by a row.
+UNROUNDED = ", ".join(f"'{c}'" for c in ("distancia_haversine_km", "distancia_manhattan_km", "bearing_deg"))
 
-@query("run_monitoring")
+
+@query("run_monitoring", with_ctes(f"""
+    SELECT 'particion de evaluacion' AS lote, CASE variable WHEN 'trip_duration' THEN 'objetivo_duracion' ELSE variable END AS variable,
+           CASE variable WHEN 'trip_duration' THEN round(psi, 6) ELSE round(psi, 4) END AS psi,
+           {state("psi")} AS estado, n_referencia, n_lote FROM psi WHERE variable NOT IN ({UNROUNDED})""", "test",
+    psi_ctes(long_sql("train", [*MODEL.monitored, "trip_duration"]), long_sql("test", [*MODEL.monitored, "trip_duration"]))))
 def _(spark, sf):
-    names, _ = through_gold(spark, sf)
-    return monitoring.run_monitoring(spark, names, intensities=(0.0, 1.0))["historial"]
+    frames = monitoring.run_monitoring(spark, through_fixed_zones(spark, sf))
+    return r6(frames["historial"].filter(f"variable NOT IN ({UNROUNDED})").drop("evaluado_en"), "psi")
 
 
 # --- Training-data operators: only where their folder is there -----------------

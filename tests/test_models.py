@@ -52,7 +52,7 @@ def test_trees_know_the_labels_and_beat_the_median(data):
     base = baselines.lookup_predict(test, baselines.group_median_model(train, ["k"], "y", "continuous"), ["k"])
     assert got.rmsle < 0.5 * regression_metrics(base, "y", "pred", by=()).first().rmsle
 
-    importance = models.permutation_importance(model, data, SMALL, rows=800)
+    importance = models.permutation_importance(model, data, SMALL)
     order = [r.variable for r in importance.collect()]
     assert order[:2] == ["x", "k"] and importance.first().importancia > 0.5
 

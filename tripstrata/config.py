@@ -71,6 +71,7 @@ class Thresholds:
     mae_attention: float = 1.15
     mae_critical: float = 1.30
     tail_minutes: float = 15.0
+    scenario_ceiling: float = 0.95
 
 
 @dataclass(frozen=True)

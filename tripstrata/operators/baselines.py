@@ -17,14 +17,16 @@ from tripstrata.sources.staging import stage_table
 
 CALENDAR_KEYS = ("pickup_hour", "pickup_dayofweek")
 DISTANCE_KEYS = ("tramo", "pickup_hour")
+# Valid durations are whole seconds of at most six hours: counting 21,600 values is a bounded task.
+WHOLE_SECONDS = "discrete"
 
 
 def group_median_model(train: DataFrame, keys: Sequence[str], target: str = MODEL.target,
-                       domain: str = "discrete") -> tuple[DataFrame, DataFrame]:
+                       domain: str = "continuous") -> tuple[DataFrame, DataFrame]:
     """(median of the target per key, one-row global median). Rows with an unknown key fit only the latter.
 
-    For a discrete target the training rows are read once: counts per key and value are
-    staged, and both medians come from those.
+    ``discrete`` is for targets with a proven small number of values: the training rows are read once, counts per
+    key and value are staged, and both medians come from those.
     """
     known = reduce(and_, [F.col(k).isNotNull() for k in keys])
     if domain == "discrete":
@@ -56,14 +58,14 @@ def lookup_predict(df: DataFrame, model: tuple[DataFrame, DataFrame], keys: Sequ
 
 def calendar_baseline(train: DataFrame, df: DataFrame, output: str = "pred") -> DataFrame:
     """Median by hour and weekday."""
-    return lookup_predict(df, group_median_model(train, CALENDAR_KEYS), CALENDAR_KEYS, output, keys_bounded=True)
+    return lookup_predict(df, group_median_model(train, CALENDAR_KEYS, domain=WHOLE_SECONDS), CALENDAR_KEYS, output, keys_bounded=True)
 
 
 def distance_hour_baseline(train: DataFrame, df: DataFrame, output: str = "pred",
                            distance: str = "distancia_haversine_km", cuts: Sequence[float] = DISTANCE_CUTS) -> DataFrame:
     """Median by distance band and hour. Distance 0 lies in no band and gets the global median."""
     band = bucket_right_closed(F.col(distance), cuts)
-    model = group_median_model(train.withColumn("tramo", band), DISTANCE_KEYS)
+    model = group_median_model(train.withColumn("tramo", band), DISTANCE_KEYS, domain=WHOLE_SECONDS)
     return lookup_predict(df.withColumn("tramo", band), model, DISTANCE_KEYS, output, keys_bounded=True).drop("tramo")
 
 

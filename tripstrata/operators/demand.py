@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -12,7 +14,7 @@ from tripstrata.config import DROPOFF, PICKUP, THRESHOLDS
 from tripstrata.functions.geo import near_any
 from tripstrata.operators.effects import one_row
 from tripstrata.operators.ordering import running_total
-from tripstrata.operators.quantiles import quantiles
+from tripstrata.operators.quantiles import lower_quantiles, quantiles
 from tripstrata.sources.staging import stage_table
 
 
@@ -26,15 +28,17 @@ def split_share(df: DataFrame, split: str = "split_flag") -> DataFrame:
 def demand_aggregate(df: DataFrame, keys: Sequence[str] = ("pickup_cluster", "pickup_hour", "pickup_dayofweek")) -> DataFrame:
     """Trips, median duration and distance, mean passengers, typical speed and minutes per key.
 
-    Medians are approximate per group, as the serving table asks for; a group of up to a
-    few thousand rows is exact.
+    Medians are exact and lower: the smallest value that half of the group does not exceed. No group is gathered
+    and no sketch is held per group; the narrowing search for distances runs two jobs when this is called.
     """
+    keys = list(keys)
     grouped = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_viajes"),
-        F.percentile_approx("trip_duration", 0.5).alias("duracion_mediana_seg"),
-        F.percentile_approx("distancia_haversine_km", 0.5).alias("distancia_mediana_km"),
         F.round(F.avg("passenger_count"), 2).alias("pasajeros_promedio"),
     )
+    for value, name in (("trip_duration", "duracion_mediana_seg"), ("distancia_haversine_km", "distancia_mediana_km")):
+        grouped = _with_median(grouped, df, keys, value, name)
+    grouped = grouped.select(*keys, "n_viajes", "duracion_mediana_seg", "distancia_mediana_km", "pasajeros_promedio")
     hours = F.col("duracion_mediana_seg") / 3600.0
     return grouped.withColumns({
         "velocidad_mediana_kmh": F.round(F.try_divide(F.col("distancia_mediana_km"), hours), 2),
@@ -42,6 +46,14 @@ def demand_aggregate(df: DataFrame, keys: Sequence[str] = ("pickup_cluster", "pi
     })
 
 
+def _with_median(groups: DataFrame, rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``groups`` with the lower median of ``value``, in the type of the column; NULL keys match."""
+    found = lower_quantiles(rows, keys, value, [0.5], [name]).drop("n").withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [groups[k].eqNullSafe(found[f"_{k}"]) for k in keys])
+    kind = rows.schema[value].dataType
+    return groups.join(found, same, "left").drop(*[f"_{k}" for k in keys]).withColumn(name, F.col(name).cast(kind))
+
+
 def hour_profile(demand: DataFrame) -> DataFrame:
     """Trips and trip-weighted speed and minutes per hour, from the demand table."""
     def weighted(column):
@@ -69,11 +81,10 @@ def slow_fast_hour(profile: DataFrame) -> DataFrame:
 
 
 def daily_series(df: DataFrame, ts: str = "pickup_datetime", speed: str = "velocidad_kmh") -> DataFrame:
-    """Trips and approximate median speed per day."""
-    return df.groupBy(F.to_date(ts).alias("fecha")).agg(
-        F.count(F.lit(1)).alias("viajes"),
-        F.percentile_approx(speed, 0.5).alias("vel"),
-    )
+    """Trips and exact lower median speed per day."""
+    dated = df.select(F.to_date(ts).alias("fecha"), speed)
+    counts = dated.groupBy("fecha").agg(F.count(F.lit(1)).alias("viajes"))
+    return _with_median(counts, dated, ["fecha"], speed, "vel").select("fecha", "viajes", "vel")
 
 
 def moving_average(daily: DataFrame, value: str = "viajes", day: str = "fecha", width: int = 7,

@@ -104,7 +104,7 @@ def effect_table(df: DataFrame, value: str, residual: str, factors: Sequence[str
     )
 
 
-def distribution_shape(df: DataFrame, value: str, domain: str = "discrete", scale: float = 60.0) -> DataFrame:
+def distribution_shape(df: DataFrame, value: str, domain: str = "continuous", scale: float = 60.0) -> DataFrame:
     """Mean, median, 90th percentile (divided by ``scale``), skewness and excess kurtosis, raw and log1p."""
     log = F.log1p(value)
     middle = one_row(lower_quantiles(df, [], value, [0.5, 0.9], ["p50", "p90"], domain))
@@ -127,7 +127,7 @@ def distribution_shape(df: DataFrame, value: str, domain: str = "discrete", scal
 
 
 def band_dispersion(df: DataFrame, band_by: str, value: str, cuts: Sequence[float] = DISPERSION_CUTS,
-                    minimum: int = 100, scale: float = 60.0, domain: str = "discrete", unit: str = "km") -> DataFrame:
+                    minimum: int = 100, scale: float = 60.0, domain: str = "continuous", unit: str = "km") -> DataFrame:
     """p10, p50, p90, their spread and ratio of ``value`` per band; thin bands are left out."""
     banded = df.withColumn("_band", bucket_right_closed(F.col(band_by), cuts, open_end=False)).filter(
         "_band IS NOT NULL")

@@ -37,7 +37,7 @@ def predictions_long(df: DataFrame, real: str, models: dict[str, str], keep: Seq
     return df.select(*keep, real, *columns).unpivot([*keep, real], list(models), "modelo", "pred")
 
 
-def business_reading(scored: DataFrame, real: str, pred: str, domain: str = "discrete") -> DataFrame:
+def business_reading(scored: DataFrame, real: str, pred: str, domain: str = "continuous") -> DataFrame:
     """The error in minutes next to the median trip, as a share of it and as a window around it."""
     middle = one_row(quantiles(scored, [], real, [0.5], ["mediana"], domain))
     return reading_columns(
@@ -131,7 +131,7 @@ def residual_by_band(residuals: DataFrame, distance: str = "distancia_haversine_
 
 
 def tail_contribution(residuals: DataFrame, real: str, residual: str = "residuo_min",
-                      minutes: float = THRESHOLDS.tail_minutes, domain: str = "discrete") -> DataFrame:
+                      minutes: float = THRESHOLDS.tail_minutes, domain: str = "continuous") -> DataFrame:
     """How much of the squared error comes from trips under-predicted by more than ``minutes``."""
     in_tail = F.col(residual) < -minutes
     square = F.col(residual) * F.col(residual)

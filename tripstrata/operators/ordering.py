@@ -57,16 +57,9 @@ def union_parts(*parts: DataFrame) -> DataFrame:
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = THRESHOLDS.seed, limit: int | None = None) -> DataFrame:
-    """Random sample without replacement, capped at ``limit`` rows where one is given.
-
-    With a cap the fraction is first lowered to a little above what the cap can hold, or
-    every task would send up to ``limit`` rows to the one that cuts them off.
-    """
-    if limit is None:
-        return df.sample(fraction=fraction, seed=seed)
-    rows = df.count()
-    enough = min(fraction, (limit + 10 * limit**0.5) / rows) if rows else fraction
-    return df.sample(fraction=enough, seed=seed).limit(limit)
+    """Random sample without replacement; with ``limit`` at most so many of its rows."""
+    drawn = df.sample(fraction=fraction, seed=seed)
+    return drawn if limit is None else drawn.limit(limit)
 
 
 def hash_share(key: Column, salt: str = "") -> Column:
@@ -81,11 +74,5 @@ def sample_by_key(df: DataFrame, key: str, fraction: float, salt: str = "") -> D
 
 
 def sample_rows(df: DataFrame, rows: int, key: str) -> DataFrame:
-    """Exactly ``rows`` rows (all, if there are fewer) chosen by the key alone.
-
-    A first cut keeps about three times as many, so that the final ordering is a small one
-    however many tasks read the table.
-    """
-    total = df.count()
-    drawn = sample_by_key(df, key, 3 * rows / total) if total > 3 * rows else df
-    return drawn.orderBy(hash_share(F.col(key)), key).limit(rows)
+    """Exactly ``rows`` rows (all, if there are fewer) chosen by the key alone. Every task keeps its own first ``rows``."""
+    return df.orderBy(hash_share(F.col(key)), key).limit(rows)

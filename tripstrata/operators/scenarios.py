@@ -27,11 +27,11 @@ def _copies(weight: Column, key: str, salt: str) -> Column:
 
 
 def share_copies(flag: Column, share: Column, increase: float, key: str) -> Column:
-    """Copies per row that raise the share of flagged rows by ``increase``, at most to 0.95.
+    """Copies per row that raise the share of flagged rows by ``increase``, at most to ``Thresholds.scenario_ceiling``.
 
     The key decides alike at every intensity, so a stronger change only adds to a weaker one.
     """
-    target = F.least(F.lit(0.95), share * (1 + increase))
+    target = F.least(F.lit(THRESHOLDS.scenario_ceiling), share * (1 + increase))
     weight = F.when(flag, F.try_divide(target, share)).otherwise(F.try_divide(1 - target, 1 - share))
     return _copies(F.coalesce(weight, F.lit(0.0)), key, "share")
 
@@ -53,13 +53,13 @@ def resample_share(df: DataFrame, increase: float, flag: Column | None = None, k
 
 
 def top_categories(df: DataFrame, column: str, top: int = 3) -> Column:
-    """The most frequent categories as an array subquery; ties in category order."""
-    largest = df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column).limit(top)
+    """The most frequent categories as an array subquery; ties in category order, NULL is none."""
+    largest = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column).limit(top)
     return largest.agg(F.collect_list(column)).scalar()
 
 
 def keep_after_thinning(in_top: Column, intensity: float, key: str) -> Column:
-    kept = hash_share(F.col(key), "thin") < 1 - min(intensity, 0.95)
+    kept = hash_share(F.col(key), "thin") < 1 - min(intensity, THRESHOLDS.scenario_ceiling)
     return ~F.coalesce(in_top, F.lit(False)) | kept
 
 

@@ -55,15 +55,16 @@ def gold_frames(enriched: DataFrame, centroids: Sequence[tuple[float, float]]) -
 
 
 def run_gold(spark: SparkSession, tables: TableNames = TABLES, t: Thresholds = THRESHOLDS,
-             rebalance: bool = False) -> GoldFrames:
+             rebalance: bool = False, centroids: Sequence[tuple[float, float]] | None = None) -> GoldFrames:
     """Clean table to the three product tables; ``rebalance`` evens out the files of the partitioned ones.
 
-    Zones are fitted on the staged enriched rows; assigning them is an expression, so it
+    Zones are fitted on the staged enriched rows, unless ``centroids`` of an earlier run are given, so that later
+    batches get the same zones; assigning them is an expression, so it
     needs no second stage. Every check reads what was written.
     """
     clean = spark.table(tables.clean)
     enriched = stage_table(enrich(clean, t), "enriched")
-    centroids = centroids_of(fit_zones(enriched, k=t.zones, seed=t.seed))
+    centroids = centroids_of(fit_zones(enriched, k=t.zones, seed=t.seed)) if centroids is None else list(centroids)
     frames = gold_frames(enriched, centroids)
     analytics = overwrite_partitioned(frames.analytics, tables.analytics, "pickup_month", rebalance=rebalance)
     demand = overwrite_table(frames.demand, tables.demand)

@@ -18,7 +18,7 @@ from tripstrata.sources.writers import append_history, overwrite_table
 
 @dataclass
 class SilverFrames:
-    flagged: DataFrame
+    flagged: DataFrame | None
     clean: DataFrame
     quarantine: DataFrame
     metrics: DataFrame
@@ -43,7 +43,8 @@ def run_silver(spark: SparkSession, tables: TableNames = TABLES, t: Thresholds =
     """Raw table to clean and quarantined tables, with the quality metrics appended to their history.
 
     The flagged rows are staged once; metrics, both tables and the pattern counts read
-    that stage instead of typing and testing the raw rows again.
+    that stage instead of typing and testing the raw rows again. The stage is dropped at the end, so
+    ``flagged`` is None in the result: the two tables hold its rows.
     """
     bronze = spark.table(tables.raw_trips)
     business = [c for c in bronze.columns if not c.startswith("_")]
@@ -57,7 +58,7 @@ def run_silver(spark: SparkSession, tables: TableNames = TABLES, t: Thresholds =
         conservation_check(staged, {"clean": clean, "quarantine": quarantine}, clean, ["id"]), ["clean", "quarantine"])
     summary = dq_summary(staged)
     result = SilverFrames(
-        staged, clean, quarantine, spark.table(tables.dq_metrics),
+        None, clean, quarantine, spark.table(tables.dq_metrics),
         spark.createDataFrame(summary.collect(), summary.schema), rule_combinations(quarantine))
     drop_stage(staged)
     return result

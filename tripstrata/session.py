@@ -17,9 +17,6 @@ DEFAULTS = {
     # HotSpot leaves methods above 8000 bytes of bytecode uncompiled; wide feature projections
     # run several times faster as separate operators than as one such method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Medians per zone, hour and weekday are a few thousand groups: keep them in a hash table
-    # instead of sorting every task's rows.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
@@ -31,14 +28,19 @@ def get_session(app: str = "tripstrata", cores: int | None = None, **conf) -> Sp
     execution merges small partitions, it does not split ones that are too large.
     """
     builder = SparkSession.builder.appName(app)
-    settings = {**DEFAULTS}
+    local = {}
     if cores:
         builder = builder.master(f"local[{cores}]")
-        settings |= {
+        local = {
             "spark.sql.shuffle.partitions": str(cores),
             "spark.ui.enabled": "false",
             "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "12g"),
         }
-    for key, value in (settings | conf).items():
+    for key, value in (local | conf).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    decided = spark.conf.getAll
+    for key, value in DEFAULTS.items():
+        if key not in decided:
+            spark.conf.set(key, value)
+    return spark

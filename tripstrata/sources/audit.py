@@ -28,17 +28,16 @@ def with_audit(df: DataFrame, columns: list[str], source_file: str, origin: str)
 def load_check(df: DataFrame, key: str = "id", hash_col: str = "_row_hash", expected: int | None = None) -> DataFrame:
     """Rows, distinct hashes, distinct keys, both kinds of duplicates and the expected count.
 
-    The hash covers the key, so equal hashes share a key: distinct rows are counted
-    once per (key, hash), then folded per key. Copies collapse before each exchange,
-    and no distinct aggregate has to expand the rows.
+    Rows are counted once per (key, hash); keys and hashes are then folded from those counts, each by
+    itself, so the hash need not cover the key. Copies collapse before each exchange, the first
+    exchange serves both, and no distinct aggregate has to expand the rows.
     """
-    per_hash = df.groupBy(key, hash_col).agg(F.count(F.lit(1)).alias("rows"))
-    per_key = per_hash.groupBy(key).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("hashes"))
-    totals = per_key.agg(
+    per_pair = df.groupBy(key, hash_col).agg(F.count(F.lit(1)).alias("rows"))
+    hashes = per_pair.groupBy(hash_col).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("n_hash"))
+    totals = per_pair.groupBy(key).agg(F.sum("rows").alias("rows")).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("n_filas"),
-        F.coalesce(F.sum("hashes"), F.lit(0)).alias("n_hash"),
         F.count(F.lit(1)).alias("n_ids"),
-    )
+    ).withColumn("n_hash", hashes.scalar())
     return totals.select(
         "n_filas",
         "n_hash",

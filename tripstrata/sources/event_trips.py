@@ -58,13 +58,5 @@ def raw_trips_from_events(events: DataFrame) -> DataFrame:
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw trips of a data folder.
-
-    A table of fewer splits than cores (a small test file) is spread over the cores first;
-    a large one has enough splits and is not shuffled.
-    """
-    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "user_id", "ts")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores, "event_id")
-    return raw_trips_from_events(events)
+    """Raw trips of a data folder, as its files are split."""
+    return raw_trips_from_events(spark.read.parquet(f"{folder}/events.parquet").select("event_id", "user_id", "ts"))
