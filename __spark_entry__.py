@@ -37,7 +37,7 @@ from tripstrata.operators import quality as q  # noqa: E402
 from tripstrata.operators import quantiles as qt  # noqa: E402
 from tripstrata.operators import scenarios as sc  # noqa: E402
 from tripstrata.operators import zones as zn  # noqa: E402
-from tripstrata.plans import bronze, eda, gold, model, monitoring, silver  # noqa: E402
+from tripstrata.plans import alerting, batches, bronze, eda, gold, model, monitoring, silver  # noqa: E402
 from tripstrata.sources import audit, readers, writers  # noqa: E402
 from tripstrata.sources.event_trips import FIRST_DAY, SPLIT_CUTOFF, raw_trips  # noqa: E402
 from tripstrata.sources.staging import scratch_dir, stage_table  # noqa: E402
@@ -1250,6 +1250,52 @@ def _(spark, sf):
     return audit.load_check(spark.table(names.raw_trips)).select("n_filas", "n_ids", "n_hash")
 
 
+@query("run_bronze_scoring", with_ctes("SELECT count(*) AS n_filas, count(DISTINCT id) AS n_ids, 9 AS n_columnas FROM raw", "raw"))
+def _(spark, sf):
+    names = scratch_tables(spark)
+    bronze.run_bronze(spark, csv_copy(spark, sf, "scoring"), origin="scoring", tables=names)
+    rows = spark.table(names.raw_scoring)
+    known = [c for c in rows.columns if not c.startswith("_")]
+    return audit.load_check(rows).select("n_filas", "n_ids", F.lit(len(known)).alias("n_columnas"))
+
+
+@query("run_batch", with_ctes("""
+    SELECT 'clean' AS capa, CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS fecha, count(*) AS n, CAST(sum(trip_duration) AS BIGINT) AS segundos
+    FROM clean WHERE pickup_datetime >= '2024-01-08' AND pickup_datetime < '2024-01-22' GROUP BY 2
+    UNION ALL SELECT 'quarantine', CAST(CAST(pickup_datetime AS DATE) AS VARCHAR), count(*), CAST(sum(trip_duration) AS BIGINT)
+    FROM quarantine WHERE pickup_datetime >= '2024-01-08' AND pickup_datetime < '2024-01-22' GROUP BY 2
+    UNION ALL SELECT 'analytics', CAST(CAST(pickup_datetime AS DATE) AS VARCHAR), count(*), CAST(sum(pickup_cluster) AS BIGINT)
+    FROM zoned WHERE pickup_datetime >= '2024-01-08' AND pickup_datetime < '2024-01-22' GROUP BY 2
+    UNION ALL SELECT 'features', CAST(CAST(pickup_datetime AS DATE) AS VARCHAR), count(*), CAST(sum(dropoff_cluster) AS BIGINT)
+    FROM zoned WHERE pickup_datetime >= '2024-01-08' AND pickup_datetime < '2024-01-22' GROUP BY 2""", "zoned"))
+def _(spark, sf):
+    """Two weeks one after the other, the first one twice, are the same as both at once."""
+    folder = f"{scratch_dir(spark)}/stages/batches-{uuid.uuid4().hex}"
+    for date in ("2024-01-15", "2024-01-22", "2024-01-15"):
+        stored = batches.run_batch(raw_trips(spark, sf), date, folder, CENTROIDS, LIMITS)
+    added = {"clean": "trip_duration", "quarantine": "trip_duration", "analytics": "pickup_cluster", "features": "dropoff_cluster"}
+    parts = [stored[layer].groupBy(F.lit(layer).alias("capa"), F.col("fecha").cast("string").alias("fecha")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(column).cast("bigint").alias("segundos")) for layer, column in added.items()]
+    return od.union_parts(*parts)
+
+
+@query("run_alerts", with_ctes(ALERTS_SQL.replace(
+    "SELECT pickup_cluster FROM train GROUP BY 1 HAVING count(*) > 0.05 * (SELECT count(*) FROM train)\n          EXCEPT SELECT pickup_cluster FROM test",
+    "(SELECT 'c', pickup_cluster FROM train GROUP BY 2 HAVING count(*) > 0.05 * (SELECT count(*) FROM train) "
+    "EXCEPT SELECT 'c', pickup_cluster FROM test) UNION ALL (SELECT 'h', pickup_hour FROM train GROUP BY 2 "
+    "HAVING count(*) > 0.05 * (SELECT count(*) FROM train) EXCEPT SELECT 'h', pickup_hour FROM test)"), "scored", {
+    **psi_ctes(long_sql("train", [*MODEL.monitored, "trip_duration"]), long_sql("test", [*MODEL.monitored, "trip_duration"])),
+    "mt": "SELECT avg(abs(p_distancia_hora - trip_duration)) / 60 AS m FROM scored WHERE split_flag = 'test'",
+    "mr": "SELECT avg(abs(p_distancia_hora - trip_duration)) / 60 AS m FROM scored WHERE split_flag = 'train'"}))
+def _(spark, sf):
+    rows = stage_table(scored(spark, sf), "scored", partition_by="split_flag")
+    train, test = halves(rows)
+    load = audit.load_check(bronze.bronze_frame(raw_trips(spark, sf), "train.csv"))
+    frames = alerting.run_alerts(spark, train, test, q.dq_summary(flagged(spark, sf)), load, "2024-02-01",
+                                 "p_distancia_hora", scratch_tables(spark), LIMITS)
+    return r6(frames["alertas"].drop("evaluado_en"), "valor", "umbral")
+
+
 def through_silver(spark, sf):
     names = scratch_tables(spark)
     writers.overwrite_table(bronze.bronze_frame(raw_trips(spark, sf), "train.csv"), names.raw_trips)

@@ -120,7 +120,7 @@ class ModelColumns:
 
 @dataclass(frozen=True)
 class TableNames:
-    """Table names per layer. ``catalog`` is optional;"""
+    """Table names per layer. ``catalog`` is optional."""
 
     catalog: str = ""
     bronze: str = "bronze"
@@ -170,6 +170,14 @@ class TableNames:
     def drift(self):
         return self._name(self.gold, "monitoring_drift")
 
+    @property
+    def zones(self):
+        return self._name(self.gold, "zones")
+
+    @property
+    def alerts(self):
+        return self._name(self.gold, "alerts")
+
     @property
     def model_runs(self):
         return self._name(self.gold, "model_runs")

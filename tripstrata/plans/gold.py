@@ -16,7 +16,7 @@ from tripstrata.operators.demand import demand_aggregate, split_share
 from tripstrata.operators.quality import (
     assert_conserved, assert_no_leakage, conservation_check, select_whitelist,
 )
-from tripstrata.operators.zones import centroids_of, fit_zones, zone_assign
+from tripstrata.operators.zones import centroid_table, centroids_of, fit_zones, zone_assign
 from tripstrata.sources.staging import drop_stage, stage_table
 from tripstrata.sources.writers import overwrite_partitioned, overwrite_table
 
@@ -59,12 +59,13 @@ def run_gold(spark: SparkSession, tables: TableNames = TABLES, t: Thresholds = T
     """Clean table to the three product tables; ``rebalance`` evens out the files of the partitioned ones.
 
     Zones are fitted on the staged enriched rows, unless ``centroids`` of an earlier run are given, so that later
-    batches get the same zones; assigning them is an expression, so it
+    batches get the same zones; the centres are kept as a table. Assigning them is an expression, so it
     needs no second stage. Every check reads what was written.
     """
     clean = spark.table(tables.clean)
     enriched = stage_table(enrich(clean, t), "enriched")
     centroids = centroids_of(fit_zones(enriched, k=t.zones, seed=t.seed)) if centroids is None else list(centroids)
+    overwrite_table(centroid_table(clean, centroids), tables.zones)
     frames = gold_frames(enriched, centroids)
     analytics = overwrite_partitioned(frames.analytics, tables.analytics, "pickup_month", rebalance=rebalance)
     demand = overwrite_table(frames.demand, tables.demand)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +39,13 @@ def expected_order(summary: DataFrame) -> DataFrame:
 
 def run_model(spark: SparkSession, tables: TableNames = TABLES, first_day: str = "2016-01-01",
               t: Thresholds = THRESHOLDS, grid: Sequence[m.BoostingParams] = m.GRID, windows: int = 3,
-              eda_path: str | None = None, summary_path: str | None = None, **gbt) -> dict[str, DataFrame]:
+              eda_path: str | None = None, summary_path: str | None = None, model_path: str | None = None,
+              **gbt) -> dict[str, DataFrame]:
     """Fit and compare all models on the features table; append the run history.
 
     The test split takes no part in the search. Scored rows are staged once, since every
-    metric and residual table reads them.
+    metric and residual table reads them. With ``model_path`` the tuned trees and the ridge model are written
+    below it, for :func:`score_batch`.
     """
     target = MODEL.target
     features = spark.table(tables.features)
@@ -56,6 +59,10 @@ def run_model(spark: SparkSession, tables: TableNames = TABLES, first_day: str =
     best, search = m.forward_search(dated, forward_windows(first_day, t.split_cutoff, windows), grid, **gbt)
     tuned, scored = m.final_fit_predict(train, test, best, **gbt)
 
+    if model_path:
+        tuned.write().overwrite().save(f"{model_path}/ajustado")
+        ridge.write().overwrite().save(f"{model_path}/lineal")
+
     scored = baseline_predictions(train, scored.withColumnRenamed("pred", "p_ajustado"))
     scored = m.predict(ridge, scored, "p_lineal_libre", clipped=False)
     scored = scored.withColumn("p_lineal", clip(F.col("p_lineal_libre")))
@@ -99,6 +106,11 @@ def run_model(spark: SparkSession, tables: TableNames = TABLES, first_day: str =
     return frames
 
 
+def score_batch(df: DataFrame, model_path: str, name: str = "ajustado", output: str = "pred") -> DataFrame:
+    """Later rows scored by a model that :func:`run_model` wrote."""
+    return m.predict(PipelineModel.load(f"{model_path}/{name}"), df, output)
+
+
 def model_summary(frames: dict[str, DataFrame], by_split: DataFrame, best: m.BoostingParams,
                   features: DataFrame) -> DataFrame:
     """One row with what later steps need: parameters, metrics, reading, comparison and importances."""
