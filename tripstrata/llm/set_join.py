@@ -304,14 +304,16 @@ def sets_in(documents: DataFrame, text: str, wanted: np.ndarray) -> DataFrame:
 
 
 def verified(pairs: DataFrame, documents: DataFrame, text: str) -> DataFrame:
-    """(a, b, shared, n_a, n_b) for each of ``pairs``, by exact overlap of the two sets."""
+    """(a, b, shared, n_a, n_b) for each of ``pairs``, by exact overlap of the two sets; a staged table."""
     sets = stage_table(sets_in(documents, text, wanted_table(pairs)).groupBy("sig").agg(
         F.first("own").alias("own")), "sets")
     left = sets.select(F.col("sig").alias("a"), F.col("own").alias("own_a"))
     right = sets.select(F.col("sig").alias("b"), F.col("own").alias("own_b"))
-    return pairs.join(left, "a").join(right, "b").select(
+    checked = stage_table(pairs.join(left, "a").join(right, "b").select(
         "a", "b", F.size(F.array_intersect("own_a", "own_b")).cast("long").alias("shared"),
-        F.size("own_a").cast("long").alias("n_a"), F.size("own_b").cast("long").alias("n_b"))
+        F.size("own_a").cast("long").alias("n_a"), F.size("own_b").cast("long").alias("n_b")), "checked")
+    drop_stage(sets)
+    return checked
 
 
 def linked(checked: DataFrame) -> DataFrame:
@@ -376,7 +378,7 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
     buckets = max(1, int(entries * (WHOLE - PART) / WHOLE / BUCKET))
     listed = stage_table(list_pairs(postings(documents, text, late, buckets)), "list-pairs")
     pairs = stage_table(likely_pairs(listed), "pairs")
-    checked = stage_table(verified(pairs, documents, text), "checked")
+    checked = verified(pairs, documents, text)
     labels = stage_table(connected_components(linked(checked)), "labels")
     members = listed.filter("h is not null").select(F.col("a").alias("sig"), F.col("b").alias("lead"), "h", F.col("n_a").alias("n"), "pos")
     more = stage_table(late_pairs(members, checked, labels), "late-pairs")
