@@ -169,6 +169,18 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert tc.link_tool_calls(df.limit(0), SCHEMAS).count() == 0
 
 
+@pytest.mark.parametrize("turns", [512, 2])
+def test_levels_across_blocks(spark, monkeypatch, turns):
+    """Long chains, references ahead, several references and a circle, in one block and in many."""
+    monkeypatch.setattr(tc, "TURNS", turns)
+    refs = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(9)}
+    refs |= {"d0": ["d5"], "d1": ["d0", "c8"], "d5": [], "e1": ["e7"], "e7": ["e1"], "e8": ["e7", "c1"]}
+    rows = [(9, int(k[1:]), "assistant", call(k, "f", x=[{"$ref": r} for r in v])) for k, v in refs.items()]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.call_id: r.level for r in tc.link_tool_calls(df, SCHEMAS).collect()}
+    assert got == {f"c{i}": i for i in range(9)} | {"d5": 0, "d0": 1, "d1": 9, "e1": None, "e7": None, "e8": None}
+
+
 def test_canonical_json():
     value = json.loads('{"b": 1.0, "a": [true, null, 1e2, 0.5, "\\u00fc\\n\\"\\\\"], "\\ud83d\\ude00": 1, "\\ufb33": 2}')
     assert tc.canonical(value) == '{"a":[true,null,100,0.5,"ü\\n\\"\\\\"],"b":1,"😀":1,"דּ":2}'

@@ -3,8 +3,9 @@
 Messages hold calls as ``<tool_call>{"id", "name", "arguments"}</tool_call>`` blocks in any role's text and
 results as messages of role ``tool`` with ``{"tool_call_id", "content"}``. Calls and results meet in a hash join on
 (conversation, identifier). A call depends on the calls that ``{"$ref": identifier}`` in its arguments names;
-levels come from peeling: each round frees the calls all of whose references are freed, for all
-conversations at once, so that no task holds a conversation. Rounds number the longest chain of references.
+levels come from peeling, call by call inside blocks of ``TURNS`` turns of a conversation, so that a task holds a
+block and not a conversation. References across blocks are settled in rounds, for all conversations at
+once; a conversation that fits a block needs one.
 
 One row per call and per result without a call. ``status``: ``linked``, ``unanswered``, ``early`` (the result
 comes before its call), ``duplicate`` (the identifier was used before; only the first is linked and
@@ -24,13 +25,15 @@ import math
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.sources.staging import drop_stage, stage_table
+from tripstrata.sources.staging import stage_table
 
 BLOCK = r"(?s)<tool_call>(.*?)</tool_call>"
 REF = r'"\$ref"\s*:\s*"([^"\\]*)"'
+TURNS = 512
 ROUNDS = 1000
 
 
@@ -110,32 +113,67 @@ def same_call(a: DataFrame, b: DataFrame, name: str = "call_id"):
     return a["conv"].eqNullSafe(b["conv"]) & (a["call_id"] == b[name])
 
 
+def solve(table: pa.Table) -> pa.Table:
+    """Levels of the calls of a block: rows without ``ref`` are calls, others references, ``outside`` with a level or without."""
+    rows = table.to_pylist()
+    waits: dict[str, set] = {r["call_id"]: set() for r in rows if r["ref"] is None}
+    level = dict.fromkeys(waits, 0)
+    users: dict[str, list] = {}
+    for r in rows:
+        if r["ref"] is None:
+            continue
+        if r["outside"] and r["level"] is not None:
+            level[r["call_id"]] = max(level[r["call_id"]], r["level"] + 1)
+        else:
+            waits[r["call_id"]].add(r["ref"])
+            users.setdefault(r["ref"], []).append(r["call_id"])
+    free = [c for c, w in waits.items() if not w]
+    for c in free:  # grows while it is read
+        for user in users.get(c, ()):
+            level[user] = max(level[user], level[c] + 1)
+            waits[user].discard(c)
+            if not waits[user]:
+                free.append(user)
+    return pa.table({"conv": pa.repeat(table.column("conv")[0], len(free)), "call_id": pa.array(free, pa.string()),
+                     "level": pa.array([level[c] for c in free], pa.int32())})
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv, call_id, level, missing_refs) of first calls; level is NULL where references run in a circle."""
-    nodes = stage_table(calls.select("conv", "call_id"), "call-nodes")
+    nodes = stage_table(calls.select("conv", "call_id", F.floor(F.coalesce("turn", F.lit(0)) / TURNS).alias("block")),
+                        "call-nodes")
     refs = calls.select("conv", "call_id", F.explode(F.array_distinct(F.regexp_extract_all(
-        "arguments", F.lit(REF), 1))).alias("ref"))
-    known = nodes.withColumn("known", F.lit(True))
-    named = refs.join(known, refs["conv"].eqNullSafe(known["conv"]) & (refs["ref"] == known["call_id"]), "left").select(
-        refs["conv"], refs["call_id"], "ref", "known")
-    named = stage_table(named, "call-references")
-    missing = named.filter("known is null").groupBy("conv", "call_id").agg(
+        "arguments", F.lit(REF), 1))).alias("ref"), F.floor(F.coalesce("turn", F.lit(0)) / TURNS).alias("block"))
+    known = nodes.select("conv", "call_id", F.col("block").alias("ref_block"))
+    named = stage_table(refs.join(
+        known, refs["conv"].eqNullSafe(known["conv"]) & (refs["ref"] == known["call_id"]), "left").select(
+        refs["conv"], refs["call_id"], "block", "ref", "ref_block"), "call-references")
+    missing = named.filter("ref_block is null").groupBy("conv", "call_id").agg(
         F.array_join(F.array_sort(F.collect_list("ref")), ",").alias("missing_refs"))
-    edges, open_, done = named.filter("known").select("conv", "call_id", "ref"), nodes, None
-    stages = []
-    for level in range(ROUNDS):
-        free = stage_table(open_.join(edges, same_call(open_, edges), "left_anti").withColumn(
-            "level", F.lit(level)), "call-level")
-        if not free.limit(1).count():
+    no_level = F.lit(None).cast("int").alias("level")
+    inside = named.filter("ref_block = block").select("conv", "block", "call_id", "ref", no_level, F.lit(False).alias("outside"))
+    across = named.filter("ref_block <> block").select("conv", "block", "call_id", "ref")
+    own = nodes.select("conv", "block", "call_id", F.lit(None).cast("string").alias("ref"), no_level, F.lit(False).alias("outside"))
+    kind, blocks = dict(calls.dtypes)["conv"], across.limit(1).count()
+    done = stage_table(own.select("conv", "call_id", "level").limit(0), "call-levels")
+    for _ in range(ROUNDS):
+        told = across.join(done, across["conv"].eqNullSafe(done["conv"]) & (across["ref"] == done["call_id"]), "left").select(
+            across["conv"], "block", across["call_id"], "ref", "level", F.lit(True).alias("outside"))
+        rows = own.unionByName(inside).unionByName(told)
+        rows = rows.join(done.drop("level"), same_call(rows, done), "left_anti")
+        # A call that is freed serves the others of its block as one from outside from the next round on.
+        solved = inside.join(done, inside["conv"].eqNullSafe(done["conv"]) & (inside["ref"] == done["call_id"])).select(
+            inside["conv"], "block", inside["call_id"], "ref", done["level"], F.lit(True).alias("outside"))
+        rows = rows.join(solved.select("conv", "call_id", "ref"), rows["conv"].eqNullSafe(solved["conv"]) & (
+            rows["call_id"] == solved["call_id"]) & (rows["ref"] == solved["ref"]), "left_anti").unionByName(
+            solved.join(done.drop("level"), same_call(solved, done), "left_anti"))
+        found = stage_table(rows.groupBy("conv", "block").applyInArrow(
+            solve, f"conv {kind}, call_id string, level int"), "call-levels")
+        if not found.limit(1).count():
+            break
+        done = stage_table(done.unionByName(found), "call-levels")
+        if not blocks:
             break
-        done = free if done is None else done.unionByName(free)
-        open_ = stage_table(open_.join(free, same_call(open_, free), "left_anti"), "calls-left")
-        edges = stage_table(edges.join(free, same_call(free, edges, "ref"), "left_anti"), "references-left")
-        for old in stages:
-            drop_stage(old)
-        stages = [open_, edges]
-    if done is None:
-        done = nodes.withColumn("level", F.lit(0))
     out = nodes.join(done, same_call(nodes, done), "left").select(nodes["conv"], nodes["call_id"], "level")
     return out.join(missing, same_call(out, missing), "left").select(
         out["conv"], out["call_id"], "level", F.coalesce("missing_refs", F.lit("")).alias("missing_refs"))
