@@ -139,7 +139,18 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@query("op2_vector_links")
+@query("op2_vector_links", """
+with recursive v as (select vec_id, label, list_transform(embedding, lambda x: x::double) e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e as (select a.vec_id a, b.vec_id b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+r(a, b) as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
+n as (select a, count(*) n_links from e group by a), c as (select a, min(b) least_id from r group by a)
+select vec_id, coalesce(n_links, 0)::bigint n_links, least(vec_id, coalesce(least_id, vec_id)) component_id,
+  vec_id <= coalesce(least_id, vec_id) kept
+from embeddings left join n on n.a = vec_id left join c on c.a = vec_id""")
 def _(spark, sf):
     return vl.vector_links(table(spark, sf, "embeddings"))
 
@@ -164,7 +175,18 @@ def _(spark, sf):
     return pk.pack_documents(table(spark, sf, "documents"), tokenizer())
 
 
-@query("op9_set_join")
+@query("op9_set_join", rf"""
+with recursive d as (select doc_id, regexp_extract_all({AZ}, '[^\x20\x09-\x0D]+') w from documents),
+s as (select distinct doc_id, case when len(w) >= 5 then array_to_string(w[i:i + 4], ' ') else array_to_string(w, ' ') end x
+  from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) i from d where len(w) > 0)),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+e as (select a, b from l union all select b, a from l),
+r(a, b) as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
+m as (select a, min(b) least_id from r group by a)
+select d.doc_id, coalesce(n, 0)::bigint n_shingles, least(d.doc_id, coalesce(least_id, d.doc_id)) component_id
+from d left join n on n.doc_id = d.doc_id left join m on m.a = d.doc_id""")
 def _(spark, sf):
     return sj.jaccard_components(table(spark, sf, "documents"))
 
