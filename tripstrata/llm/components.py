@@ -26,20 +26,21 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
             "u", F.least("u", "m").alias("m")), "nearest")
         # Large star: neighbours above a node go to the smallest of its neighbourhood.
         large = stage_table(both.join(near, "u").filter("v > u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
+            F.col("v").alias("u"), F.col("m").alias("v")), "large-star")
         # Small star: what lies below a node, and itself, go to the smallest below it.
         low = stage_table(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         moved = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = stage_table(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        # It has settled when every node has one link and no end of a link has one itself.
-        left = small.groupBy("u").count().filter("count > 1").limit(1).count() or small.join(
-            low.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
-        for done in (edges, near, large):
+        # It has settled when every node has one link at most and no end of a link has one itself.
+        ends = small.select(F.explode(F.array(
+            F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("root")),
+            F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("root")))).alias("e")).select("e.*")
+        left = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("root").alias("root")).filter(
+            "up + root > 1").limit(1).count()
+        for done in (edges, near, large, low):
             drop_stage(done)
         edges = small
         if not left:
-            drop_stage(low)
             roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
-        drop_stage(low)
     raise RuntimeError(f"components did not settle in {rounds} rounds")

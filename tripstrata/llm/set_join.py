@@ -9,10 +9,9 @@
    that pass the size filter; a pair stays a candidate if its prefixes share enough in all. A long list is not paired out: its members are linked
    to the member with most copies and to their neighbour in the order of sizes, the sets most like them.
 4. Pairs are verified by their exact overlap, and the verified links joined into components.
-5. ``late_pairs``: members of a long list that are still in different components derive their answers from
-   the overlaps that step 4 computed: |x n y| <= |x n l| + |y - l| for the list's leader l.
-   Blocks of a list sorted by size are skipped as a whole where sizes and positions allow no link,
-   members of one component need no answer, and what remains is verified.
+5. ``late_links``: where the members of a leader are in one component already, their answers follow from it and the group
+   is skipped. Else the members meet block by block, blocks of sizes that allow no link are skipped, and a task
+   returns a spanning forest of the links between components that it finds by exact overlap.
 
 No link between different sets is lost: every similar pair meets in a list, and there either as a
 candidate or through members that are connected already. Shuffled are prefixes (a quarter of the hashes),
@@ -28,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +46,8 @@ CHUNK, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 200_000
 TABLE_BITS = 24
 #: Posting entries per bucket, about.
 BUCKET = 400_000
-BLOCK = 256
+#: Sets in a block whose overlaps one task computes, and shingles that it takes at a time.
+BLOCK, COLUMNS = 512, 2048
 SIG = np.dtype([("a", "<u8"), ("b", "<u8")])
 PAIRS = "a binary, b binary"
 
@@ -191,16 +190,10 @@ def merged(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
     return sigs, n, copies, h[keep], own[keep], pos[keep]
 
 
-def possible(n: np.ndarray, p: np.ndarray, m: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Size and position filter for members (n, p) and (m, q) of one list, n <= m."""
-    return (n * WHOLE >= m * PART) & (p < index_prefix(n)) & (
-        1 + np.minimum(n - p - 1, m - q - 1) >= least_overlap(n, m))
-
-
 def list_pairs(blocks: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b, shared, n_a, n_b) with the short lists they share, and with ``h`` the members of long lists.
+    """Candidate pairs (a, b, shared, n_a, n_b) with the short lists they share, and members of long lists.
 
-    A member is (a, n_a) at ``pos`` of the list of ``h`` with leader b.
+    A member a of long lists with leader b has ``entries``, the number of them in this bucket, and no ``shared``.
     """
 
     def run(frame: pa.Table) -> pa.Table:
@@ -213,7 +206,9 @@ def list_pairs(blocks: DataFrame) -> DataFrame:
         for i in range(SHORT_LIST):
             for j in range(i + 1, SHORT_LIST):
                 found.append(np.column_stack((node[short[size > j] + i], node[short[size > j] + j])))
-        long_start, long_size = start[length > SHORT_LIST], length[length > SHORT_LIST]
+        # Of a similar pair the smaller set has a shared shingle in its shorter prefix: a list without such a member is skipped.
+        reached = np.add.reduceat(pos < index_prefix(n[node]), start) > 0
+        long_start, long_size = start[(length > SHORT_LIST) & reached], length[(length > SHORT_LIST) & reached]
         members, leaders = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for a, k in zip(long_start, long_size, strict=True):
             own = node[a:a + k]
@@ -229,21 +224,22 @@ def list_pairs(blocks: DataFrame) -> DataFrame:
         near = small * WHOLE >= large * PART
         pairs, at = np.unique(both[near], axis=0, return_inverse=True)
         shared = np.bincount(at.ravel(), weights=counted[near], minlength=len(pairs)).astype(np.int64)
-        entry, lead = np.concatenate(members), np.concatenate(leaders)
+        own, entries = np.unique(np.column_stack((node[np.concatenate(members)], np.concatenate(leaders))), axis=0,
+                                 return_counts=True)
         named = np.array([x.tobytes() for x in sigs] + [None], object)
 
         def column(first, second, kind):
             return pa.concat_arrays([pa.array(first, kind), pa.array(second, kind)])
 
-        no, none = [None] * len(pairs), [None] * len(entry)
+        no, none = [None] * len(pairs), [None] * len(own)
         return pa.table([
-            column(named[pairs[:, 0]], named[node[entry]], pa.binary()), column(named[pairs[:, 1]], named[lead], pa.binary()),
-            column(shared, none, pa.int64()), column(n[pairs[:, 0]], n[node[entry]], pa.int64()),
-            column(n[pairs[:, 1]], none, pa.int64()), column(no, h[entry].view("<i8"), pa.int64()),
-            column(no, pos[entry], pa.int64())], ["a", "b", "shared", "n_a", "n_b", "h", "pos"])
+            column(named[pairs[:, 0]], named[own[:, 0]], pa.binary()), column(named[pairs[:, 1]], named[own[:, 1]], pa.binary()),
+            column(shared, none, pa.int64()), column(n[pairs[:, 0]], n[own[:, 0]], pa.int64()),
+            column(n[pairs[:, 1]], none, pa.int64()), column(no, entries, pa.int64())],
+            ["a", "b", "shared", "n_a", "n_b", "entries"])
 
     return blocks.groupBy("bucket").applyInArrow(
-        run, "a binary, b binary, shared long, n_a long, n_b long, h long, pos long")
+        run, "a binary, b binary, shared long, n_a long, n_b long, entries long")
 
 
 def likely_pairs(listed: DataFrame) -> DataFrame:
@@ -253,9 +249,9 @@ def likely_pairs(listed: DataFrame) -> DataFrame:
     need least_overlap - max(rest) shared prefix shingles. Those in short lists are counted, and at most as
     many more are in long lists as the one of the two has entries there that has fewer.
     """
-    in_long = listed.filter("h is not null").groupBy(F.col("a").alias("sig")).agg(F.count(F.lit(1)).alias("long"))
+    in_long = listed.filter("entries is not null").groupBy(F.col("a").alias("sig")).agg(F.sum("entries").alias("long"))
     in_long = stage_table(in_long, "long-entries")
-    pairs = listed.filter("h is null").groupBy("a", "b").agg(
+    pairs = listed.filter("entries is null").groupBy("a", "b").agg(
         F.sum("shared").alias("shared"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
     for end in ("a", "b"):
         pairs = pairs.join(in_long.select(F.col("sig").alias(end), F.col("long").alias(f"long_{end}")), end, "left")
@@ -320,51 +316,86 @@ def linked(checked: DataFrame) -> DataFrame:
     return checked.filter(f"shared * {WHOLE} >= (n_a + n_b - shared) * {PART}").select("a", "b")
 
 
-def late_pairs(members: DataFrame, checked: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of one long list in different components that the leader's answers do not rule out."""
-    both = checked.select("a", "b", "shared").unionByName(
-        checked.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
-    known = members.join(both.withColumnRenamed("b", "lead").withColumnRenamed("a", "sig"), ["sig", "lead"], "left")
-    named = known.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
-        "component", F.coalesce("component", "sig"))
-    split = stage_table(named.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(
-        "x <> y").select("h"), "split-lists")
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["n", "sig"]).reset_index(drop=True)
-        n, pos = frame["n"].to_numpy(), frame["pos"].to_numpy()
-        part = pd.factorize(frame["component"])[0]
-        shared = frame["shared"].fillna(-1).to_numpy().astype(np.int64)
-        n_lead = n[(frame["sig"] == frame["lead"]).to_numpy()]
-        shared = np.where((frame["sig"] == frame["lead"]).to_numpy(), n_lead[0] if len(n_lead) else -1, shared)
-        sig, out = frame["sig"].to_numpy(), []
-        for a in range(0, len(n), BLOCK):
-            x = np.arange(a, min(a + BLOCK, len(n)))
-            for b in range(a, len(n), BLOCK):
-                y = np.arange(b, min(b + BLOCK, len(n)))
-                if n[x[-1]] * WHOLE < n[y[0]] * PART:
-                    break  # sorted by size: no later block has a set small enough
-                if 1 + min((n[x] - pos[x] - 1).max(), (n[y] - pos[y] - 1).max()) < least_overlap(n[x[0]], n[y[0]]):
-                    continue  # the positions leave too little room for any pair of the two blocks
-                i, j = (v.ravel() for v in np.meshgrid(x, y, indexing="ij"))
-                ok = (i < j) & (part[i] != part[j])
-                i, j = i[ok], j[ok]
-                ok = possible(n[i], pos[i], n[j], pos[j])
-                i, j = i[ok], j[ok]
-                need = least_overlap(n[i], n[j])
-                told = (shared[i] >= 0) & (shared[j] >= 0)
-                bound = np.minimum(shared[i] + n[j] - shared[j], shared[j] + n[i] - shared[i])
-                ok = ~told | (bound >= need)
-                out.append(np.column_stack((i[ok], j[ok])))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), int)
-        rank = np.unique(np.frombuffer(b"".join(sig), SIG), return_inverse=True)[1]
-        swap = rank[pairs[:, 0]] > rank[pairs[:, 1]]  # the order of all pairs
-        x, y = sig[pairs[:, 0]], sig[pairs[:, 1]]
-        return pd.DataFrame({"a": np.where(swap, y, x), "b": np.where(swap, x, y)})
-
-    lists = named.join(split, "h", "left_semi").select("h", "sig", "lead", "n", "pos", "shared", "component")
-    pairs = lists.groupBy("h").applyInPandas(run, PAIRS).distinct()
-    return pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+def split_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(lead, sig, n, component) of the leaders whose members are not all in one component yet."""
+    named = stage_table(members.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select(
+        "lead", "sig", "n", F.coalesce("component", "sig").alias("component")), "list-members")
+    split = stage_table(named.groupBy("lead").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).filter(
+        "x <> y").select("lead", "size"), "split-lists")
+    return named.join(split, "lead")
+
+
+def late_links(members: DataFrame, documents: DataFrame, text: str) -> DataFrame:
+    """(a, b): links between different components among the members of one leader, as many as a spanning forest has.
+
+    Members fall into classes of sizes within a factor of 4/3 and, where a class is large, into parts of it; only
+    blocks of neighbouring classes meet, all others are skipped. A task holds two blocks with their sets, computes
+    all overlaps and returns edges of a forest, so neither pairs nor a whole group leave or enter it.
+    """
+    rows = stage_table(members.withColumn("kind", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(WHOLE / PART)))
+                                          .cast("int")), "late-members")
+    wanted = wanted_table(rows.select(F.col("sig").alias("a"), F.col("sig").alias("b")))
+    sets = stage_table(sets_in(documents, text, wanted).groupBy("sig").agg(F.first("own").alias("own")), "sets")
+    parts = stage_table(rows.groupBy("lead", "kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "late-parts")
+    placed = rows.join(parts, ["lead", "kind"]).withColumn("part", F.pmod(F.xxhash64("sig"), "parts").cast("int"))
+    # A block meets itself, later parts of its class, and all parts of the next class.
+    after = parts.select("lead", (F.col("kind") - 1).alias("kind"), F.col("parts").alias("more"))
+    before = parts.select("lead", (F.col("kind") + 1).alias("kind"), F.col("parts").alias("less"))
+    met = placed.join(after, ["lead", "kind"], "left").join(before, ["lead", "kind"], "left")
+
+    def block(kind, part):
+        return F.struct(kind.cast("int").alias("kind"), part.cast("int").alias("part"))
+
+    own = block(F.col("kind"), F.col("part"))
+    no_parts = F.array().cast("array<int>")
+
+    def some(count, kind, first):
+        each = F.when(F.coalesce(count, F.lit(0)) > 0, F.sequence(F.lit(0), count - 1)).otherwise(no_parts)
+        return F.transform(each, lambda p: F.struct(block(kind, p), own) if first else F.struct(own, block(kind, p)))
+
+    same = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
+        block(F.col("kind"), F.least(p, F.col("part"))), block(F.col("kind"), F.greatest(p, F.col("part")))))
+    meets = F.concat(same, some(F.col("more"), F.col("kind") + 1, False), some(F.col("less"), F.col("kind") - 1, True))
+    spread = met.select("lead", "sig", "n", "component", F.explode(meets).alias("meet"))
+    ready = spread.join(sets, "sig").select("lead", "meet", "sig", "component", "own")
+
+    def run(table: pa.Table) -> pa.Table:
+        sig = np.array(table.column("sig").to_pylist(), object)
+        component = np.unique(np.array(table.column("component").to_pylist(), object), return_inverse=True)[1]
+        lists = table.column("own").combine_chunks()
+        n = np.asarray(lists.value_lengths()).astype(np.int64)
+        h, node = np.asarray(lists.flatten()), np.repeat(np.arange(len(n)), n)
+        column = np.unique(h, return_inverse=True)[1]
+        common = np.bincount(column)[column] > 1
+        column, node = np.unique(column[common], return_inverse=True)[1], node[common]
+        shared = np.zeros((len(n), len(n)), np.float32)
+        order = np.argsort(column, kind="stable")
+        column, node = column[order], node[order]
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            here = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+            part = np.zeros((len(n), COLUMNS), np.float32)
+            part[node[here], column[here] - low] = 1
+            shared += part @ part.T
+        x, y = np.nonzero(np.triu(shared * WHOLE >= (n[:, None] + n[None, :] - shared) * PART, 1))
+        apart = component[x] != component[y]
+        x, y = x[apart], y[apart]
+        # A forest over components is enough.
+        root, keep = np.arange(component.max() + 1), []
+        for i, (a, b) in enumerate(zip(component[x].tolist(), component[y].tolist(), strict=True)):
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                keep.append(i)
+        return pa.table({"a": pa.array(sig[x[keep]], pa.binary()), "b": pa.array(sig[y[keep]], pa.binary())})
+
+    found = stage_table(ready.groupBy("lead", "meet").applyInArrow(run, PAIRS), "late-links")
+    for done in (sets, rows, parts):
+        drop_stage(done)
+    return found
 
 
 def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -380,13 +411,13 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
     pairs = stage_table(likely_pairs(listed), "pairs")
     checked = verified(pairs, documents, text)
     labels = stage_table(connected_components(linked(checked)), "labels")
-    members = listed.filter("h is not null").select(F.col("a").alias("sig"), F.col("b").alias("lead"), "h", F.col("n_a").alias("n"), "pos")
-    more = stage_table(late_pairs(members, checked, labels), "late-pairs")
-    if more.limit(1).count():
-        found = linked(verified(more, documents, text))
+    members = listed.filter("entries is not null").select(
+        F.col("a").alias("sig"), F.col("b").alias("lead"), F.col("n_a").alias("n")).distinct()
+    found = late_links(split_members(members, labels), documents, text)
+    if found.limit(1).count():
         joins = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
         labels = stage_table(connected_components(joins), "labels")
-    for done in (listed, pairs, checked, more):
+    for done in (listed, pairs, checked):
         drop_stage(done)
     named = own.filter("n > 0").join(labels.withColumnRenamed("node", "sig"), "sig", "left").select(
         "key", "n", F.coalesce("component", "sig").alias("component"))
