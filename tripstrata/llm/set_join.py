@@ -48,6 +48,8 @@ TABLE_BITS = 24
 BUCKET = 400_000
 #: Sets in a block whose overlaps one task computes, and shingles that it takes at a time.
 BLOCK, COLUMNS = 512, 2048
+#: Every set lists its shingles below this hash (bar frequent ones), so what two sets share there is known exactly.
+BELOW = np.uint64((1 << 64) // WHOLE * (WHOLE - PART))
 SIG = np.dtype([("a", "<u8"), ("b", "<u8")])
 PAIRS = "a binary, b binary"
 
@@ -124,7 +126,7 @@ def postings(documents: DataFrame, text: str, late: np.ndarray, buckets: int) ->
 
         def blocks() -> pa.RecordBatch:
             sigs = np.frombuffer(b"".join(held), SIG)
-            n = np.array([v[0] for v in held.values()], "<i8")
+            n, low = np.array([v[0] for v in held.values()], "<i8"), np.array([v[3] for v in held.values()], "<i8")
             copies = np.array([v[2] for v in held.values()], "<i8")
             each = np.array([len(v[1]) for v in held.values()])
             h = np.concatenate([v[1] for v in held.values()])
@@ -140,7 +142,7 @@ def postings(documents: DataFrame, text: str, late: np.ndarray, buckets: int) ->
                 head = np.array([len(some), len(own)], "<i8").tobytes()
                 numbers.append(k)
                 packed.append(b"".join((head, sigs[some].tobytes(), n[some].astype("<i4").tobytes(),
-                                        copies[some].astype("<i4").tobytes(), h[own].astype("<u8").tobytes(),
+                                        copies[some].astype("<i4").tobytes(), low[some].astype("<i4").tobytes(), h[own].astype("<u8").tobytes(),
                                         at.astype("<i4").tobytes(), pos[own].astype("<i4").tobytes())))
             return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(packed, pa.binary())],
                                               ["bucket", "block"])
@@ -155,8 +157,9 @@ def postings(documents: DataFrame, text: str, late: np.ndarray, buckets: int) ->
                     continue
                 last = flagged(late, own)
                 ordered = np.concatenate((own[~last], own[last])) if last.any() else own
-                prefix = ordered[:probe_prefix(len(own))].copy()
-                held[sig] = [len(own), prefix, 1]
+                low = int(np.searchsorted(own[~last], BELOW))
+                prefix = ordered[:max(probe_prefix(len(own)), low)].copy()
+                held[sig] = [len(own), prefix, 1, low]
                 size += len(prefix)
                 if size > CHUNK // 2:
                     yield blocks()
@@ -168,12 +171,12 @@ def postings(documents: DataFrame, text: str, late: np.ndarray, buckets: int) ->
 
 
 def merged(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Nodes (sigs, n, copies) and entries (h, node, pos) of a bucket, equal sets merged, sorted by h, n, node."""
+    """Nodes (sigs, n, copies, listed below BELOW) and entries (h, node, pos) of a bucket, equal sets merged, sorted by h, n, node."""
     parts = []
     for block in blocks:
         k, m = np.frombuffer(block, "<i8", 2)
         at, out = 16, []
-        for kind, count in ((SIG, k), ("<i4", k), ("<i4", k), ("<u8", m), ("<i4", m), ("<i4", m)):
+        for kind, count in ((SIG, k), ("<i4", k), ("<i4", k), ("<i4", k), ("<u8", m), ("<i4", m), ("<i4", m)):
             out.append(np.frombuffer(block, kind, count, at))
             at += out[-1].nbytes
         parts.append(out)
@@ -181,85 +184,95 @@ def merged(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
     sigs, first, node = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
     n = np.concatenate([p[1] for p in parts])[first].astype(np.int64)
     copies = np.bincount(node, weights=np.concatenate([p[2] for p in parts])).astype(np.int64)
-    h = np.concatenate([p[3] for p in parts])
-    own = node[np.concatenate([p[4] + s for p, s in zip(parts, shift[:-1], strict=True)])]
-    pos = np.concatenate([p[5] for p in parts]).astype(np.int64)
+    low = np.concatenate([p[3] for p in parts])[first].astype(np.int64)
+    h = np.concatenate([p[4] for p in parts])
+    own = node[np.concatenate([p[5] + s for p, s in zip(parts, shift[:-1], strict=True)])]
+    pos = np.concatenate([p[6] for p in parts]).astype(np.int64)
     order = np.lexsort((own, n[own], h))
     h, own, pos = h[order], own[order], pos[order]
     keep = np.concatenate(([True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])))
-    return sigs, n, copies, h[keep], own[keep], pos[keep]
+    return sigs, n, copies, low, h[keep], own[keep], pos[keep]
 
 
 def list_pairs(blocks: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b, shared, n_a, n_b) with the short lists they share, and members of long lists.
+    """Rows of three kinds; ``shared`` and the counts take only shingles below ``BELOW``.
 
-    A member a of long lists with leader b has ``entries``, the number of them in this bucket, and no ``shared``.
+    ``pair``    a candidate (a, b) with sizes, the numbers listed below, and the short lists they share
+    ``count``   a set a with its entries in lists of two or more (``shared``), and in long ones (``long``)
+    ``member``  a set a of long lists with leader b
     """
 
     def run(frame: pa.Table) -> pa.Table:
-        sigs, n, copies, h, node, pos = merged(frame.column("block").to_pylist())
+        sigs, n, copies, low, h, node, pos = merged(frame.column("block").to_pylist())
         start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         length = np.diff(np.append(start, len(h)))
+        below = h[start] < BELOW
         found, told = [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
-        short = start[(length > 1) & (length <= SHORT_LIST)]
-        size = length[(length > 1) & (length <= SHORT_LIST)]
+        counts = [np.zeros(0, np.int64)]
+        short = (length > 1) & (length <= SHORT_LIST)
         for i in range(SHORT_LIST):
             for j in range(i + 1, SHORT_LIST):
-                found.append(np.column_stack((node[short[size > j] + i], node[short[size > j] + j])))
+                here = short & (length > j)
+                found.append(np.column_stack((node[start[here] + i], node[start[here] + j])))
+                counts.append(below[here].astype(np.int64))
         # Of a similar pair the smaller set has a shared shingle in its shorter prefix: a list without such a member is skipped.
         reached = np.add.reduceat(pos < index_prefix(n[node]), start) > 0
-        long_start, long_size = start[(length > SHORT_LIST) & reached], length[(length > SHORT_LIST) & reached]
+        of = np.repeat(np.arange(len(start)), length)
+        shared = np.bincount(node[((length > 1) & below)[of]], minlength=len(n))
+        in_long = np.bincount(node[((length > SHORT_LIST) & below)[of]], minlength=len(n))
         members, leaders = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for a, k in zip(long_start, long_size, strict=True):
+        for a, k in zip(start[(length > SHORT_LIST) & reached], length[(length > SHORT_LIST) & reached], strict=True):
             own = node[a:a + k]
             lead = own[np.lexsort((own, -copies[own]))[0]]
-            members.append(np.arange(a, a + k))
+            members.append(own)
             leaders.append(np.full(k, lead))
             told.append(np.column_stack((own[own != lead], np.full(k - 1, lead))))
             told.append(np.column_stack((own[:-1], own[1:])))
-        low, high = (np.concatenate(x) for x in (found, told))
-        both = np.sort(np.concatenate((low, high)), axis=1)  # by signature: nodes are numbered in its order
-        counted = np.concatenate((np.ones(len(low), np.int64), np.zeros(len(high), np.int64)))
+        first, second = (np.concatenate(x) for x in (found, told))
+        both = np.sort(np.concatenate((first, second)), axis=1)  # by signature: nodes are numbered in its order
+        counted = np.concatenate((np.concatenate(counts), np.zeros(len(second), np.int64)))
         small, large = np.minimum(n[both[:, 0]], n[both[:, 1]]), np.maximum(n[both[:, 0]], n[both[:, 1]])
         near = small * WHOLE >= large * PART
         pairs, at = np.unique(both[near], axis=0, return_inverse=True)
-        shared = np.bincount(at.ravel(), weights=counted[near], minlength=len(pairs)).astype(np.int64)
-        own, entries = np.unique(np.column_stack((node[np.concatenate(members)], np.concatenate(leaders))), axis=0,
-                                 return_counts=True)
+        together = np.bincount(at.ravel(), weights=counted[near], minlength=len(pairs)).astype(np.int64)
+        own = np.unique(np.column_stack((np.concatenate(members), np.concatenate(leaders))), axis=0)
+        some = np.unique(node[(length > 1)[of]])  # also those that share only beyond BELOW: their size and rest count
         named = np.array([x.tobytes() for x in sigs] + [None], object)
+        kind = ["pair"] * len(pairs) + ["count"] * len(some) + ["member"] * len(own)
+        a, none = np.concatenate((pairs[:, 0], some, own[:, 0])), np.full(len(some), len(sigs))
+        b = np.concatenate((pairs[:, 1], none, own[:, 1]))
+        other = np.where(b < len(sigs), b, 0)
+        long = np.concatenate((np.zeros(len(pairs), np.int64), in_long[some], np.zeros(len(own), np.int64)))
+        both_counts = np.concatenate((together, shared[some], np.zeros(len(own), np.int64)))
+        return pa.table([pa.array(kind, pa.string()), pa.array(named[a], pa.binary()), pa.array(named[b], pa.binary()),
+                         pa.array(both_counts), pa.array(long), *[pa.array(x) for x in (n[a], n[other], low[a], low[other])]],
+                        ["kind", "a", "b", "shared", "long", "n_a", "n_b", "low_a", "low_b"])
 
-        def column(first, second, kind):
-            return pa.concat_arrays([pa.array(first, kind), pa.array(second, kind)])
+    return blocks.groupBy("bucket").applyInArrow(
+        run, "kind string, a binary, b binary, shared long, long long, n_a long, n_b long, low_a long, low_b long")
 
-        no, none = [None] * len(pairs), [None] * len(own)
-        return pa.table([
-            column(named[pairs[:, 0]], named[own[:, 0]], pa.binary()), column(named[pairs[:, 1]], named[own[:, 1]], pa.binary()),
-            column(shared, none, pa.int64()), column(n[pairs[:, 0]], n[own[:, 0]], pa.int64()),
-            column(n[pairs[:, 1]], none, pa.int64()), column(no, entries, pa.int64())],
-            ["a", "b", "shared", "n_a", "n_b", "entries"])
 
-    return blocks.groupBy("bucket").applyInArrow(
-        run, "a binary, b binary, shared long, n_a long, n_b long, entries long")
+def set_counts(listed: DataFrame) -> DataFrame:
+    """(sig, n, rest, listed, long): size, shingles that are not below ``BELOW``, entries in lists of two or more, in long ones."""
+    return listed.filter("kind = 'count'").groupBy(F.col("a").alias("sig")).agg(
+        F.max("n_a").alias("n"), F.max(F.col("n_a") - F.col("low_a")).alias("rest"), F.sum("shared").alias("listed"),
+        F.sum("long").alias("long"))
 
 
-def likely_pairs(listed: DataFrame) -> DataFrame:
-    """(a, b): the candidates whose prefixes share enough.
+def likely_pairs(listed: DataFrame, counts: DataFrame) -> DataFrame:
+    """(a, b): the candidates that share enough below ``BELOW``.
 
-    What two sets share beyond the prefix that ends first is part of the rest of one of them, so they
-    need least_overlap - max(rest) shared prefix shingles. Those in short lists are counted, and at most as
-    many more are in long lists as the one of the two has entries there that has fewer.
+    Beyond it two sets share no more than the smaller rest. Below it, shared short lists are counted, and of long
+    ones there are at most as many as the one of the two has that has fewer.
     """
-    in_long = listed.filter("entries is not null").groupBy(F.col("a").alias("sig")).agg(F.sum("entries").alias("long"))
-    in_long = stage_table(in_long, "long-entries")
-    pairs = listed.filter("entries is null").groupBy("a", "b").agg(
-        F.sum("shared").alias("shared"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+    pairs = listed.filter("kind = 'pair'").groupBy("a", "b").agg(F.sum("shared").alias("shared"), *[
+        F.max(c).alias(c) for c in ("n_a", "n_b", "low_a", "low_b")])
     for end in ("a", "b"):
-        pairs = pairs.join(in_long.select(F.col("sig").alias(end), F.col("long").alias(f"long_{end}")), end, "left")
+        pairs = pairs.join(counts.filter("long > 0").select(F.col("sig").alias(end), F.col("long").alias(f"long_{end}")), end, "left")
     need = F.ceil((F.col("n_a") + F.col("n_b")) * PART / (PART + WHOLE))
-    rest = F.ceil(F.greatest("n_a", "n_b") * PART / WHOLE) - 1
-    more = F.coalesce(F.least("long_a", "long_b"), F.lit(0))
-    more = F.when(F.col("long_a").isNull() | F.col("long_b").isNull(), 0).otherwise(more)
-    return pairs.filter(F.col("shared") + more >= need - rest).select("a", "b")
+    rest = F.least(F.col("n_a") - F.col("low_a"), F.col("n_b") - F.col("low_b"))
+    more = F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0)))
+    return pairs.filter(F.col("shared") + more + rest >= need).select("a", "b")
 
 
 def wanted_table(pairs: DataFrame) -> np.ndarray:
@@ -317,29 +330,23 @@ def linked(checked: DataFrame) -> DataFrame:
 
 
 def split_members(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(lead, sig, n, component) of the leaders whose members are not all in one component yet."""
-    named = stage_table(members.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select(
-        "lead", "sig", "n", F.coalesce("component", "sig").alias("component")), "list-members")
+    """``members`` with their component, of the leaders whose members are not all in one component yet."""
+    named = stage_table(members.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
+        "component", F.coalesce("component", "sig")), "list-members")
     split = stage_table(named.groupBy("lead").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size")).filter(
-        "x <> y").select("lead", "size"), "split-lists")
+        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("lead"), "split-lists")
     return named.join(split, "lead")
 
 
-def late_links(members: DataFrame, documents: DataFrame, text: str) -> DataFrame:
-    """(a, b): links between different components among the members of one leader, as many as a spanning forest has.
+def meetings(members: DataFrame) -> DataFrame:
+    """``members`` once for each pair of blocks (``meet``) that they are in.
 
-    Members fall into classes of sizes within a factor of 4/3 and, where a class is large, into parts of it; only
-    blocks of neighbouring classes meet, all others are skipped. A task holds two blocks with their sets, computes
-    all overlaps and returns edges of a forest, so neither pairs nor a whole group leave or enter it.
+    A block is a class of sizes within a factor of 4/3 or, where a class is large, a part of it. It meets itself, the
+    other parts of its class, and the parts of both neighbouring classes; all others are skipped.
     """
-    rows = stage_table(members.withColumn("kind", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(WHOLE / PART)))
-                                          .cast("int")), "late-members")
-    wanted = wanted_table(rows.select(F.col("sig").alias("a"), F.col("sig").alias("b")))
-    sets = stage_table(sets_in(documents, text, wanted).groupBy("sig").agg(F.first("own").alias("own")), "sets")
-    parts = stage_table(rows.groupBy("lead", "kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "late-parts")
+    rows = members.withColumn("kind", F.floor(F.log("n") / F.log(F.lit(WHOLE / PART * (1 + 1e-9)))).cast("int"))
+    parts = stage_table(rows.groupBy("lead", "kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "block-parts")
     placed = rows.join(parts, ["lead", "kind"]).withColumn("part", F.pmod(F.xxhash64("sig"), "parts").cast("int"))
-    # A block meets itself, later parts of its class, and all parts of the next class.
     after = parts.select("lead", (F.col("kind") - 1).alias("kind"), F.col("parts").alias("more"))
     before = parts.select("lead", (F.col("kind") + 1).alias("kind"), F.col("parts").alias("less"))
     met = placed.join(after, ["lead", "kind"], "left").join(before, ["lead", "kind"], "left")
@@ -348,17 +355,41 @@ def late_links(members: DataFrame, documents: DataFrame, text: str) -> DataFrame
         return F.struct(kind.cast("int").alias("kind"), part.cast("int").alias("part"))
 
     own = block(F.col("kind"), F.col("part"))
-    no_parts = F.array().cast("array<int>")
 
     def some(count, kind, first):
-        each = F.when(F.coalesce(count, F.lit(0)) > 0, F.sequence(F.lit(0), count - 1)).otherwise(no_parts)
+        each = F.when(F.coalesce(count, F.lit(0)) > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
         return F.transform(each, lambda p: F.struct(block(kind, p), own) if first else F.struct(own, block(kind, p)))
 
     same = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(
         block(F.col("kind"), F.least(p, F.col("part"))), block(F.col("kind"), F.greatest(p, F.col("part")))))
     meets = F.concat(same, some(F.col("more"), F.col("kind") + 1, False), some(F.col("less"), F.col("kind") - 1, True))
-    spread = met.select("lead", "sig", "n", "component", F.explode(meets).alias("meet"))
-    ready = spread.join(sets, "sig").select("lead", "meet", "sig", "component", "own")
+    return met.select(*members.columns, F.explode(meets).alias("meet"))
+
+
+def promising(members: DataFrame) -> DataFrame:
+    """(lead, sig, n, component) of the members that sizes and counts allow a link to another component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        n, rest, listed = (np.asarray(table.column(c)).astype(np.int64) for c in ("n", "rest", "listed"))
+        component = np.unique(np.array(table.column("component").to_pylist(), object), return_inverse=True)[1]
+        may = (np.minimum(listed[:, None], listed) + np.minimum(rest[:, None], rest) >= least_overlap(n[:, None], n)) & (
+            component[:, None] != component) & (np.minimum(n[:, None], n) * WHOLE >= np.maximum(n[:, None], n) * PART)
+        return table.select(["lead", "sig", "n", "component"]).filter(pa.array(may.any(1)))
+
+    return meetings(members).groupBy("lead", "meet").applyInArrow(
+        run, "lead binary, sig binary, n long, component binary").distinct()
+
+
+def late_links(members: DataFrame, documents: DataFrame, text: str) -> DataFrame:
+    """(a, b): links between different components among the members of one leader, as many as a spanning forest has.
+
+    A task holds two blocks with their sets, computes all overlaps and returns edges of a forest, so neither pairs nor a
+    whole group leave or enter it.
+    """
+    rows = stage_table(members, "late-members")
+    wanted = wanted_table(rows.select(F.col("sig").alias("a"), F.col("sig").alias("b")))
+    sets = stage_table(sets_in(documents, text, wanted).groupBy("sig").agg(F.first("own").alias("own")), "sets")
+    ready = meetings(rows).join(sets, "sig").select("lead", "meet", "sig", "component", "own")
 
     def run(table: pa.Table) -> pa.Table:
         sig = np.array(table.column("sig").to_pylist(), object)
@@ -393,7 +424,7 @@ def late_links(members: DataFrame, documents: DataFrame, text: str) -> DataFrame
         return pa.table({"a": pa.array(sig[x[keep]], pa.binary()), "b": pa.array(sig[y[keep]], pa.binary())})
 
     found = stage_table(ready.groupBy("lead", "meet").applyInArrow(run, PAIRS), "late-links")
-    for done in (sets, rows, parts):
+    for done in (sets, rows):
         drop_stage(done)
     return found
 
@@ -408,16 +439,17 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
     entries = own.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(entries * (WHOLE - PART) / WHOLE / BUCKET))
     listed = stage_table(list_pairs(postings(documents, text, late, buckets)), "list-pairs")
-    pairs = stage_table(likely_pairs(listed), "pairs")
+    counts = stage_table(set_counts(listed), "set-counts")
+    pairs = stage_table(likely_pairs(listed, counts), "pairs")
     checked = verified(pairs, documents, text)
     labels = stage_table(connected_components(linked(checked)), "labels")
-    members = listed.filter("entries is not null").select(
-        F.col("a").alias("sig"), F.col("b").alias("lead"), F.col("n_a").alias("n")).distinct()
-    found = late_links(split_members(members, labels), documents, text)
+    members = listed.filter("kind = 'member'").select(F.col("a").alias("sig"), F.col("b").alias("lead")).distinct().join(
+        counts, "sig")
+    found = late_links(promising(split_members(members, labels)), documents, text)
     if found.limit(1).count():
         joins = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
         labels = stage_table(connected_components(joins), "labels")
-    for done in (listed, pairs, checked):
+    for done in (listed, pairs, checked, counts):
         drop_stage(done)
     named = own.filter("n > 0").join(labels.withColumnRenamed("node", "sig"), "sig", "left").select(
         "key", "n", F.coalesce("component", "sig").alias("component"))
