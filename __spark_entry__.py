@@ -888,8 +888,8 @@ def _(spark, sf):
 # --- Models ------------------------------------------------------------------
 
 LIGHT = md.BoostingParams(4, 10, 0.3)
-# Every point of the search, with a twentieth of its iterations: a fit of 300 takes minutes on one machine.
-LIGHT_GRID = tuple(replace(p, max_iter=p.max_iter // 20) for p in md.GRID)
+# Every point of the search, with two or three iterations: a fit of 300 takes minutes on one machine.
+LIGHT_GRID = tuple(replace(p, max_iter=max(2, p.max_iter // 100)) for p in md.GRID)
 
 
 @query("fit_zones", with_ctes("""
