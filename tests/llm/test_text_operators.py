@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +234,44 @@ def test_order_and_gaps_count(spark):
                    5: (0, "", "none"), 6: (0, "", "none"), 7: (0, "", "none"), 8: (2, "MIT,Proprietary", "restricted"),
                    9: (2, "Proprietary", "restricted")}
     assert lc.scan_licences(frame(spark, [])).count() == 0
+
+
+def test_wrapped_sentences_are_found(spark):
+    def wrapped(ids, lead=""):
+        return "\n\n".join(textwrap.fill(lc.SENTENCES[i], 72, initial_indent=lead, subsequent_indent=lead) for i in ids)
+
+    leads = ["", " * ", "// ", "# ", "REM ", "dnl "]
+    rows = [(len(leads) * n + k, wrapped(ids, lead)) for n, (_, _, ids) in enumerate(lc.RULES) for k, lead in enumerate(leads)]
+    got = by_key(lc.scan_licences(frame(spark, rows)))
+    for n, (name, _, ids) in enumerate(lc.RULES):
+        for k in range(len(leads)):
+            row = got[len(leads) * n + k]
+            assert name in row.licences.split(",") and row.n_known == len(ids), (name, leads[k], row)
+
+
+def test_wrapped_files(spark):
+    apache = """/*
+ * Copyright 2020 A. Person
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+"""
+    grant, keep, as_is = (textwrap.fill(lc.SENTENCES[f"mit-{k}"], 72) for k in ("grant", "keep", "as-is"))
+    other = textwrap.fill("a sentence of our own that nobody knows " * 8, 72) + "."
+    half = len(grant) // 2
+    rows = [(1, apache), (2, apache.replace("\n", "\r\n")), (3, f"MIT License\n{grant}\n{keep}\n{as_is}"),
+            (4, f"{grant}\n\n{other}\n\n{keep}\n{as_is}"), (5, "All rights\n# reserved."), (6, "All rights\n\nreserved."),
+            (7, f"{grant[:half].rsplit(' ', 1)[0]}\n\n{grant[half:]}\n{keep}\n{as_is}"), (8, "\n" * 100_000 + "MIT License")]
+    got = {k: (r.n_known, r.licences) for k, r in by_key(lc.scan_licences(frame(spark, rows))).items()}
+    assert got == {1: (4, "Apache-2.0"), 2: (4, "Apache-2.0"), 3: (4, "MIT"), 4: (3, "MIT"), 5: (1, "Proprietary"),
+                   6: (0, ""), 7: (2, ""), 8: (1, "")}

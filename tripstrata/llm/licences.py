@@ -2,9 +2,12 @@
 
 A text is cut into sentences at line ends and after ``. ! ? ; :`` before white space; each sentence
 is reduced to lower-case letters and digits with single spaces and looked up among the known licence
-sentences. What a document has is then a sequence of sentence identifiers, with ``-`` for any other
-sentence, and a licence is found where the identifiers of one of its rules follow each other in
-order with at most ``gap`` other sentences between two of them.
+sentences. A known sentence may also be wrapped: any run of lines that follow each other without an
+empty line or the end of a sentence between them counts as one sentence if together it is a known one,
+the longest first; marks of comments go with the other marks, ``rem`` and ``dnl`` as well. What a document
+has is then a sequence of sentence identifiers, with ``-`` for any other sentence (its lines in a row
+count once between two identifiers), and a licence is found where the identifiers of one of its rules
+follow each other in order with at most ``gap`` other sentences between two of them.
 
 Defined results: NULL and empty texts have no sentence and no licence; a sentence that repeats is
 listed once in ``sentence_ids`` in the order of first occurrence; rules of several licences may
@@ -89,11 +92,10 @@ RULES = [
 ]
 #: The worst of a document's categories counts.
 SEVERITY = ["restricted", "non-commercial", "no-derivatives", "copyleft", "permissive"]
-#: Every known sentence has one of these, so a text without any of them has no known sentence.
-ANCHORS = ["licen", "permission", "software", "redistribut", "warrant", "copyright", "cc0", "cc by",
-           "public domain", "rights reserved", "neither the name"]
+#: Every known sentence has one of these words, so a text without any of them has no known sentence, wrapped or not.
+ANCHORS = ["licen", "permission", "software", "redistribut", "warrant", "copyright", "cc0", "domain", "reserved"]
 GAP = 3
-BREAK = r"(?<=[.!?;:])\s+|[\r\n]+"
+END = r"(?<=[.!?;:])\s+"
 OTHER = r"[^a-z0-9]+"
 
 
@@ -113,12 +115,23 @@ def rule_pattern(identifiers: list[str], gap: int = GAP) -> str:
     return r"(?:^| )" + between.join(rf"{KNOWN.get(normal(SENTENCES[x]), x)} " for x in identifiers)
 
 
+#: On lines of normalised text: a known sentence over one line or more, any other line, or an empty line.
+SENTENCE = "(?m)^(?:" + "|".join(
+    k.replace(" ", "[ \\n]") for k in sorted(KNOWN, key=len, reverse=True)) + r")$|^[^\n]+$|^$"
+
+
 def sentence_sequence(text: Column) -> Column:
-    """One entry per sentence of ``text``: its identifier if it is a known one, else ``-``."""
-    parts = F.transform(F.split(text, BREAK), lambda s: F.trim(F.regexp_replace(F.lower(s), OTHER, " ")))
+    """One entry per sentence of ``text``: its identifier if it is a known one, ``-`` for another line, ``/`` where
+    an empty line or the end of a sentence keeps lines apart."""
+    lines = F.regexp_replace(F.regexp_replace(F.lower(text), END, "\n\n"), r"\r\n?", "\n")
+    lines = F.regexp_replace(F.regexp_replace(lines, r"[^a-z0-9\n]+", " "), r" ?\n ?", "\n")
+    lines = F.regexp_replace(F.trim(lines), r"(?m)^(?:rem|dnl) ", "")
     table = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    return F.transform(F.filter(parts, lambda s: s != ""), lambda s: F.when(
-        s.isin(list(KNOWN)), F.element_at(table, s)).otherwise("-"))
+
+    def name(s: Column) -> Column:
+        return F.when(s == "", "/").when(s.isin(list(KNOWN)), F.element_at(table, s)).otherwise("-")
+
+    return F.transform(F.regexp_extract_all(lines, F.lit(SENTENCE), 0), lambda s: name(F.replace(s, F.lit("\n"), F.lit(" "))))
 
 
 def scan_licences(documents: DataFrame, key: str = "doc_id", text: str = "text", gap: int = GAP) -> DataFrame:
@@ -127,8 +140,10 @@ def scan_licences(documents: DataFrame, key: str = "doc_id", text: str = "text",
     may = F.coalesce(F.lit(False) | _any([F.contains(low, F.lit(a)) for a in ANCHORS]), F.lit(False))
     seq = F.when(may, sentence_sequence(F.col(text))).otherwise(F.array().cast("array<string>"))
     found = documents.select(F.col(key), seq.alias("_seq"))
-    known = F.filter("_seq", lambda s: s != "-")
+    known = F.filter("_seq", lambda s: ~s.isin("-", "/"))
     joined = F.concat(F.array_join("_seq", " "), F.lit(" "))
+    # The lines of one other sentence count once.
+    joined = F.replace(F.regexp_replace(joined, "(?<=- )- ", ""), F.lit("/ "), F.lit(""))
     names = F.array_compact(F.array(*[
         F.when(F.rlike(joined, F.lit(rule_pattern(ids, gap))), F.lit(name)) for name, _, ids in RULES]))
     found = found.select(key, F.size(known).cast("long").alias("n_known"),
