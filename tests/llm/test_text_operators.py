@@ -135,6 +135,27 @@ def test_formats_links_and_the_way_back(spark):
     assert back == [t for i, t in enumerate(texts) if i != 4]
 
 
+def test_every_written_form_is_replaced(spark):
+    texts = ["+44 (020) 555-0199", "+49 (030) 555-0199", "+1 (023) 555-0199", "+1 (123) 555-0199", "+44 (212) 555-0199",
+             "(212) 555-0142", "012-345-6789", "4111 1111 1111 1111", "4111-1111-1111-1111", "3782 822463 10005",
+             "3782-822463-10005", "4111 1111 1111 1111 003", "2024-01-02T10:00", "2024-01-02T10:00:00Z", "2024-1-2",
+             "2024-1-22", "2024-11-2", "1.2.2024", "3/25/2024", "12/5/2024", "a@example.com", "B@example.com",
+             "7@example.com", "4111-1111-1111-1112", "2024-2-30", "2024-01-02x"]
+    out = new_texts(spark, texts)
+    assert out[-3:] == texts[-3:] and all(a != b for a, b in zip(texts[:-3], out[:-3], strict=True)), out
+    shape = [re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub(r"\d", "0", x))) for x in texts]
+    assert [re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub(r"\d", "0", x))) for x in out] == shape
+    assert new_texts(spark, out, invert=True) == texts
+    assert [x.split(" ")[0] for x in out[:5]] == ["+44", "+49", "+1", "+1", "+44"]
+    assert out[2][4] in "01" and out[3][4] in "01" and out[6][0] in "01" and out[5][1] in "23456789"
+    assert all(luhn(re.sub(r"\D", "", x)) for x in out[7:12]) and out[12][10:] == "T10:00" and out[12][:10] == out[13][:10]
+    assert re.sub(r"\D", "", out[7]) == re.sub(r"\D", "", out[8]) == new_texts(spark, ["4111111111111111"])[0]
+    # Days of one written form go to different days of that form.
+    days = [f"{1800 + y}-{m}-{d}" for y in range(0, 400, 40) for m in range(1, 10) for d in range(1, 10)]
+    new = new_texts(spark, days)
+    assert len(set(new)) == len(days) and all(re.fullmatch(r"\d{4}-[1-9]-[1-9]", x) for x in new)
+
+
 def test_networks_are_permutations(spark):
     values = spark.range(20 * 33).select("id", ps.feistel(F.col("id"), ps.long(20), ps.long(33), KEY, "x").alias("p"))
     back = values.select("id", "p", ps.feistel(F.col("p"), ps.long(20), ps.long(33), KEY, "x", invert=True).alias("b")).collect()

@@ -8,12 +8,15 @@ holder of the key can turn it back (``invert=True``).
 =======  ===================================================  ====================================
 kind     recognised                                           permuted
 =======  ===================================================  ====================================
-card     13 to 19 digits with a right Luhn digit              all between the first and the last
-                                                              digit; the last is computed anew
-phone    +c (ddd) ddd-dddd and ddd-ddd-dddd                   the ten digits, the first from 2 to 9
+card     13 to 19 digits with a right Luhn digit, adjacent    all between the first and the last
+         or in groups with blanks or hyphens                  digit; the last is computed anew
+phone    +c (ddd) ddd-dddd, (ddd) ddd-dddd and ddd-ddd-dddd   the ten digits; for +1 and without a
+                                                              code a first digit of 2 to 9 stays
+                                                              one, and so does 0 or 1
 ssn      ddd-dd-dddd in its three ranges                      within these ranges
 ip       four octets                                          all 32 bits
-date     y-m-d, d.m.y, m/d/y (or d/m/y), 1800 to 2199         the day within these 400 years
+date     y-m-d, also before T and a time, d.m.y, m/d/y (or    the day within these 400 years, or
+         d/m/y), 1800 to 2199; parts of one digit             those whose parts fit as many digits
 email    name@host                                            letters and digits of the name, each
                                                               within its class
 =======  ===================================================  ====================================
@@ -31,19 +34,27 @@ from pyspark.sql import functions as F
 from tripstrata.llm.text import let
 
 ROUNDS = 10
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{2,64}+@[A-Za-z0-9](?:[A-Za-z0-9\-]*\.)+[A-Za-z]{2,}"
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9\-]*\.)+[A-Za-z]{2,}"
 PHONE = r"(?<![\w+])\+\d{1,3}[ .\-]?\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d)"
+AREA_PHONE = r"(?<![\w+)])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d)"
 PLAIN_PHONE = r"(?<![\w.\-])\d{3}-\d{3}-\d{4}(?![\w\-])"
 SSN = r"(?<![\w.\-])\d{3}-\d{2}-\d{4}(?![\w\-])"
 IP = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
-ISO_DATE = r"(?<![\w.\-])\d{4}-\d{2}-\d{2}(?![\w\-])"
-DOT_DATE = r"(?<![\w.])\d{2}\.\d{2}\.\d{4}(?!\w|\.\d)"
-SLASH_DATE = r"(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w/])"
+ISO_DATE = r"(?<![\w.\-])\d{4}-\d{1,2}-\d{1,2}(?:(?![\w\-])|(?=[Tt]\d{2}))"
+DOT_DATE = r"(?<![\w.])\d{1,2}\.\d{1,2}\.\d{4}(?!\w|\.\d)"
+SLASH_DATE = r"(?<![\w/])\d{1,2}/\d{1,2}/\d{4}(?![\w/])"
 CARD = r"(?<![\w.])\d{13,19}(?!\w|\.\d)"
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, PHONE, PLAIN_PHONE, SSN, ISO_DATE, DOT_DATE, SLASH_DATE, IP, CARD))
+#: Four by four, 4-6-5 and 4-6-4, and 6-13, with the same mark between all groups.
+GROUPED_CARD = r"(?<![\w.\-])(?:" + "|".join(
+    rf"\d{{4}}{s}\d{{4}}{s}\d{{4}}{s}\d{{4}}{s}\d{{1,3}}|\d{{4}}{s}\d{{4}}{s}\d{{4}}{s}\d{{1,4}}"
+    rf"|\d{{4}}{s}\d{{6}}{s}\d{{4,5}}|\d{{6}}{s}\d{{13}}" for s in (" ", "-")) + r")(?!\w|-\w|\.\d)"
+ANY = "|".join(f"(?:{p})" for p in (
+    EMAIL, PHONE, AREA_PHONE, PLAIN_PHONE, SSN, ISO_DATE, DOT_DATE, SLASH_DATE, IP, GROUPED_CARD, CARD))
 KINDS = ("card", "phone", "ssn", "ip", "date", "email")
 #: 400 Gregorian years have 146,097 days, which is 189 times 773.
 FIRST_DAY, LEFT_DAYS, RIGHT_DAYS = "1800-01-01", 189, 773
+#: Steps to a day that is written with as many digits; at least a fifth of all days are.
+STEPS = 300
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
@@ -96,28 +107,43 @@ def digits_of(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
+def with_digits(value: Column, digits: Column) -> Column:
+    """``value`` with its digits replaced by ``digits``, one after another."""
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: let(
+        F.substr(value, i, F.lit(1)), lambda c: F.when(c.rlike(r"\d"), F.substr(
+            digits, F.length(digits_of(F.substr(value, F.lit(1), i))), F.lit(1))).otherwise(c))), "")
+
+
 def new_card(value: Column, secret: str, invert: bool) -> Column:
-    inner = F.substr(value, F.lit(2), F.length(value) - 2)
-    n = F.length(inner)
-    half = F.floor(n / 2).cast("int")
-    moved = padded(feistel(inner.cast("long"), power_of_ten(half), power_of_ten(n - half), secret, "card", invert), n)
-    payload = F.concat(F.substring(value, 1, 1), moved)
-    valid = luhn_digit(F.substr(value, F.lit(1), F.length(value) - 1)) == F.substr(
-        value, F.length(value), F.lit(1)).cast("int")
-    return F.when(valid, F.concat(payload, luhn_digit(payload).cast("string")))
+    def moved(digits: Column) -> Column:
+        inner = F.substr(digits, F.lit(2), F.length(digits) - 2)
+        n = F.length(inner)
+        half = F.floor(n / 2).cast("int")
+        middle = padded(feistel(inner.cast("long"), power_of_ten(half), power_of_ten(n - half), secret, "card", invert), n)
+        payload = F.concat(F.substring(digits, 1, 1), middle)
+        valid = luhn_digit(F.substr(digits, F.lit(1), F.length(digits) - 1)) == F.substr(
+            digits, F.length(digits), F.lit(1)).cast("int")
+        return F.when(valid, F.concat(payload, luhn_digit(payload).cast("string")))
+
+    return let(let(digits_of(value), moved), lambda new: F.when(value.rlike(r"\D"), F.when(
+        new.isNotNull(), with_digits(value, new))).otherwise(new))
 
 
 def new_phone(value: Column, secret: str, invert: bool) -> Column:
-    ten = F.right(digits_of(value), F.lit(10))
     lead = F.regexp_extract(value, r"^\+\d{1,3}[ .\-]?(?=\()", 0)
-    number = ten.cast("long") - 2 * 10 ** 9
-    moved = padded(feistel(number, long(80_000), long(100_000), secret, "phone", invert) + 2 * 10 ** 9, F.lit(10))
+
+    def moved(ten: Column) -> Column:
+        def within(left: int, kind: str, least: int = 0) -> Column:
+            number = ten.cast("long") - least
+            return padded(feistel(number, long(left), long(100_000), secret, kind, invert) + least, F.lit(10))
+
+        # The plan of +1, which numbers without a code follow, has first digits from 2 on; others are kept apart.
+        return F.when(~digits_of(lead).isin("", "1"), within(100_000, "phone-any")).when(
+            F.substring(ten, 1, 1).cast("int") >= 2, within(80_000, "phone", 2 * 10 ** 9)).otherwise(
+            within(20_000, "phone-low"))
+
     rest = F.substr(value, F.length(lead) + 1)
-    # The format of the part after the country code, with its digits replaced one group after another.
-    groups = F.regexp_replace(rest, r"\d{3}(\D*)\d{3}(\D*)\d{4}$", F.lit("AAA$1BBB$2CCCC"))
-    filled = F.replace(F.replace(F.replace(groups, F.lit("AAA"), F.substring(moved, 1, 3)), F.lit("BBB"),
-                                 F.substring(moved, 4, 3)), F.lit("CCCC"), F.substring(moved, 7, 4))
-    return F.when(F.substring(ten, 1, 1).cast("int") >= 2, F.concat(lead, filled))
+    return F.concat(lead, let(let(F.right(digits_of(value), F.lit(10)), moved), lambda new: with_digits(rest, new)))
 
 
 def new_ssn(value: Column, secret: str, invert: bool) -> Column:
@@ -144,20 +170,49 @@ def new_ip(value: Column, secret: str, invert: bool) -> Column:
 def new_date(value: Column, secret: str, invert: bool) -> Column:
     first = F.to_date(F.lit(FIRST_DAY))
 
-    def moved(pattern: str) -> Column:
-        day = F.try_to_date(value, pattern)
+    def step(day: Column) -> Column:
         number = F.datediff(day, first).cast("long")
-        shifted = feistel(number, long(LEFT_DAYS), long(RIGHT_DAYS), secret, "date", invert)
-        return F.when(number.between(0, LEFT_DAYS * RIGHT_DAYS - 1), F.date_format(
-            F.date_add(first, shifted.cast("int")), pattern))
+        return F.date_add(first, feistel(number, long(LEFT_DAYS), long(RIGHT_DAYS), secret, "date", invert).cast("int"))
+
+    def moved(p: Column) -> Column:
+        """For year, month and day as they are written."""
+        year, month, day = p["y"], p["m"], p["d"]
+        short = (F.length(month) == 1) | (F.length(day) == 1)
 
-    month = F.substring(value, 1, 2).cast("int")
-    return (F.when(value.contains("-"), moved("yyyy-MM-dd")).when(value.contains("."), moved("dd.MM.yyyy"))
-            .when(month <= 12, moved("MM/dd/yyyy")).otherwise(moved("dd/MM/yyyy")))
+        def go(old: Column) -> Column:
+            return let(step(old), lambda new: F.struct(new.alias("day"), (
+                ((F.length(month) == 2) | (F.month(new) < 10)) & ((F.length(day) == 2) | (F.day(new) < 10))).alias("fits")))
+
+        def shown(new: Column) -> Column:
+            y, m, d = F.year(new).cast("string"), *(
+                F.right(padded(n, F.lit(2)), F.length(old)) for n, old in ((F.month(new), month), (F.day(new), day)))
+            return F.when(value.contains("-"), F.concat_ws("-", y, m, d)).when(
+                value.contains("."), F.concat_ws(".", d, m, y)).when(p["us"], F.concat_ws("/", m, d, y)).otherwise(
+                F.concat_ws("/", d, m, y))
+
+        def new(old: Column) -> Column:
+            # The permutation is applied until the day can be written as the old one, which permutes such days.
+            steps = F.when(short, F.sequence(F.lit(1), F.lit(STEPS))).otherwise(F.array().cast("array<int>"))
+            walked = F.aggregate(steps, go(old), lambda s, _: F.when(s["fits"], s).otherwise(go(s["day"])))
+            return F.when(F.datediff(old, first).between(0, LEFT_DAYS * RIGHT_DAYS - 1), let(walked, lambda s: F.when(
+                s["fits"], shown(s["day"]))))
+
+        return let(F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd"), new)
+
+    def parts(p: Column) -> Column:
+        a, b, c = (F.get(p, F.lit(i)) for i in range(3))
+        iso, us = value.contains("-"), value.contains("/") & (a.cast("int") <= 12)
+        return F.struct(F.when(iso, a).otherwise(c).alias("y"), F.when(us, a).otherwise(b).alias("m"),
+                        F.when(iso, c).when(us, b).otherwise(a).alias("d"), us.alias("us"))
+
+    return let(let(F.split(value, r"\D"), parts), moved)
 
 
 def new_email(value: Column, secret: str, invert: bool) -> Column:
-    """Each round shifts the letters and digits of one half of the name within their classes."""
+    """Each round shifts the letters and digits of one half of the name within their classes.
+
+    A name of one character has no halves: it is shifted by what its host gives, never by nothing.
+    """
     name = F.substring_index(value, "@", 1)
     middle = F.floor(F.length(name) / 2).cast("int")
     turns = F.sequence(F.lit(ROUNDS - 1), F.lit(0)) if invert else F.sequence(F.lit(0), F.lit(ROUNDS - 1))
@@ -183,14 +238,21 @@ def new_email(value: Column, secret: str, invert: bool) -> Column:
 
     start = F.struct(F.substr(name, F.lit(1), middle).alias("a"), F.substr(name, middle + 1).alias("b"))
     moved = F.aggregate(turns, start, step, lambda s: F.concat(s["a"], s["b"]))
-    return F.concat(moved, F.substr(value, F.length(name) + 1))
+    host = F.substr(value, F.length(name) + 1)
+    by = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(secret), F.lit("email"), F.lower(host)), 256), 1, 15), 16, 10)
+    single = name
+    for letters in (LOWER, UPPER, DIGITS):
+        place, move = F.instr(F.lit(letters), name), F.pmod(by.cast("long"), long(len(letters) - 1)).cast("int") + 1
+        new = F.pmod(place - 1 + (-move if invert else move), F.lit(len(letters))) + 1
+        single = F.when(place > 0, F.substr(F.lit(letters), new, F.lit(1))).otherwise(single)
+    return F.concat(F.when(F.length(name) == 1, single).otherwise(moved), host)
 
 
 def kind_of(value: Column) -> Column:
     def whole(pattern: str) -> Column:
         return value.rlike(f"^(?:{pattern})$")
 
-    return (F.when(value.contains("@"), "email").when(whole(PHONE) | whole(PLAIN_PHONE), "phone")
+    return (F.when(value.contains("@"), "email").when(whole(PHONE) | whole(AREA_PHONE) | whole(PLAIN_PHONE), "phone")
             .when(whole(SSN), "ssn").when(whole(ISO_DATE) | whole(DOT_DATE) | whole(SLASH_DATE), "date")
             .when(whole(IP), "ip").otherwise("card"))
 
