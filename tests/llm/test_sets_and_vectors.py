@@ -85,6 +85,17 @@ def test_one_of_each_and_empty_table(spark):
     assert sj.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_with_null_and_repeated_keys(spark):
+    a, b, c = "a b c d e f", "g h i j k l", "m n o p q r"
+    docs = spark.createDataFrame([
+        (None, a, 1), (None, b, 2), (5, b, 3), (6, c, 4), (6, c, 5), (7, "s t u v w x", 6), (7, c, 7), (None, None, 8), (8, a, 9)],
+        "doc_id long, text string, n int")
+    kept = sj.one_of_each(docs)
+    got = {r.n for r in kept.collect()}
+    assert kept.columns == docs.columns and kept.count() == 5
+    assert {1, 2, 6, 8} < got and len(got & {4, 5}) == 1
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(200)] + [(500, k) for k in range(501, 560)] + [(7, 7), (900, 901), (901, 900), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}

@@ -59,6 +59,16 @@ def test_removal_and_clashing_columns(spark):
     assert cut == {1: "Before, After.", 2: "Nothing here", 3: None, 4: "Nothing here"}
 
 
+@pytest.mark.parametrize("remove", ["documents", "spans"])
+def test_removal_with_null_and_repeated_keys(spark, remove):
+    docs = frame(spark, [(None, ITEM, 1), (None, "clean", 2), (4, ITEM, 3), (4, "clean too", 4), (4, None, 5), (None, None, 6)],
+                 "doc_id long, text string, n int")
+    out = dc.decontaminate(docs, frame(spark, [(1, ITEM)], "item_id long, text string"), remove=remove)
+    whole = {2: "clean", 4: "clean too", 5: None, 6: None}
+    assert out.columns == docs.columns
+    assert {r.n: r.text for r in out.collect()} == (whole if remove == "documents" else {**whole, 1: "", 3: ""})
+
+
 def test_empty_benchmark_and_documents(spark):
     bench, docs = frame(spark, [], "item_id long, text string"), frame(spark, [(1, ITEM)])
     assert by_key(dc.contamination(docs, bench))[1].n_hit == 0

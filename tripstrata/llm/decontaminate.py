@@ -8,7 +8,8 @@ a document moves but its hits.
 Defined results: NULL and empty texts have no words and hit nothing; benchmark items without words
 are ignored; equal items and equal windows each count once; an empty benchmark hits nothing; an
 empty document table gives an empty result. Columns other than the key and the text are not read,
-so their names cannot clash. Repeated keys: their rows are one document.
+so their names cannot clash. Repeated keys: for ``contamination`` their rows are one document, NULL keys too; for
+``decontaminate`` each row counts by its own text, whatever its key, so rows without words always stay.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripstrata.llm.line_chunks import row_of
 from tripstrata.llm.text import let, lower_az, split_words
 
 #: All characters but digits, a-z (A-Z is in lower case by then) and what is not ASCII.
@@ -124,13 +126,14 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, remove: str = "doc
     ``remove="documents"`` drops contaminated documents; ``"spans"`` cuts out the hit words together
     with the separators that follow them.
     """
-    found = contamination(documents, benchmark, width, key, text, **more).filter("contaminated")
+    rows = documents.withColumn("_hit_row", row_of(key, text))
+    found = contamination(rows, benchmark, width, "_hit_row", text, **more).filter("contaminated")
     if remove == "documents":
-        return documents.join(found.select(key), key, "left_anti")
+        return rows.join(found.select("_hit_row"), "_hit_row", "left_anti").select(documents.columns)
     if remove != "spans":
         raise ValueError("remove: documents or spans")
-    marks = found.select(F.col(key).alias("_hit_key"), F.col("spans").alias("_hit_spans"))
-    joined = documents.join(marks, documents[key] == marks["_hit_key"], "left")
+    marks = found.select(F.col("_hit_row").alias("_hit_key"), F.col("spans").alias("_hit_spans"))
+    joined = rows.join(marks, rows["_hit_row"] == marks["_hit_key"], "left")
     own = documents[text]
     parts = F.struct(F.array_remove(F.split(own, f"{NOT_WORD_RAW}+"), "").alias("words"),
                      F.split(own, f"{NOT_WORD_RAW.replace('[', '[^', 1)}+").alias("gaps"))

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.llm.components import connected_components
+from tripstrata.llm.line_chunks import row_of
 from tripstrata.llm.shingles import shingle_sets, signature
 from tripstrata.sources.staging import drop_stage, stage_table
 
@@ -462,6 +463,15 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that name their component: one of each group of links, and all without links."""
-    kept = jaccard_components(documents, key, text).filter(f"`{key}` = component_id").select(key)
-    return documents.join(kept, key, "left_semi")
+    """Of each group of links the document that comes first by key (NULL before all) and text hash, and all without links.
+
+    Rows that share only the key are documents of their own; of rows that repeat in key and text one stays. All rows whose
+    texts have no words stay.
+    """
+    rows = documents.withColumn("_row", row_of(key, text))
+    found = stage_table(jaccard_components(rows, "_row", text).filter(F.col("_row") == F.col("component_id")).groupBy(
+        "_row").agg(F.count(F.lit(1)).alias("_copies"), F.max("n_shingles").alias("_n")), "kept-rows")
+    once = found.filter("_copies = 1 or _n = 0").select("_row")
+    again = found.filter("_copies > 1 and _n > 0").select("_row")
+    return rows.join(once, "_row", "left_semi").unionByName(
+        rows.join(again, "_row", "left_semi").dropDuplicates(["_row"])).select(documents.columns)
