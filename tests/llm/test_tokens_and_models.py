@@ -181,6 +181,22 @@ def test_levels_across_blocks(spark, monkeypatch, turns):
     assert got == {f"c{i}": i for i in range(9)} | {"d5": 0, "d0": 1, "d1": 9, "e1": None, "e7": None, "e8": None}
 
 
+def test_long_chains_need_few_rounds(spark, monkeypatch):
+    """A chain over 60 blocks, one of two references each over 60, and a circle with a chain behind it."""
+    monkeypatch.setattr(tc, "TURNS", 1)
+    monkeypatch.setattr(tc, "ROUNDS", 12, raising=False)
+    rounds, staged = [], tc.stage_table
+    monkeypatch.setattr(tc, "stage_table", lambda df, name="stage", **more: (rounds.append(name), staged(df, name, **more))[1])
+    refs = {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(60)}
+    refs |= {f"d{i}": [f"d{k}" for k in (i - 1, i - 2) if k >= 0] for i in range(60)}
+    refs |= {"e0": ["e1"], "e1": ["e0"], "e2": ["e1", "c59"]}
+    rows = [(9, int(k[1:]), "assistant", call(k, "f", x=[{"$ref": r} for r in v])) for k, v in refs.items()]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.call_id: r.level for r in tc.link_tool_calls(df, SCHEMAS).collect()}
+    assert got == {f"{k}{i}": i for k in "cd" for i in range(60)} | {"e0": None, "e1": None, "e2": None}
+    assert rounds.count("calls-waiting") < 2 * 12
+
+
 def test_canonical_json():
     value = json.loads('{"b": 1.0, "a": [true, null, 1e2, 0.5, "\\u00fc\\n\\"\\\\"], "\\ud83d\\ude00": 1, "\\ufb33": 2}')
     assert tc.canonical(value) == '{"a":[true,null,100,0.5,"ü\\n\\"\\\\"],"b":1,"\U0001f600":1,"\ufb33":2}'

@@ -5,7 +5,9 @@ results as messages of role ``tool`` with ``{"tool_call_id", "content"}``. Calls
 (conversation, identifier). A call depends on the calls that ``{"$ref": identifier}`` in its arguments names;
 levels come from peeling, call by call inside blocks of ``TURNS`` turns of a conversation, so that a task holds a
 block and not a conversation. References across blocks are settled in rounds, for all conversations at
-once; a conversation that fits a block needs one.
+once, until a round frees no call; a conversation that fits a block needs one. Each round also contracts runs of
+blocks, twice as long each time: references within a run to calls that wait for ``WIDTH`` others at most are replaced by
+what those wait for. So long chains need rounds by their logarithm; where calls wait for more, rounds go block by block.
 
 One row per call and per result without a call. ``status``: ``linked``, ``unanswered``, ``early`` (the result
 comes before its call), ``duplicate`` (the identifier was used before; only the first is linked and
@@ -29,12 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.sources.staging import stage_table
+from tripstrata.sources.staging import drop_stage, stage_table
 
 BLOCK = r"(?s)<tool_call>(.*?)</tool_call>"
 REF = r'"\$ref"\s*:\s*"([^"\\]*)"'
 TURNS = 512
-ROUNDS = 1000
+#: References of a call up to which they are passed on; a call has the square of that at most by then.
+WIDTH = 4
+#: Longer than any path; steps around a circle, which double as well, stay there.
+FAR = 2 ** 31
 
 
 def canonical(value: object) -> str:
@@ -114,23 +119,21 @@ def same_call(a: DataFrame, b: DataFrame, name: str = "call_id"):
 
 
 def solve(table: pa.Table) -> pa.Table:
-    """Levels of the calls of a block: rows without ``ref`` are calls, others references, ``outside`` with a level or without."""
+    """Levels of the calls of a block that wait for no other block: rows without ``ref`` are calls with their least level
+    so far in ``steps``, others references with the steps they count, ``outside`` to other blocks."""
     rows = table.to_pylist()
-    waits: dict[str, set] = {r["call_id"]: set() for r in rows if r["ref"] is None}
-    level = dict.fromkeys(waits, 0)
+    level = {r["call_id"]: r["steps"] for r in rows if r["ref"] is None}
+    waits: dict[str, set] = {c: set() for c in level}
     users: dict[str, list] = {}
     for r in rows:
-        if r["ref"] is None:
-            continue
-        if r["outside"] and r["level"] is not None:
-            level[r["call_id"]] = max(level[r["call_id"]], r["level"] + 1)
-        else:
+        if r["ref"] is not None:
             waits[r["call_id"]].add(r["ref"])
-            users.setdefault(r["ref"], []).append(r["call_id"])
+            if not r["outside"]:
+                users.setdefault(r["ref"], []).append((r["call_id"], r["steps"]))
     free = [c for c, w in waits.items() if not w]
     for c in free:  # grows while it is read
-        for user in users.get(c, ()):
-            level[user] = max(level[user], level[c] + 1)
+        for user, steps in users.get(c, ()):
+            level[user] = max(level[user], level[c] + steps)
             waits[user].discard(c)
             if not waits[user]:
                 free.append(user)
@@ -138,6 +141,42 @@ def solve(table: pa.Table) -> pa.Table:
                      "level": pa.array([level[c] for c in free], pa.int32())})
 
 
+def next_round(waiting: DataFrame, refs: DataFrame, found: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """The calls still waiting and their references after ``found``; narrow references
+    within a run of 2 ** ``turn`` blocks are replaced by what they wait for."""
+    left = waiting.join(found, same_call(waiting, found), "left_anti")
+    own = refs.join(found, same_call(refs, found), "left_anti")
+    told = stage_table(own.join(found, own["conv"].eqNullSafe(found["conv"]) & (own["ref"] == found["call_id"]), "left").select(
+        own["conv"], "block", own["call_id"], "ref", "ref_block", "steps", "level"), "call-told")
+    known = told.filter("level is not null").groupBy("conv", "call_id").agg(F.max(F.col("steps") + F.col("level")).alias("least"))
+    calls = stage_table(left.join(known, same_call(left, known), "left").select(
+        left["conv"], "block", left["call_id"], F.greatest("steps", "least").alias("steps")), "calls-waiting")
+    rest = told.filter("level is null").drop("level")
+    counts = stage_table(rest.groupBy("conv", "call_id").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") <= WIDTH), "narrow-calls")
+    narrow = rest.join(counts, same_call(rest, counts), "left_semi")
+    lists = narrow.groupBy("conv", "call_id").agg(F.collect_list(F.struct("ref", "ref_block", "steps")).alias("next"))
+    passed = stage_table(lists.join(calls, same_call(lists, calls)).select(
+        lists["conv"], lists["call_id"].alias("via"), "next", F.col("steps").alias("via_steps")), "calls-passed")
+    jumps = stage_table(narrow.join(passed, narrow["conv"].eqNullSafe(passed["conv"]) & (narrow["ref"] == passed["via"])
+        & (F.shiftright("block", turn) == F.shiftright("ref_block", turn)), "left").select(
+        narrow["conv"], "block", narrow["call_id"], "ref", "ref_block", "steps", "next", "via_steps"), "call-jumps")
+    far = F.lit(FAR).cast("long")
+    moved = jumps.filter("next is not null").select("conv", "block", "call_id", "steps", F.explode("next").alias("e")).select(
+        "conv", "block", "call_id", "e.ref", "e.ref_block", F.least(F.col("steps") + F.col("e.steps"), far).alias("steps"))
+    kept = jumps.filter("next is null").drop("next", "via_steps").unionByName(
+        rest.join(counts, same_call(rest, counts), "left_anti"))
+    new_refs = stage_table(moved.unionByName(kept).groupBy("conv", "block", "call_id", "ref", "ref_block").agg(
+        F.max("steps").alias("steps")), "call-references")
+    least = jumps.filter("next is not null").groupBy("conv", "call_id").agg(
+        F.max(F.least(F.col("steps") + F.col("via_steps"), far)).alias("least"))
+    new_calls = stage_table(calls.join(least, same_call(calls, least), "left").select(
+        calls["conv"], "block", calls["call_id"], F.greatest("steps", "least").alias("steps")), "calls-waiting")
+    for done in (told, calls, counts, passed, jumps, waiting, refs):
+        drop_stage(done)
+    return new_calls, new_refs
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv, call_id, level, missing_refs) of first calls; level is NULL where references run in a circle."""
     nodes = stage_table(calls.select("conv", "call_id", F.floor(F.coalesce("turn", F.lit(0)) / TURNS).alias("block")),
@@ -150,30 +189,24 @@ def levels(calls: DataFrame) -> DataFrame:
         refs["conv"], refs["call_id"], "block", "ref", "ref_block"), "call-references")
     missing = named.filter("ref_block is null").groupBy("conv", "call_id").agg(
         F.array_join(F.array_sort(F.collect_list("ref")), ",").alias("missing_refs"))
-    no_level = F.lit(None).cast("int").alias("level")
-    inside = named.filter("ref_block = block").select("conv", "block", "call_id", "ref", no_level, F.lit(False).alias("outside"))
-    across = named.filter("ref_block <> block").select("conv", "block", "call_id", "ref")
-    own = nodes.select("conv", "block", "call_id", F.lit(None).cast("string").alias("ref"), no_level, F.lit(False).alias("outside"))
-    kind, blocks = dict(calls.dtypes)["conv"], across.limit(1).count()
-    done = stage_table(own.select("conv", "call_id", "level").limit(0), "call-levels")
-    for _ in range(ROUNDS):
-        told = across.join(done, across["conv"].eqNullSafe(done["conv"]) & (across["ref"] == done["call_id"]), "left").select(
-            across["conv"], "block", across["call_id"], "ref", "level", F.lit(True).alias("outside"))
-        rows = own.unionByName(inside).unionByName(told)
-        rows = rows.join(done.drop("level"), same_call(rows, done), "left_anti")
-        # A call that is freed serves the others of its block as one from outside from the next round on.
-        solved = inside.join(done, inside["conv"].eqNullSafe(done["conv"]) & (inside["ref"] == done["call_id"])).select(
-            inside["conv"], "block", inside["call_id"], "ref", done["level"], F.lit(True).alias("outside"))
-        rows = rows.join(solved.select("conv", "call_id", "ref"), rows["conv"].eqNullSafe(solved["conv"]) & (
-            rows["call_id"] == solved["call_id"]) & (rows["ref"] == solved["ref"]), "left_anti").unionByName(
-            solved.join(done.drop("level"), same_call(solved, done), "left_anti"))
+    kind = dict(calls.dtypes)["conv"]
+    refs = named.filter("ref_block is not null").withColumn("steps", F.lit(1).cast("long"))
+    waiting, across = nodes.withColumn("steps", F.lit(0).cast("long")), refs.filter("ref_block <> block").limit(1).count()
+    waiting, refs = (stage_table(waiting, "calls-waiting"), stage_table(refs, "call-references")) if across else (waiting, refs)
+    done, turn = None, 0
+    while True:  # of the calls that wait for no circle a round frees one at least
+        rows = waiting.select("conv", "block", "call_id", F.lit(None).cast("string").alias("ref"), "steps",
+                              F.lit(False).alias("outside")).unionByName(refs.select(
+                                  "conv", "block", "call_id", "ref", "steps", (F.col("ref_block") != F.col("block")).alias("outside")))
         found = stage_table(rows.groupBy("conv", "block").applyInArrow(
             solve, f"conv {kind}, call_id string, level int"), "call-levels")
-        if not found.limit(1).count():
+        if done is not None and not found.limit(1).count():
             break
-        done = stage_table(done.unionByName(found), "call-levels")
-        if not blocks:
+        done = found if done is None else stage_table(done.unionByName(found), "call-levels")
+        if not across:
             break
+        turn = min(turn + 1, 62)
+        waiting, refs = next_round(waiting, refs, found, turn)
     out = nodes.join(done, same_call(nodes, done), "left").select(nodes["conv"], nodes["call_id"], "level")
     return out.join(missing, same_call(out, missing), "left").select(
         out["conv"], out["call_id"], "level", F.coalesce("missing_refs", F.lit("")).alias("missing_refs"))
