@@ -12,6 +12,7 @@ from tripstrata.llm import line_chunks as ch
 from tripstrata.llm import packing as pk
 from tripstrata.llm import pseudonyms as ps
 from tripstrata.llm import quality as ql
+from tripstrata.llm import repeats as rp
 from tripstrata.llm import set_join as sj
 from tripstrata.llm import token_files as tf
 from tripstrata.llm import tool_calls as tc
@@ -236,3 +237,17 @@ select a.conv_id, a.id, null, null, null, 'orphan', a.turn, null, '', '', null
 from a left join k on a.conv_id = k.conv_id and a.id = k.id where k.id is null""")
 def _(spark, sf):
     return tc.link_tool_calls(tool_messages(table(spark, sf, "conversations")), TURN_SCHEMAS)
+
+
+@query("op11_substring_dedup", r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+n as (select doc_id, i, array_to_string(w[i:i + 12], ' ') x from (
+  select doc_id, w, unnest(generate_series(1, len(w) - 12)) i from d where len(w) >= 13)),
+f as (select x, min(doc_id) least from n group by x),
+p as (select distinct doc_id, unnest(generate_series(i, i + 12)) p from n join f on n.x = f.x where f.least < doc_id),
+g as (select doc_id, count(*) n_removed, list(p) gone from p group by doc_id)
+select d.doc_id, len(w)::bigint n_words, coalesce(n_removed, 0)::bigint n_removed, sha256(array_to_string(
+  list_filter(w, lambda x, i: not list_contains(coalesce(gone, []), i)), ' ')) kept_sha256
+from d left join g on d.doc_id = g.doc_id""")
+def _(spark, sf):
+    return rp.dedup_substrings(table(spark, sf, "documents").select("doc_id", "text")).drop("text", "spans")
