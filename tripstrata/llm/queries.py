@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from tripstrata.llm import decontaminate as dc
+from tripstrata.llm import hard_negatives as hn
+from tripstrata.llm import importance as im
 from tripstrata.llm import licences as lc
 from tripstrata.llm import line_chunks as ch
 from tripstrata.llm import packing as pk
@@ -251,3 +254,56 @@ select d.doc_id, len(w)::bigint n_words, coalesce(n_removed, 0)::bigint n_remove
 from d left join g on d.doc_id = g.doc_id""")
 def _(spark, sf):
     return rp.dedup_substrings(table(spark, sf, "documents").select("doc_id", "text")).drop("text", "spans")
+
+
+def _crc_sql(x: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a string, byte by byte from a table."""
+    zero = zlib.crc32(b"\0")  # the remainders differ from the checksums of single bytes by this
+    table = ", ".join(str(zlib.crc32(bytes([i])) ^ zero) for i in range(256))
+    raw = f"hex(encode({x}))"
+    step = f"xor(c >> 8, [{table}][(xor(c, b) & 255) + 1])"
+    return (f"xor(4294967295::bigint, list_reduce(list_transform(range(0, (len({raw}) // 2)::bigint), lambda i: "
+            f"('0x' || {raw}[2 * i + 1:2 * i + 2])::bigint), lambda c, b: {step}, 4294967295::bigint))")
+
+
+@query("op12_importance_resampling", rf"""
+with d as (select doc_id, regexp_extract_all({AZ}, '{BENCH_WORD}') w from documents),
+b as (select regexp_extract_all({AZ}, '{BENCH_WORD}') w from benchmark),
+k as (select unnest([1, 2, 3]) k),
+df as (select doc_id, array_to_string(w[i:i + k - 1], ' ') x from (
+  select doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) i from d, k where len(w) >= k)),
+bf as (select array_to_string(w[i:i + k - 1], ' ') x from (
+  select w, k, unnest(generate_series(1, len(w) - k + 1)) i from b, k where len(w) >= k)),
+c as (select x, {_crc_sql('x')} % 10000 bucket from (select distinct x from (select x from df union all select x from bf))),
+s as (select bucket, count(*) s from df join c on df.x = c.x group by bucket),
+t as (select bucket, count(*) t from bf join c on bf.x = c.x group by bucket),
+g as (select bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::double * ((select count(*) from df) + 10000)::double)
+    / ((coalesce(s, 0) + 1)::double * ((select count(*) from bf) + 10000)::double)))::bigint gain
+  from s full join t using (bucket)),
+f as (select doc_id, count(*) n, sum(gain) weight from df join c on df.x = c.x join g on c.bucket = g.bucket group by doc_id),
+o as (select d.doc_id, len(w) n_words, coalesce(n, 0)::bigint n_features, coalesce(weight, 0)::bigint weight,
+  coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || sha256('42:' || d.doc_id)[1:8])::bigint + 0.5::double) / 4294967296)))::bigint score
+  from d left join f on d.doc_id = f.doc_id),
+r as (select doc_id, row_number() over (order by score desc, doc_id) nr from o where n_words >= 20)
+select o.doc_id, n_features, weight, score,
+  case when nr <= (select count(*) * 5 // 100 from o where n_words >= 20) then nr end rank
+from o left join r on o.doc_id = r.doc_id""")
+def _(spark, sf):
+    return im.importance_resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op13_hard_negatives", """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) e from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (select a.vec_id a, a.label la, b.vec_id b, b.label lb, list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2]))::bigint s
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.e) = len(b.e)),
+p as (select a, b, s, row_number() over (partition by a order by s desc, b) nr from s where la = lb),
+n as (select p.a, p.b p, p.s ps, s.b n, s.s ns, row_number() over (partition by p.a, p.b order by s.s desc, s.b) nr
+  from p join s on p.a = s.a and s.la <> s.lb and 50 * p.s <= 100 * s.s and 100 * s.s <= 95 * p.s where p.nr <= 5)
+select a anchor_id, p positive_id, nr::int as rank, n negative_id, ps positive_score, ns negative_score from n where nr <= 3""")
+def _(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hn.hard_negatives(vectors.withColumn("label", moved))
