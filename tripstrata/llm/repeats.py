@@ -3,7 +3,7 @@
 Every text is cut into blocks of ``(width + 1) // 2`` words that do not overlap; their hashes are the index. Any run of
 ``width`` words holds one whole block of whatever document it is compared with, so every rolling window of a block's
 length probes the index, and only around hits there can be repeats. A hit is then extended in both directions, window
-by window of ``width`` words: 128 bits stand for a window, the smallest key that has it is found over all documents,
+by window of ``width`` words: 96 bits stand for a window, the smallest key that has it is found over all documents,
 and the windows that touch or overlap make up the maximal repeat.
 
 The corpus is cut into shards of about ``shard_bytes`` of text, each one row of a staged table. A shard sends each of
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from tripstrata.llm.shingles import SPACE, mix
 from tripstrata.sources.staging import stage_table
 
 WIDTH = 13
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 #: Bytes of text whose hashes share a bucket.
 BUCKET_BYTES = 12_000_000
 LEAST_BUCKETS = 8
@@ -44,6 +45,15 @@ RESULT = "n_words long, n_removed long, kept_sha256 string, spans array<struct<f
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def rising(values: np.ndarray) -> bytes:
+    """Sorted integers as their packed differences."""
+    return packed(np.diff(values, prepend=np.zeros(1, values.dtype)))
+
+
+def risen(data: bytes, kind: str) -> np.ndarray:
+    return np.cumsum(unpacked(data, kind), dtype=kind)
+
+
 def multipliers(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 20)) | np.uint64(1)
 
@@ -64,6 +74,10 @@ def unpacked(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, n).T).reshape(-1).view(kind)
 
 
+#: How the windows of a shard travel: 64 bits in rising order, 32 more, and the smallest key.
+PARTS = (("first", "u8", risen), ("second", "u4", unpacked), ("least", "i8", unpacked))
+
+
 class Shard:
     """Words of a shard's texts: two hashes each, and for every word the end of its text."""
 
@@ -72,29 +86,39 @@ class Shard:
         texts = self.rows.column(text).combine_chunks()
         keys = self.rows.column(key).combine_chunks()
         self.keys = np.asarray(keys.fill_null(LAST_KEY)).astype(np.int64)
-        first, second, begins, stops, cuts, self.data, base, words = [], [], [], [], [0], [], 0, 0
+        self.data, self.ends, begins, stops, cuts, words = [], [], [], [], [0], 0
         for _, _, data, starts, _ in in_steps(texts):
             space = SPACE[data]
             before = np.concatenate(([True], space[:-1]))
             begin, stop = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-            powers, inverse = power_tables(len(data))
-            size = (stop - begin).astype(np.uint64)
-            for values, out in ((data.astype(np.uint64) + np.uint64(1), first), (BYTE_VALUES[data], second)):
-                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers[:len(data)])))
-                out.append(mix((sums[stop] - sums[begin]) * inverse[begin] + size))
             cuts.extend((np.append(np.searchsorted(begin, starts), len(begin))[1:] + words).tolist())
-            begins.append(begin + base)
-            stops.append(stop + base)
+            begins.append(begin)
+            stops.append(stop)
             self.data.append(data)
-            base, words = base + len(data), words + len(begin)
-        empty = [np.zeros(0, np.uint64)]
-        self.first, self.second = np.concatenate(empty + first), np.concatenate(empty + second)
-        self.begin, self.stop = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (begins, stops))
+            words += len(begin)
+        self.begins, self.stops = begins, stops
         self.cuts = np.array(cuts)
         self.row = np.repeat(np.arange(len(self.keys)), np.diff(self.cuts))
         self.place = np.arange(len(self.row)) - self.cuts[self.row]
         self.left = self.cuts[self.row + 1] - np.arange(len(self.row))  # words to the end of the text, this one included
 
+    def hashes(self, values: np.ndarray) -> np.ndarray:
+        """A hash of each word, from a value for each byte."""
+        out = [np.zeros(0, np.uint64)]
+        for data, begin, stop in zip(self.data, self.begins, self.stops, strict=True):
+            powers, inverse = power_tables(len(data))
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[data] * powers[:len(data)])))
+            out.append(mix((sums[stop] - sums[begin]) * inverse[begin] + (stop - begin).astype(np.uint64)))
+        return np.concatenate(out)
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        return self.hashes(np.arange(1, 257, dtype=np.uint64))
+
+    @cached_property
+    def second(self) -> np.ndarray:
+        return self.hashes(BYTE_VALUES)
+
     def starts(self, size: int) -> np.ndarray:
         """Words at which ``size`` words of one text begin."""
         return np.flatnonzero(self.left >= size)
@@ -111,7 +135,8 @@ class Shard:
         return at, ((self.runs(self.first, at, block, 1) >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(16)
 
     def windows(self, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        return self.runs(self.first, at, width, 2), self.runs(self.second, at, width, 3)
+        """96 bits for each window."""
+        return self.runs(self.first, at, width, 2), (self.runs(self.second, at, width, 3) >> np.uint64(32)).astype(np.uint32)
 
 
 def member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
@@ -158,7 +183,7 @@ def cut_shards(documents: DataFrame, text: str, key: str, shard_bytes: int) -> D
 
         def shard() -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, kept[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, kept[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 5))) as out:
                 for x in kept:
                     out.write_batch(x)
             return to_batch([(number, held, sink.getvalue().to_pybytes())], ["shard", "n_bytes", "body"],
@@ -203,13 +228,13 @@ def block_hits(shards: DataFrame, text: int, key: int, block: int, buckets: int)
                 index = member(probes, np.unique(codes[shard.place[at] % block == 0]))
                 for bucket, a, b in split_by(probes >> np.uint64(32)):
                     values = probes[a:b].astype(np.uint32)  # the lower 32 bits, in rising order
-                    rows.append((bucket, number, packed(np.diff(values, prepend=np.uint32(0))),
+                    rows.append((bucket, number, rising(values),
                                  np.packbits(index[a:b]).tobytes()))
                 yield to_batch(rows, ["bucket", "shard", "probes", "index"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
 
     def meet(bucket: tuple, table: pa.Table) -> pa.Table:
         shards_here = table.column("shard").to_pylist()
-        probes = [np.cumsum(unpacked(x.as_py(), "u4"), dtype=np.uint32) for x in table.column("probes")]
+        probes = [risen(x.as_py(), "u4") for x in table.column("probes")]
         blocks = [v[np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(v)).astype(bool)]
                   for v, x in zip(probes, table.column("index"), strict=True)]
         values, counts = np.unique(np.concatenate(probes), return_counts=True)
@@ -219,7 +244,7 @@ def block_hits(shards: DataFrame, text: int, key: int, block: int, buckets: int)
         for number, own in zip(shards_here, probes, strict=True):
             found = own[member(own, hot)].astype(np.uint64)
             if len(found):
-                rows.append((number, packed(np.diff(found + top, prepend=np.uint64(0)))))
+                rows.append((number, rising(found + top)))
         return pa.Table.from_batches([to_batch(rows, ["shard", "answer"], [pa.int64(), pa.binary()])])
 
     rows = shards.select("shard", "body").mapInArrow(entries, "bucket int, shard long, probes binary, index binary")
@@ -234,7 +259,7 @@ def window_answers(shards: DataFrame, hits: DataFrame, text: int, key: int, bloc
         for batch in batches:
             for number, body, answers in zip(*(batch.column(i) for i in range(3)), strict=True):
                 shard, rows = Shard(body.as_py(), text, key), []
-                known = [np.cumsum(unpacked(x, "u8"), dtype=np.uint64) for x in answers.as_py() or []]
+                known = [risen(x, "u8") for x in answers.as_py() or []]
                 at = anchored(shard, np.sort(np.concatenate([np.zeros(0, np.uint64), *known])), block, buckets, width)
                 first, second = shard.windows(at, width)
                 keys = shard.keys[shard.row[at]]
@@ -245,14 +270,13 @@ def window_answers(shards: DataFrame, hits: DataFrame, text: int, key: int, bloc
                 least, several = keys[head], keys[tail] > keys[head]
                 first, second = first[head], second[head]
                 for bucket, a, b in split_by(((first >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(48)):
-                    rows.append((bucket, int(number.as_py()), packed(first[a:b]), packed(second[a:b]), packed(least[a:b]),
+                    rows.append((bucket, int(number.as_py()), rising(first[a:b]), packed(second[a:b]), packed(least[a:b]),
                                  np.packbits(several[a:b]).tobytes()))
                 yield to_batch(rows, ["bucket", "shard", "first", "second", "least", "several"],
                                [pa.int32(), pa.int64()] + [pa.binary()] * 4)
 
     def meet(table: pa.Table) -> pa.Table:
-        first, second, least = ([unpacked(x.as_py(), kind) for x in table.column(name)]
-                                for name, kind in (("first", "u8"), ("second", "u8"), ("least", "i8")))
+        first, second, least = ([read(x.as_py(), kind) for x in table.column(name)] for name, kind, read in PARTS)
         several = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(v)).astype(bool)
                                   for x, v in zip(table.column("several"), first, strict=True)])
         sizes = np.array([len(v) for v in first])
@@ -265,11 +289,10 @@ def window_answers(shards: DataFrame, hits: DataFrame, text: int, key: int, bloc
         told, rows = np.flatnonzero((lowest < least) | several), []
         for number, a, b in split_by(owner[told]):
             own = told[a:b]
-            rows.append((table.column("shard")[number].as_py(), packed(first[own]) + packed(second[own]) + packed(lowest[own]),
-                         len(packed(first[own])), len(packed(second[own]))))
-        return pa.Table.from_batches([to_batch(
-            [(n, {"first": x[:i], "second": x[i:i + j], "least": x[i + j:]}) for n, x, i, j in rows],
-            ["shard", "answer"], [pa.int64(), pa.struct([(c, pa.binary()) for c in ("first", "second", "least")])])])
+            rows.append((table.column("shard")[number].as_py(), {
+                "first": rising(first[own]), "second": packed(second[own]), "least": packed(lowest[own])}))
+        return pa.Table.from_batches([to_batch(rows, ["shard", "answer"], [
+            pa.int64(), pa.struct([(name, pa.binary()) for name, _, _ in PARTS])])])
 
     rows = with_answers(shards, hits).mapInArrow(
         entries, "bucket int, shard long, first binary, second binary, least binary, several binary")
@@ -281,8 +304,7 @@ def covered_words(shard: Shard, answers: list[dict], width: int) -> np.ndarray:
     """Whether each word is in a window that an earlier document has."""
     covered = np.zeros(len(shard.row) + 1, np.int64)
     if answers:
-        first, second, least = (np.concatenate([unpacked(x[c], kind) for x in answers])
-                                for c, kind in (("first", "u8"), ("second", "u8"), ("least", "i8")))
+        first, second, least = (np.concatenate([read(x[name], kind) for x in answers]) for name, kind, read in PARTS)
         order = np.lexsort((second, first))
         first, second, least = first[order], second[order], least[order]
         at = shard.starts(width)
@@ -303,16 +325,19 @@ def covered_words(shard: Shard, answers: list[dict], width: int) -> np.ndarray:
 def kept_texts(shard: Shard, gone: np.ndarray) -> list[bytes]:
     """The words of each text that stay, joined by one blank."""
     data = np.concatenate([np.zeros(0, np.uint8), *shard.data])
+    base = np.cumsum([0, *map(len, shard.data)])
+    begin, stop = (np.concatenate([np.zeros(0, np.int64), *(x + b for x, b in zip(own, base))])
+                   for own in (shard.begins, shard.stops))
     keep = np.flatnonzero(~gone)
     marks = np.zeros(len(data) + 1, np.int8)
-    marks[shard.begin[keep]] += 1
-    marks[shard.stop[keep]] -= 1
+    marks[begin[keep]] += 1
+    marks[stop[keep]] -= 1
     inside = np.cumsum(marks[:-1], dtype=np.int8).astype(bool)
     rows = shard.row[keep]
-    gap = shard.stop[keep][:-1][rows[1:] == rows[:-1]]  # one byte after a word that is not the last of its text
+    gap = stop[keep][:-1][rows[1:] == rows[:-1]]  # one byte after a word that is not the last of its text
     data[gap] = 32
     inside[gap] = True
-    out, sizes = data[inside].tobytes(), np.bincount(rows, shard.stop[keep] - shard.begin[keep] + 1, len(shard.keys)).astype(np.int64)
+    out, sizes = data[inside].tobytes(), np.bincount(rows, stop[keep] - begin[keep] + 1, len(shard.keys)).astype(np.int64)
     ends = np.cumsum(np.maximum(sizes - 1, 0))
     return [out[a:b] for a, b in zip(np.concatenate(([0], ends[:-1])), ends, strict=True)]
 
