@@ -41,7 +41,7 @@ from tripstrata.plans import alerting, batches, bronze, eda, gold, model, monito
 from tripstrata.sources import audit, readers, writers  # noqa: E402
 from tripstrata.sources.event_trips import FIRST_DAY, SPLIT_CUTOFF, raw_trips  # noqa: E402
 from tripstrata.sources.staging import scratch_dir, stage_table  # noqa: E402
-from tripstrata.streaming.incremental import incremental_batch, replace_days  # noqa: E402
+from tripstrata.streaming.incremental import batch_days, incremental_batch, replace_days  # noqa: E402
 
 LIMITS = replace(THRESHOLDS, split_cutoff=SPLIT_CUTOFF)
 RULES = ", ".join(RULE_NAMES)
@@ -1236,7 +1236,7 @@ def _(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", "value")
     path = f"{scratch_dir(spark)}/stages/days-{uuid.uuid4().hex}"
     for day in ("2024-01-15", "2024-01-22", "2024-01-15"):
-        stored = replace_days(incremental_batch(events, day, "ts"), path)
+        stored = replace_days(incremental_batch(events, day, "ts"), path, covered=batch_days(spark, day))
     return dated(stored.groupBy("fecha").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")))
 
 
@@ -1279,6 +1279,35 @@ def _(spark, sf):
     return od.union_parts(*parts)
 
 
+LATE_SPAN = "fecha BETWEEN '2024-01-08' AND '2024-01-21' AND fecha <> '2024-01-12'"
+
+
+@query("late_batches", with_ctes(f"""
+    SELECT * FROM (
+      SELECT 'clean' AS capa, strftime(pickup_datetime, '%Y-%m-%d') AS fecha, id, trip_duration AS segundos, passenger_count AS a, vendor_id AS b FROM clean
+      UNION ALL SELECT 'quarantine', strftime(pickup_datetime, '%Y-%m-%d'), id, trip_duration, passenger_count, vendor_id FROM quarantine
+      UNION ALL SELECT 'analytics', strftime(pickup_datetime, '%Y-%m-%d'), id, trip_duration, pickup_cluster, CAST(pickup_hour AS VARCHAR) FROM zoned
+      UNION ALL SELECT 'features', strftime(pickup_datetime, '%Y-%m-%d'), id, trip_duration, dropoff_cluster, split_flag FROM zoned)
+    WHERE {LATE_SPAN}""", "zoned"))
+def _(spark, sf):
+    """Weeks out of order and twice, copies in a week, in a late delivery and across both, a day that loses its rows: every row of every layer."""
+    folder = f"{scratch_dir(spark)}/stages/late-{uuid.uuid4().hex}"
+    rows = raw_trips(spark, sf)
+    number, day = F.substring("id", 3, 20).cast("long"), F.substring("pickup_datetime", 1, 10)
+    first, kept = rows.filter(number % 3 != 0), day != "2024-01-12"
+    late = rows.filter(kept & day.between("2024-01-08", "2024-01-21") & ((number % 3 == 0) | (number % 5 == 0)))
+    batches.run_batch(first, "2024-01-22", folder, CENTROIDS, LIMITS)
+    batches.run_batch(first, "2024-01-15", folder, CENTROIDS, LIMITS)
+    batches.late_batch(late.unionByName(late), "tardia", folder, CENTROIDS, LIMITS)
+    batches.run_batch(first.unionByName(first).filter(kept), "2024-01-15", folder, CENTROIDS, LIMITS)
+    stored = batches.late_batch(late, "tardia", folder, CENTROIDS, LIMITS)
+    shown = {"clean": ("passenger_count", "vendor_id"), "quarantine": ("passenger_count", "vendor_id"),
+             "analytics": ("pickup_cluster", "pickup_hour"), "features": ("dropoff_cluster", "split_flag")}
+    return od.union_parts(*[stored[layer].select(
+        F.lit(layer).alias("capa"), F.col("fecha").cast("string").alias("fecha"), "id", F.col("trip_duration").alias("segundos"),
+        F.col(a).alias("a"), F.col(b).cast("string").alias("b")) for layer, (a, b) in shown.items()])
+
+
 @query("run_alerts", with_ctes(ALERTS_SQL.replace(
     "SELECT pickup_cluster FROM train GROUP BY 1 HAVING count(*) > 0.05 * (SELECT count(*) FROM train)\n          EXCEPT SELECT pickup_cluster FROM test",
     "(SELECT 'c', pickup_cluster FROM train GROUP BY 2 HAVING count(*) > 0.05 * (SELECT count(*) FROM train) "
