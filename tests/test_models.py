@@ -65,13 +65,6 @@ def test_forward_search_picks_the_smallest_error(data):
     assert rows[1].rmsle_promedio < rows[0].rmsle_promedio
 
 
-def test_staged_vectors_keep_their_categories(data):
-    encoder = models.gbt_encoder(SMALL).fit(models.as_model_input(data, SMALL))
-    kept = models._with_metadata(encoder.transform(models.as_model_input(data, SMALL)).select("features"), encoder, SMALL)
-    attributes = kept.schema["features"].metadata["ml_attr"]["attrs"]
-    assert [a["name"] for a in attributes["nominal"]] == ["k_idx"]
-
-
 def test_median_model_falls_back_to_the_global_median(spark):
     train = spark.createDataFrame([(1, 10), (1, 30), (2, 50), (None, 70)], "k int, trip_duration int")
     rows = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")

@@ -14,6 +14,7 @@ from tripstrata.functions.numeric import clip
 from tripstrata.operators import baselines as b
 from tripstrata.operators import evaluation as ev
 from tripstrata.operators import models as m
+from tripstrata.operators.boosting import BoostedTrees
 from tripstrata.operators.ordering import positions, rank_agreement, rank_compare
 from tripstrata.sources.readers import stats_from_summary
 from tripstrata.sources.staging import stage_table
@@ -39,8 +40,8 @@ def expected_order(summary: DataFrame) -> DataFrame:
 
 def run_model(spark: SparkSession, tables: TableNames = TABLES, first_day: str = "2016-01-01",
               t: Thresholds = THRESHOLDS, grid: Sequence[m.BoostingParams] = m.GRID, windows: int = 3,
-              eda_path: str | None = None, summary_path: str | None = None, model_path: str | None = None,
-              **gbt) -> dict[str, DataFrame]:
+              eda_path: str | None = None, summary_path: str | None = None,
+              model_path: str | None = None) -> dict[str, DataFrame]:
     """Fit and compare all models on the features table; append the run history.
 
     The test split takes no part in the search. Scored rows are staged once, since every
@@ -52,15 +53,18 @@ def run_model(spark: SparkSession, tables: TableNames = TABLES, first_day: str =
     train, test = features.filter(F.col("split_flag") == TRAIN), features.filter(F.col("split_flag") == TEST)
 
     ridge = m.fit_ridge(train)
-    default = m.fit_gbt(train, grid[0], **gbt)
+    default = m.fit_gbt(train, grid[0])
     # The analytics table holds the same rows with their time, so no join by id is needed.
     timed = spark.table(tables.analytics).filter(F.col("split_flag") == TRAIN)
     dated = timed.withColumns({"fecha": F.to_date("pickup_datetime"), MODEL.target_log: F.log1p(target)})
-    best, search = m.forward_search(dated, forward_windows(first_day, t.split_cutoff, windows), grid, **gbt)
-    tuned, scored = m.final_fit_predict(train, test, best, **gbt)
+    best, search = m.forward_search(dated, forward_windows(first_day, t.split_cutoff, windows), grid)
+    if best == grid[0]:  # the same fit on the same rows
+        tuned, scored = default, m.predict(default, train.unionByName(test))
+    else:
+        tuned, scored = m.final_fit_predict(train, test, best)
 
     if model_path:
-        tuned.write().overwrite().save(f"{model_path}/ajustado")
+        tuned.save(spark, f"{model_path}/ajustado")
         ridge.write().overwrite().save(f"{model_path}/lineal")
 
     scored = baseline_predictions(train, scored.withColumnRenamed("pred", "p_ajustado"))
@@ -108,7 +112,9 @@ def run_model(spark: SparkSession, tables: TableNames = TABLES, first_day: str =
 
 def score_batch(df: DataFrame, model_path: str, name: str = "ajustado", output: str = "pred") -> DataFrame:
     """Later rows scored by a model that :func:`run_model` wrote."""
-    return m.predict(PipelineModel.load(f"{model_path}/{name}"), df, output)
+    path = f"{model_path}/{name}"
+    model = PipelineModel.load(path) if name == "lineal" else BoostedTrees.load(df.sparkSession, path)
+    return m.predict(model, df, output)
 
 
 def model_summary(frames: dict[str, DataFrame], by_split: DataFrame, best: m.BoostingParams,
@@ -127,7 +133,7 @@ def model_summary(frames: dict[str, DataFrame], by_split: DataFrame, best: m.Boo
         F.count_if(F.col("split_flag") == TRAIN).alias("n_train"),
         F.count_if(F.col("split_flag") == TEST).alias("n_test"),
     ).withColumns({
-        "modelo": F.lit("GBTRegressor"),
+        "modelo": F.lit("HistogramBoosting"),
         "hiperparametros": F.struct(*[F.lit(v).alias(k) for k, v in vars(best).items() if v is not None]),
         "recorte_prediccion": F.array(F.lit(THRESHOLDS.duration_min_s), F.lit(THRESHOLDS.duration_max_s)),
         "metricas_test": of(TEST),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,8 @@ def get_session(app: str = "tripstrata", cores: int | None = None, **conf) -> Sp
         local = {
             "spark.sql.shuffle.partitions": str(cores),
             "spark.ui.enabled": "false",
+            # Python workers of this machine: without the waits of a loopback connection, which small jobs consist of.
+            "spark.python.unix.domain.socket.enabled": "true",
             "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "12g"),
         }
     for key, value in (local | conf).items():
@@ -44,3 +47,11 @@ def get_session(app: str = "tripstrata", cores: int | None = None, **conf) -> Sp
         if key not in decided:
             spark.conf.set(key, value)
     return spark
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine find this package where only the driver's path names it; on a cluster it comes with ``--py-files``."""
+    root = str(Path(__file__).resolve().parent.parent)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{paths}" if paths else root
