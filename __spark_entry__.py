@@ -1035,6 +1035,19 @@ def _(spark, sf):
     return dr.drift_report(*halves(stored_features(spark, sf)), MODEL.monitored)
 
 
+@query("drift_profile", with_ctes(f"""
+    SELECT variable, round(psi, 4) AS psi, {state("psi")} AS estado, n_referencia, n_lote,
+           (SELECT count(*) FROM psi WHERE psi >= 0.25) AS n_en_alerta,
+           (SELECT count(*) FROM psi WHERE psi >= 0.25) > 0 AS alerta FROM psi""", "test", TRIP_PSI))
+def _(spark, sf):
+    """The report from a kept profile: the test split comes as two weeks, whose counts are kept and added up."""
+    folder = f"{scratch_dir(spark)}/stages/profile-{uuid.uuid4().hex}"
+    train, test = halves(stored_features(spark, sf))
+    for name, part in (("w1", F.col("id").endswith("7")), ("w2", ~F.col("id").endswith("7")), ("w1", F.col("id").endswith("7"))):
+        frames = monitoring.monitor_batch(test.filter(part), f"{folder}/reference", lambda: train, counts_path=f"{folder}/counts", name=name)
+    return frames["acumulado"]
+
+
 @query("target_drift", with_ctes(PSI_ROW, "test", psi_ctes(
     long_sql("train", ["trip_duration"]), long_sql("test", ["trip_duration"]))))
 def _(spark, sf):

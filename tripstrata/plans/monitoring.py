@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from tripstrata.config import INTENSITIES, MODEL, TABLES, TEST, TRAIN, TableNames
 from tripstrata.operators import alerts as a
 from tripstrata.operators import drift as d
+from tripstrata.operators import profile as pf
 from tripstrata.operators import scenarios as s
 from tripstrata.sources.readers import stats_from_summary
 from tripstrata.sources.staging import stage_table
 from tripstrata.sources.writers import append_history
+from tripstrata.streaming.incremental import write_partitions
 
 
 def monitoring_frames(reference: DataFrame, batch: DataFrame, columns: Sequence[str] = MODEL.monitored,
@@ -51,3 +53,25 @@ def run_monitoring(spark: SparkSession, tables: TableNames = TABLES, batch_name:
     history = d.drift_history(frames["deriva"], frames["deriva_objetivo"], batch_name)
     frames["historial"] = append_history(history, tables.drift)
     return frames
+
+
+def monitor_batch(batch: DataFrame, profile_path: str, reference: Callable[[], DataFrame], columns: Sequence[str] = MODEL.monitored,
+                  target: str = MODEL.target, tag: str = "", counts_path: str | None = None, name: str = "") -> dict[str, DataFrame]:
+    """Drift of a week against the kept profile of the reference, which is built only where none of its version is stored.
+
+    With ``counts_path`` the week's counts are kept there under ``name``, replacing those of an earlier run, and ``acumulado`` is
+    the drift of all weeks kept so far, from their counts alone.
+    """
+    spark = batch.sparkSession
+    profile = pf.kept_profile(spark, profile_path, reference, [*columns, target], tag=tag)
+    counts = stage_table(pf.batch_counts(profile, batch), "counts")
+    psi = stage_table(pf.psi_from_profile(profile, counts), "psi")
+    frames = {"deriva": d.with_batch_alert(psi.filter(F.col("variable") != target)),
+              "deriva_objetivo": psi.filter(F.col("variable") == target).withColumn("estado", d.classify_psi(F.col("psi")))}
+    if counts_path:
+        write_partitions(counts.withColumn("lote", F.lit(name)), counts_path, ["lote"])
+        kept = spark.read.schema("variable string, version string, bin int, n long, lote string").parquet(counts_path)
+        same = kept.join(profile.select("version").distinct(), "version", "left_semi")
+        whole = pf.psi_from_profile(profile, pf.merge_counts(same))
+        frames["acumulado"] = d.with_batch_alert(whole.filter(F.col("variable") != target))
+    return frames
