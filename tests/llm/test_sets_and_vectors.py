@@ -67,10 +67,11 @@ def corpus():
     return [(7 * i + 3, t, f"x{i}", i) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("frequent", [8, 10 ** 9])
-def test_set_join_equals_brute_force(spark, monkeypatch, frequent):
-    """With and without frequent shingles last, so that short, long and split lists all occur."""
-    monkeypatch.setattr(sj, "FREQUENT", frequent)
+@pytest.mark.parametrize("frequent, bucket, block", [(8, 400_000, 512), (10 ** 9, 300, 3)])
+def test_set_join_equals_brute_force(spark, monkeypatch, frequent, bucket, block):
+    """With and without frequent shingles last, with one bucket and with many, so that short, long and split lists all occur."""
+    for name, value in (("FREQUENT", frequent), ("BUCKET", bucket), ("BLOCK", block)):
+        monkeypatch.setattr(sj, name, value)
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string, sig string, n int").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in sj.jaccard_components(docs).collect()}

@@ -195,11 +195,15 @@ def merged(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
     return sigs, n, copies, low, h[keep], own[keep], pos[keep]
 
 
-def list_pairs(blocks: DataFrame) -> DataFrame:
+#: What a bucket tells of a set: signature, size, shingles below ``BELOW``, entries in lists of two or more, in long ones.
+COUNTS = np.dtype([("sig", SIG), ("n", "<i4"), ("low", "<i4"), ("shared", "<i4"), ("long", "<i4")])
+
+
+def list_pairs(blocks: DataFrame, parts: int) -> DataFrame:
     """Rows of three kinds; ``shared`` and the counts take only shingles below ``BELOW``.
 
     ``pair``    a candidate (a, b) with sizes, the numbers listed below, and the short lists they share
-    ``count``   a set a with its entries in lists of two or more (``shared``), and in long ones (``long``)
+    ``counts``  for many sets, those of class ``part`` of their signatures, :data:`COUNTS` in this bucket
     ``member``  a set a of long lists with leader b
     """
 
@@ -238,26 +242,46 @@ def list_pairs(blocks: DataFrame) -> DataFrame:
         together = np.bincount(at.ravel(), weights=counted[near], minlength=len(pairs)).astype(np.int64)
         own = np.unique(np.column_stack((np.concatenate(members), np.concatenate(leaders))), axis=0)
         some = np.unique(node[(length > 1)[of]])  # also those that share only beyond BELOW: their size and rest count
+        told_of = np.zeros(len(some), COUNTS)
+        for name, values in zip(COUNTS.names, (sigs, n, low, shared, in_long), strict=True):
+            told_of[name] = values[some]
+        heads = np.frombuffer(sigs[some].tobytes(), "<u8")[::2] % np.uint64(parts)
+        order = np.argsort(heads, kind="stable")
+        cuts = np.searchsorted(heads[order], np.arange(parts + 1))
+        filled = np.flatnonzero(np.diff(cuts))
+        packed = [told_of[order[cuts[k]:cuts[k + 1]]].tobytes() for k in filled]
         named = np.array([x.tobytes() for x in sigs] + [None], object)
-        kind = ["pair"] * len(pairs) + ["count"] * len(some) + ["member"] * len(own)
-        a, none = np.concatenate((pairs[:, 0], some, own[:, 0])), np.full(len(some), len(sigs))
-        b = np.concatenate((pairs[:, 1], none, own[:, 1]))
-        other = np.where(b < len(sigs), b, 0)
-        long = np.concatenate((np.zeros(len(pairs), np.int64), in_long[some], np.zeros(len(own), np.int64)))
-        both_counts = np.concatenate((together, shared[some], np.zeros(len(own), np.int64)))
-        return pa.table([pa.array(kind, pa.string()), pa.array(named[a], pa.binary()), pa.array(named[b], pa.binary()),
-                         pa.array(both_counts), pa.array(long), *[pa.array(x) for x in (n[a], n[other], low[a], low[other])]],
-                        ["kind", "a", "b", "shared", "long", "n_a", "n_b", "low_a", "low_b"])
+        rows = len(pairs) + len(own)
+        a, b = np.concatenate((pairs[:, 0], own[:, 0])), np.concatenate((pairs[:, 1], own[:, 1]))
+        each = [np.concatenate((together, np.zeros(len(own), np.int64))), n[a], n[b], low[a], low[b]]
+        gap = [None] * len(filled)
+        return pa.table([
+            pa.array(["pair"] * len(pairs) + ["member"] * len(own) + ["counts"] * len(filled), pa.string()),
+            pa.array([*named[a], *gap], pa.binary()), pa.array([*named[b], *gap], pa.binary()),
+            *[pa.array([*x.tolist(), *gap], pa.int64()) for x in each],
+            pa.array([None] * rows + filled.tolist(), pa.int64()), pa.array([None] * rows + packed, pa.binary())],
+            ["kind", "a", "b", "shared", "n_a", "n_b", "low_a", "low_b", "part", "counts"])
 
     return blocks.groupBy("bucket").applyInArrow(
-        run, "kind string, a binary, b binary, shared long, long long, n_a long, n_b long, low_a long, low_b long")
+        run, "kind string, a binary, b binary, shared long, n_a long, n_b long, low_a long, low_b long, part long, counts binary")
 
 
 def set_counts(listed: DataFrame) -> DataFrame:
-    """(sig, n, rest, listed, long): size, shingles that are not below ``BELOW``, entries in lists of two or more, in long ones."""
-    return listed.filter("kind = 'count'").groupBy(F.col("a").alias("sig")).agg(
-        F.max("n_a").alias("n"), F.max(F.col("n_a") - F.col("low_a")).alias("rest"), F.sum("shared").alias("listed"),
-        F.sum("long").alias("long"))
+    """(sig, n, rest, listed, long): size, shingles that are not below ``BELOW``, entries in lists of two or more, in long ones.
+
+    A set has one row, however many buckets tell of it.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        told = np.concatenate([np.frombuffer(x.as_py(), COUNTS) for x in table.column("counts")])
+        sigs, first, at = np.unique(told["sig"], return_index=True, return_inverse=True)
+        listed, long = (np.bincount(at, told[c]).astype(np.int64) for c in ("shared", "long"))
+        n, low = (told[c][first].astype(np.int64) for c in ("n", "low"))
+        return pa.table([pa.array([x.tobytes() for x in sigs], pa.binary()), *[pa.array(x) for x in (n, n - low, listed, long)]],
+                        ["sig", "n", "rest", "listed", "long"])
+
+    return listed.filter("kind = 'counts'").select("part", "counts").groupBy("part").applyInArrow(
+        run, "sig binary, n long, rest long, listed long, long long")
 
 
 def likely_pairs(listed: DataFrame, counts: DataFrame) -> DataFrame:
@@ -439,7 +463,7 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
     late = table_of(np.array([r["h"] for r in often.collect()], "<i8"))  # at most MOST_FREQUENT rows
     entries = own.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(entries * (WHOLE - PART) / WHOLE / BUCKET))
-    listed = stage_table(list_pairs(postings(documents, text, late, buckets)), "list-pairs")
+    listed = stage_table(list_pairs(postings(documents, text, late, buckets), buckets), "list-pairs")
     counts = stage_table(set_counts(listed), "set-counts")
     pairs = stage_table(likely_pairs(listed, counts), "pairs")
     checked = verified(pairs, documents, text)
