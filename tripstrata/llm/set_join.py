@@ -49,6 +49,8 @@ TABLE_BITS = 24
 BUCKET = 400_000
 #: Sets in a block whose overlaps one task computes, and shingles that it takes at a time.
 BLOCK, COLUMNS = 512, 2048
+#: Classes beside the buckets in which what these tell meets again.
+CLASSES = 11
 #: Every set lists its shingles below this hash (bar frequent ones), so what two sets share there is known exactly.
 BELOW = np.uint64((1 << 64) // WHOLE * (WHOLE - PART))
 SIG = np.dtype([("a", "<u8"), ("b", "<u8")])
@@ -197,14 +199,34 @@ def merged(blocks: list[bytes]) -> tuple[np.ndarray, ...]:
 
 #: What a bucket tells of a set: signature, size, shingles below ``BELOW``, entries in lists of two or more, in long ones.
 COUNTS = np.dtype([("sig", SIG), ("n", "<i4"), ("low", "<i4"), ("shared", "<i4"), ("long", "<i4")])
-
-
-def list_pairs(blocks: DataFrame, parts: int) -> DataFrame:
-    """Rows of three kinds; ``shared`` and the counts take only shingles below ``BELOW``.
-
-    ``pair``    a candidate (a, b) with sizes, the numbers listed below, and the short lists they share
-    ``counts``  for many sets, those of class ``part`` of their signatures, :data:`COUNTS` in this bucket
-    ``member``  a set a of long lists with leader b
+#: Of a candidate: both sets with sizes and numbers listed below, and the short lists that they share.
+CANDIDATE = np.dtype([("a", SIG), ("b", SIG), ("shared", "<i4"), ("n_a", "<i4"), ("n_b", "<i4"), ("low_a", "<i4"), ("low_b", "<i4")])
+#: Of a set of a long list: its signature and that of the list's leader.
+MEMBER = np.dtype([("sig", SIG), ("lead", SIG)])
+
+
+def by_class(kind: str, told: np.ndarray, classes: int) -> list[tuple[str, int, bytes]]:
+    """(kind, class, bytes): the records by a class of the signatures that they begin with."""
+    if not len(told):
+        return []
+    words = np.frombuffer(told.tobytes(), "<u8" if not told.dtype.itemsize % 8 else "<u4").reshape(len(told), -1)
+    heads = np.zeros(len(told), np.uint64)
+    for k in range(words.shape[1] if kind == "member" else 32 // words.itemsize if kind == "pair" else 16 // words.itemsize):
+        heads = (heads ^ words[:, k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    heads = (heads >> np.uint64(32)) % np.uint64(classes)
+    order = np.argsort(heads, kind="stable")
+    cuts = np.searchsorted(heads[order], np.arange(classes + 1))
+    return [(kind, int(k), told[order[cuts[k]:cuts[k + 1]]].tobytes()) for k in np.flatnonzero(np.diff(cuts))]
+
+
+def list_pairs(blocks: DataFrame, classes: int) -> DataFrame:
+    """(kind, class, told): what a bucket tells, packed, so that its rows do not grow with its sets.
+
+    ``pair``    candidates, :data:`CANDIDATE`
+    ``counts``  sets with an entry in a list of two or more, :data:`COUNTS`
+    ``member``  sets of long lists with their leaders, :data:`MEMBER`
+
+    ``shared`` and the counts take only shingles below ``BELOW``.
     """
 
     def run(frame: pa.Table) -> pa.Table:
@@ -242,28 +264,39 @@ def list_pairs(blocks: DataFrame, parts: int) -> DataFrame:
         together = np.bincount(at.ravel(), weights=counted[near], minlength=len(pairs)).astype(np.int64)
         own = np.unique(np.column_stack((np.concatenate(members), np.concatenate(leaders))), axis=0)
         some = np.unique(node[(length > 1)[of]])  # also those that share only beyond BELOW: their size and rest count
-        told_of = np.zeros(len(some), COUNTS)
+        counts_of, pairs_of, members_of = (np.zeros(len(x), kind) for x, kind in ((some, COUNTS), (pairs, CANDIDATE), (own, MEMBER)))
         for name, values in zip(COUNTS.names, (sigs, n, low, shared, in_long), strict=True):
-            told_of[name] = values[some]
-        heads = np.frombuffer(sigs[some].tobytes(), "<u8")[::2] % np.uint64(parts)
-        order = np.argsort(heads, kind="stable")
-        cuts = np.searchsorted(heads[order], np.arange(parts + 1))
-        filled = np.flatnonzero(np.diff(cuts))
-        packed = [told_of[order[cuts[k]:cuts[k + 1]]].tobytes() for k in filled]
-        named = np.array([x.tobytes() for x in sigs] + [None], object)
-        rows = len(pairs) + len(own)
-        a, b = np.concatenate((pairs[:, 0], own[:, 0])), np.concatenate((pairs[:, 1], own[:, 1]))
-        each = [np.concatenate((together, np.zeros(len(own), np.int64))), n[a], n[b], low[a], low[b]]
-        gap = [None] * len(filled)
-        return pa.table([
-            pa.array(["pair"] * len(pairs) + ["member"] * len(own) + ["counts"] * len(filled), pa.string()),
-            pa.array([*named[a], *gap], pa.binary()), pa.array([*named[b], *gap], pa.binary()),
-            *[pa.array([*x.tolist(), *gap], pa.int64()) for x in each],
-            pa.array([None] * rows + filled.tolist(), pa.int64()), pa.array([None] * rows + packed, pa.binary())],
-            ["kind", "a", "b", "shared", "n_a", "n_b", "low_a", "low_b", "part", "counts"])
-
-    return blocks.groupBy("bucket").applyInArrow(
-        run, "kind string, a binary, b binary, shared long, n_a long, n_b long, low_a long, low_b long, part long, counts binary")
+            counts_of[name] = values[some]
+        for side, end in enumerate(("a", "b")):
+            pairs_of[end], pairs_of[f"n_{end}"], pairs_of[f"low_{end}"] = (x[pairs[:, side]] for x in (sigs, n, low))
+        pairs_of["shared"] = together
+        members_of["sig"], members_of["lead"] = sigs[own[:, 0]], sigs[own[:, 1]]
+        rows = by_class("pair", pairs_of, classes) + by_class("counts", counts_of, classes) + by_class("member", members_of, classes)
+        kinds, numbers, packed = zip(*rows, strict=True) if rows else ((), (), ())
+        return pa.table([pa.array(kinds, pa.string()), pa.array(numbers, pa.int64()), pa.array(packed, pa.binary())], ["kind", "class", "told"])
+
+    return blocks.groupBy("bucket").applyInArrow(run, "kind string, class long, told binary")
+
+
+def distinct_told(table: pa.Table, kind: np.dtype, ends: int) -> tuple[np.ndarray, np.ndarray]:
+    """The records of all buckets, ordered by the ``ends`` signatures that they begin with, and where each new one starts."""
+    told = np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column("told")])
+    keys = [told[name][half] for name in kind.names[:ends] for half in ("a", "b")]
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(told), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    return told[order], np.flatnonzero(new)
+
+
+def named(sigs: np.ndarray) -> pa.Array:
+    raw = sigs.tobytes()
+    return pa.array([raw[i:i + SIG.itemsize] for i in range(0, len(raw), SIG.itemsize)], pa.binary())
+
+
+def told_rows(listed: DataFrame, kind: str, run, schema: str) -> DataFrame:
+    return listed.filter(f"kind = '{kind}'").select("class", "told").groupBy("class").applyInArrow(run, schema)
 
 
 def set_counts(listed: DataFrame) -> DataFrame:
@@ -273,15 +306,36 @@ def set_counts(listed: DataFrame) -> DataFrame:
     """
 
     def run(table: pa.Table) -> pa.Table:
-        told = np.concatenate([np.frombuffer(x.as_py(), COUNTS) for x in table.column("counts")])
-        sigs, first, at = np.unique(told["sig"], return_index=True, return_inverse=True)
-        listed, long = (np.bincount(at, told[c]).astype(np.int64) for c in ("shared", "long"))
+        told, first = distinct_told(table, COUNTS, 1)
         n, low = (told[c][first].astype(np.int64) for c in ("n", "low"))
-        return pa.table([pa.array([x.tobytes() for x in sigs], pa.binary()), *[pa.array(x) for x in (n, n - low, listed, long)]],
+        listed, long = (np.add.reduceat(told[c].astype(np.int64), first) for c in ("shared", "long"))
+        return pa.table([named(told["sig"][first]), *[pa.array(x) for x in (n, n - low, listed, long)]],
                         ["sig", "n", "rest", "listed", "long"])
 
-    return listed.filter("kind = 'counts'").select("part", "counts").groupBy("part").applyInArrow(
-        run, "sig binary, n long, rest long, listed long, long long")
+    return told_rows(listed, "counts", run, "sig binary, n long, rest long, listed long, long long")
+
+
+def candidate_pairs(listed: DataFrame) -> DataFrame:
+    """(a, b, shared, n_a, n_b, low_a, low_b): one row per candidate, with the short lists that it shares in all buckets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        told, first = distinct_told(table, CANDIDATE, 2)
+        shared = np.add.reduceat(told["shared"].astype(np.int64), first)
+        sizes = ("n_a", "n_b", "low_a", "low_b")
+        return pa.table([named(told["a"][first]), named(told["b"][first]), pa.array(shared),
+                         *[pa.array(told[c][first].astype(np.int64)) for c in sizes]], ["a", "b", "shared", *sizes])
+
+    return told_rows(listed, "pair", run, "a binary, b binary, shared long, n_a long, n_b long, low_a long, low_b long")
+
+
+def list_members(listed: DataFrame) -> DataFrame:
+    """(sig, lead): one row per set of a long list and leader."""
+
+    def run(table: pa.Table) -> pa.Table:
+        told, first = distinct_told(table, MEMBER, 2)
+        return pa.table([named(told["sig"][first]), named(told["lead"][first])], ["sig", "lead"])
+
+    return told_rows(listed, "member", run, "sig binary, lead binary")
 
 
 def likely_pairs(listed: DataFrame, counts: DataFrame) -> DataFrame:
@@ -290,8 +344,7 @@ def likely_pairs(listed: DataFrame, counts: DataFrame) -> DataFrame:
     Beyond it two sets share no more than the smaller rest. Below it, shared short lists are counted, and of long
     ones there are at most as many as the one of the two has that has fewer.
     """
-    pairs = listed.filter("kind = 'pair'").groupBy("a", "b").agg(F.sum("shared").alias("shared"), *[
-        F.max(c).alias(c) for c in ("n_a", "n_b", "low_a", "low_b")])
+    pairs = candidate_pairs(listed)
     for end in ("a", "b"):
         pairs = pairs.join(counts.filter("long > 0").select(F.col("sig").alias(end), F.col("long").alias(f"long_{end}")), end, "left")
     need = F.ceil((F.col("n_a") + F.col("n_b")) * PART / (PART + WHOLE))
@@ -463,13 +516,12 @@ def jaccard_components(documents: DataFrame, key: str = "doc_id", text: str = "t
     late = table_of(np.array([r["h"] for r in often.collect()], "<i8"))  # at most MOST_FREQUENT rows
     entries = own.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, int(entries * (WHOLE - PART) / WHOLE / BUCKET))
-    listed = stage_table(list_pairs(postings(documents, text, late, buckets), buckets), "list-pairs")
+    listed = stage_table(list_pairs(postings(documents, text, late, buckets), buckets + CLASSES), "list-pairs")
     counts = stage_table(set_counts(listed), "set-counts")
     pairs = stage_table(likely_pairs(listed, counts), "pairs")
     checked = verified(pairs, documents, text)
     labels = stage_table(connected_components(linked(checked)), "labels")
-    members = listed.filter("kind = 'member'").select(F.col("a").alias("sig"), F.col("b").alias("lead")).distinct().join(
-        counts, "sig")
+    members = list_members(listed).join(counts, "sig")
     found = late_links(promising(split_members(members, labels)), documents, text)
     if found.limit(1).count():
         joins = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found)
