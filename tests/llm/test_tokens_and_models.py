@@ -169,6 +169,33 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert tc.link_tool_calls(df.limit(0), SCHEMAS).count() == 0
 
 
+def test_odd_calls_have_defined_results(spark):
+    """Deep, lone surrogates, huge numbers, marks in strings, identifiers with quotes, arguments in strings, broken blocks."""
+    def raw(own, body, name="g"):
+        return f'<tool_call> {{"id": {json.dumps(own)}, "name": "{name}", "arguments": {body}}} </tool_call>'
+
+    deep, bottomless = '{"a":' * 600 + "1" + "}" * 600, "[" * 500_000 + "]" * 500_000
+    quoted = 'q"\\x'
+    texts = [raw("deep", deep) + raw("after", json.dumps({"$ref": quoted})), raw("odd", '"\\ud800 x"'), raw("big", '{"x": 1e999}', "f"),
+             raw("mark", json.dumps({"s": "a</tool_call>b <tool_call>"})), raw(quoted, "{}"), raw("text", json.dumps('{"x":1}'), "f"),
+             raw("none", "null"), raw("endless", bottomless), raw("nan", "NaN"), "<tool_call>[1]</tool_call><tool_call>{}", raw(7, "1.0")]
+    df = spark.createDataFrame([(1, i, "assistant", t) for i, t in enumerate(texts)] + [(1, 20, "tool", result(quoted, "yes"))],
+                               "conv_id long, turn long, role string, text string")
+    rows = tc.link_tool_calls(df, SCHEMAS).collect()
+    got = {r.call_id: r for r in rows if r.call_id is not None}
+    assert sorted(r.turn for r in rows if r.status == "malformed") == [7, 8, 9]
+    assert set(got) == {"deep", "after", "odd", "big", "mark", quoted, "text", "none", "7"}
+    assert f'"arguments":{deep},' in got["deep"].record and got["deep"].errors == "$: no schema"
+    assert got["after"].level == 1 and got["after"].missing_refs == "" and got[quoted].status == "linked"
+    assert '"arguments":"\\ud800 x"' in got["odd"].record and got["odd"].errors == "$: no JSON"
+    assert '{"x":1e999}' in got["big"].record and got["big"].errors == "$.x: type"
+    assert '{"s":"a</tool_call>b <tool_call>"}' in got["mark"].record
+    assert '"arguments":{"x":1},' in got["text"].record and got["text"].errors == ""
+    assert '"arguments":null,' in got["none"].record and '"arguments":1,"id":"7"' in got["7"].record
+    for r in rows:
+        json.loads(r.record)
+
+
 @pytest.mark.parametrize("turns", [512, 2])
 def test_levels_across_blocks(spark, monkeypatch, turns):
     """Long chains, references ahead, several references and a circle, in one block and in many."""
