@@ -137,6 +137,30 @@ def test_vector_links_equal_brute_force(spark, shard):
     assert not wrong, [(k, got[k], want[k]) for k in list(wrong)[:5]]
 
 
+@pytest.mark.parametrize("n", [3, 40, 250, 1500])
+def test_graphs_are_searched_at_every_size(monkeypatch, n):
+    """The audit passes with a beam narrower than the shard, and what it reports is what brute force confirms."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(max(1, n // 3), 16))[rng.integers(0, max(1, n // 3), n)] + rng.normal(scale=0.02, size=(n, 16))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    graph, searched = gi.build(x), []
+    search = gi.Graph.search
+    monkeypatch.setattr(gi.Graph, "search", lambda self, q, beam: searched.append(len(q)) or search(self, q, beam))
+    audit = gi.audited(graph, x, 0.98, 0.98, 64)
+    q, f = gi.near(graph, x, 0.98, audit.beam)
+    truth = x @ x.T >= 0.98
+    assert audit.beam < n and audit.hits >= 0.98 * audit.truths > 0
+    assert searched.count(n) >= 1 and truth[q, f].all() and len(q) >= 0.98 * truth.sum()
+
+
+def test_recall_is_returned(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(60, 8)))] + [(None, None, 0)]
+    got = vl.vector_links(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert all(r.recall >= 0.9 for r in got if r.vec_id is not None)
+    assert [(r.recall, r.kept) for r in got if r.vec_id is None] == [(None, True)]
+
+
 def test_empty_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vl.vector_links(df).count() == 0

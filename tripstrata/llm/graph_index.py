@@ -15,8 +15,8 @@ import numpy as np
 LINKS = 12
 BEAM = 32
 BATCH = 256
-#: A beam of this share of a shard costs more than scoring the whole shard, which then replaces it.
-SCAN_SHARE = 8
+#: A beam that is full of links grows by this factor.
+WIDEN = 4
 
 
 def beam_search(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, beam: int,
@@ -154,7 +154,7 @@ def near(graph: Graph, queries: np.ndarray, least: float, beam: int) -> tuple[np
     n, found, nodes = len(graph.vectors), [], []
     todo = np.arange(len(queries))
     while len(todo):
-        if beam * SCAN_SHARE >= n:
+        if beam >= n:  # every node could be kept: the queries that are left are scored against all
             q, f = np.nonzero(queries[todo] @ graph.vectors.T >= least)
             found.append(todo[q])
             nodes.append(f)
@@ -164,23 +164,41 @@ def near(graph: Graph, queries: np.ndarray, least: float, beam: int) -> tuple[np
         q, c = np.nonzero((sims >= least) & ~full[:, None])
         found.append(todo[q])
         nodes.append(ids[q, c])
-        todo, beam = todo[full], beam * 2
+        todo, beam = todo[full], beam * WIDEN
     return (np.concatenate(found), np.concatenate(nodes)) if found else (np.zeros(0, int), np.zeros(0, int))
 
 
-def audited_beam(graph: Graph, queries: np.ndarray, least: float, target: float, sample: int) -> int:
-    """The beam at which evenly spread audit queries find ``target`` of their true links and nearest nodes."""
+@dataclass
+class Audit:
+    """The beam that passed, and of the audit queries' true links and nearest nodes how many the search found with it."""
+
+    beam: int
+    hits: int
+    truths: int
+
+
+def audited(graph: Graph, queries: np.ndarray, least: float, target: float, sample: int) -> Audit:
+    """The beam at which evenly spread audit queries find ``target`` of their true links and nearest nodes.
+
+    It starts at :data:`BEAM` (half the shard where that is smaller) and doubles after each failed audit; where the
+    widest beam fails too it is the whole shard. Queries whose beam is full are widened as :func:`near` does.
+    """
     own = queries[np.unique(np.linspace(0, len(queries) - 1, min(sample, len(queries))).astype(int))]
+    n = len(graph.vectors)
     sims = own @ graph.vectors.T
     truth = (sims >= least) | (sims == sims.max(1, keepdims=True))
-    beam = BEAM
-    while beam * SCAN_SHARE < len(graph.vectors):
+    total, beam = int(truth.sum()), max(1, min(BEAM, n // 2))
+    while beam < n:
         ids, got = graph.search(own, beam)
         hit = np.zeros(truth.shape, bool)
         q, c = np.nonzero(ids >= 0)
         hit[q, ids[q, c]] = True
-        full = got[:, -1] >= least  # such a beam is widened in the search itself
-        if (hit & truth)[~full].sum() >= target * truth[~full].sum():
-            break
+        full = np.flatnonzero(got[:, -1] >= least)
+        if len(full):
+            q, c = near(graph, own[full], least, beam * WIDEN)
+            hit[full[q], c] = True
+        hits = int((hit & truth).sum())
+        if hits >= target * total:
+            return Audit(beam, hits, total)
         beam *= 2
-    return beam
+    return Audit(n, total, total)

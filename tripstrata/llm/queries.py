@@ -156,7 +156,7 @@ select vec_id, coalesce(n_links, 0)::bigint n_links, least(vec_id, coalesce(leas
   vec_id <= coalesce(least_id, vec_id) kept
 from embeddings left join n on n.a = vec_id left join c on c.a = vec_id""")
 def _(spark, sf):
-    return vl.vector_links(table(spark, sf, "embeddings"))
+    return vl.vector_links(table(spark, sf, "embeddings")).drop("recall")
 
 
 @query("op6_token_files")

@@ -60,15 +60,16 @@ def graph_rows(table: pa.Table) -> pa.Table:
         [data], pa.binary())})
 
 
-def found_by(graph: gi.Graph, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of all candidates for a link."""
-    beam = gi.audited_beam(graph, queries, COSINE, RECALL, AUDIT)
-    parts = [(at, gi.near(graph, queries[at:at + STEP], COSINE - SLACK, beam)) for at in range(0, len(queries), STEP)]
-    return np.concatenate([q + at for at, (q, _) in parts]), np.concatenate([f for _, (_, f) in parts])
+def found_by(graph: gi.Graph, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, gi.Audit]:
+    """(query, node) of all candidates for a link, and the audit of the beam that found them."""
+    audit = gi.audited(graph, queries, COSINE, RECALL, AUDIT)
+    parts = [(at, gi.near(graph, queries[at:at + STEP], COSINE - SLACK, audit.beam)) for at in range(0, len(queries), STEP)]
+    return np.concatenate([q + at for at, (q, _) in parts]), np.concatenate([f for _, (_, f) in parts]), audit
 
 
 def search_both(left: pa.Table, right: pa.Table) -> pa.Table:
-    """(rep, links, root): copies linked to each vector of two shards (or one), and a vector it is connected to.
+    """(rep, links, root, hits, truths): copies linked to each vector of two shards (or one), a vector it is connected
+    to, and what the audits of the two searches found of how much.
 
     A link found from either end counts for both; a shard's size bounds the pairs that are held.
     """
@@ -77,8 +78,8 @@ def search_both(left: pa.Table, right: pa.Table) -> pa.Table:
     two = one if same else pickle.loads(right.column("graph")[0].as_py())
     n, m = len(one[0]), len(two[0])
     graphs = [gi.Graph(x[2].astype(np.float32), x[3], x[4]) for x in (one, two)]
-    x, y = found_by(graphs[1], graphs[0].vectors)
-    v, u = (x, y) if same else found_by(graphs[0], graphs[1].vectors)
+    x, y, audit = found_by(graphs[1], graphs[0].vectors)
+    v, u, other = (x, y, audit) if same else found_by(graphs[0], graphs[1].vectors)
     keys = np.unique(np.concatenate((x * m + y, u * m + v)))
     x, y = keys // m, keys % m
     if same:
@@ -94,7 +95,9 @@ def search_both(left: pa.Table, right: pa.Table) -> pa.Table:
     else:
         ids, links = np.concatenate((one[0], two[0])), np.concatenate((first, second))
         root = joined(np.arange(n + m), x, n + y)
-    return pa.table({"rep": pa.array(ids), "links": pa.array(links), "root": pa.array(ids[root])})
+    hits, truths = (a if same else a + b for a, b in ((audit.hits, other.hits), (audit.truths, other.truths)))
+    return pa.table({"rep": pa.array(ids), "links": pa.array(links), "root": pa.array(ids[root]),
+                     "hits": pa.array(np.full(len(ids), hits)), "truths": pa.array(np.full(len(ids), truths))})
 
 
 def search_shards(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -116,7 +119,11 @@ def joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def vector_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                  shard: int = SHARD) -> DataFrame:
-    """(key, n_links, component_id, kept): one row per vector."""
+    """(key, n_links, component_id, kept, recall): one row per vector.
+
+    ``recall`` is the share of true links and nearest vectors that the audits of the searches around the vector's shard
+    found; NULL for vectors that are not compared.
+    """
     own = vectors.select(F.col(key).alias("key"), F.col(label).alias("label"), F.col(vector).alias("embedding"),
                          (F.col(label).isNotNull() & usable(vector)).alias("good"))
     print_ = F.concat(F.hex(F.xxhash64("embedding")), F.hex(F.xxhash64(F.lit(1), "embedding")))
@@ -135,14 +142,16 @@ def vector_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     left = index.withColumn("i", F.col("shard")).withColumn("j", F.explode(F.expr("sequence(shard, shards - 1)")))
     right = index.withColumn("j", F.col("shard")).withColumn("i", F.explode(F.expr("sequence(0, shard)")))
     found = stage_table(left.groupBy(unit_of).cogroup(right.groupBy(unit_of)).applyInArrow(
-        search_shards, f"label {kind['label']}, rep {kind['key']}, links long, root {kind['key']}"), "vector-links")
+        search_shards, f"label {kind['label']}, rep {kind['key']}, links long, root {kind['key']}, hits long, truths long"),
+        "vector-links")
     parts = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    by_rep = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    by_rep = found.groupBy("rep").agg(F.sum("links").alias("links"), (F.sum("hits") / F.sum("truths")).alias("recall"))
     known = stage_table(reps.select("label", "print", "rep", "copies").join(by_rep, "rep", "left").join(
         parts.withColumnRenamed("node", "rep"), "rep", "left").select(
         "label", "print", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id")), "vector-results")
-    out = members.join(known, ["label", "print"]).select("key", "n_links", "component_id").unionByName(
-        own.filter("not good").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id")))
+        F.coalesce("component", "rep").alias("component_id"), "recall"), "vector-results")
+    out = members.join(known, ["label", "print"]).select("key", "n_links", "component_id", "recall").unionByName(
+        own.filter("not good").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id")),
+        allowMissingColumns=True)
     return out.select(F.col("key").alias(key), "n_links", "component_id",
-                      (F.col("key") == F.col("component_id")).alias("kept"))
+                      F.col("key").eqNullSafe(F.col("component_id")).alias("kept"), "recall")
