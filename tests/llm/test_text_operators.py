@@ -12,6 +12,7 @@ from tripstrata.llm import decontaminate as dc
 from tripstrata.llm import licences as lc
 from tripstrata.llm import line_chunks as ch
 from tripstrata.llm import pseudonyms as ps
+from tripstrata.llm import set_join as sj
 
 DOCS = "doc_id long, text string"
 WORDS = [f"w{i}" for i in range(30)]
@@ -69,6 +70,27 @@ def test_removal_with_null_and_repeated_keys(spark, remove):
     assert {r.n: r.text for r in out.collect()} == (whole if remove == "documents" else {**whole, 1: "", 3: ""})
 
 
+def test_columns_with_the_names_used_inside(spark):
+    """Extra columns called as the operators call their own pass unchanged."""
+    names = ["_row", "_gone", "_gone_row", "_hit_row", "_hit_key", "_hit_spans", "_found", "_NEW", "_copies", "_n"]
+    lines = "\n".join(" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(i, t, *(f"{n}{i}" for n in names)) for i, t in enumerate([lines + " 8.8.8.8", lines + " 8.8.8.8", ITEM, None])]
+    docs = frame(spark, rows, f"{DOCS}, {', '.join(f'{n} string' for n in names)}")
+    bench = frame(spark, [(1, ITEM)], "item_id long, text string")
+    results = {
+        "spans": dc.decontaminate(docs, bench, remove="spans"), "documents": dc.decontaminate(docs, bench),
+        "lines": ch.dedup_lines(docs), "values": ps.pseudonymise(docs, KEY), "copies": sj.one_of_each(docs)}
+    texts = {}
+    for kind, out in results.items():
+        assert out.columns[:len(docs.columns)] == docs.columns
+        got = out.collect()
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names), kind
+        texts[kind] = {r.doc_id: r.text for r in got}
+    assert texts["spans"][2] == "" and sorted(texts["documents"]) == [0, 1, 3]
+    assert texts["lines"][0] == rows[0][1] and texts["lines"][1] == ""
+    assert texts["values"][0] == texts["values"][1] != rows[0][1] and sorted(texts["copies"]) == [0, 2, 3]
+
+
 def test_empty_benchmark_and_documents(spark):
     bench, docs = frame(spark, [], "item_id long, text string"), frame(spark, [(1, ITEM)])
     assert by_key(dc.contamination(docs, bench))[1].n_hit == 0

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripstrata.llm.line_chunks import row_of
-from tripstrata.llm.text import let, lower_az, split_words
+from tripstrata.llm.text import fresh, let, lower_az, split_words
 
 #: All characters but digits, a-z (A-Z is in lower case by then) and what is not ASCII.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -126,24 +126,25 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, remove: str = "doc
     ``remove="documents"`` drops contaminated documents; ``"spans"`` cuts out the hit words together
     with the separators that follow them.
     """
-    rows = documents.withColumn("_hit_row", row_of(key, text))
-    found = contamination(rows, benchmark, width, "_hit_row", text, **more).filter("contaminated")
+    row, hit_key, spans = fresh(documents, "_hit_row", "_hit_key", "_hit_spans")
+    rows = documents.withColumn(row, row_of(key, text))
+    found = contamination(rows, benchmark, width, row, text, **more).filter("contaminated")
     if remove == "documents":
-        return rows.join(found.select("_hit_row"), "_hit_row", "left_anti").select(documents.columns)
+        return rows.join(found.select(row), row, "left_anti").select(documents.columns)
     if remove != "spans":
         raise ValueError("remove: documents or spans")
-    marks = found.select(F.col("_hit_row").alias("_hit_key"), F.col("spans").alias("_hit_spans"))
-    joined = rows.join(marks, rows["_hit_row"] == marks["_hit_key"], "left")
+    marks = found.select(F.col(row).alias(hit_key), F.col("spans").alias(spans))
+    joined = rows.join(marks, rows[row] == marks[hit_key], "left")
     own = documents[text]
     parts = F.struct(F.array_remove(F.split(own, f"{NOT_WORD_RAW}+"), "").alias("words"),
                      F.split(own, f"{NOT_WORD_RAW.replace('[', '[^', 1)}+").alias("gaps"))
 
     def cut(p: Column) -> Column:
         kept = F.filter(F.sequence(F.lit(0), F.size(p["words"]) - 1), lambda i: ~F.exists(
-            "_hit_spans", lambda s: i.between(s["first"], s["last"])))
+            spans, lambda s: i.between(s["first"], s["last"])))
         return F.concat(F.element_at(p["gaps"], 1), F.array_join(F.transform(kept, lambda i: F.concat(
             F.get(p["words"], i), F.get(p["gaps"], i + 1))), ""))
 
     return joined.select(*[
-        F.when(F.col("_hit_key").isNull(), own).otherwise(let(parts, cut)).alias(c) if c == text else documents[c]
+        F.when(F.col(hit_key).isNull(), own).otherwise(let(parts, cut)).alias(c) if c == text else documents[c]
         for c in documents.columns])

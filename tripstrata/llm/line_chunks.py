@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.text import let
+from tripstrata.llm.text import fresh, let
 from tripstrata.sources.staging import stage_table
 
 WINDOW = 2
@@ -116,15 +116,16 @@ def marks(spans: Column) -> Column:
 
 def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
     """``documents`` with repeated chunks cut from ``text``, and ``n_lines``, ``n_removed`` (lines) added."""
+    row, out_of, spans = fresh(documents, "_row", "_gone_row", "_gone")
     gone = repeated_chunks(documents, key, text, **rules).groupBy("row").agg(
-        F.sort_array(F.collect_set(F.struct("first", "last"))).alias("_gone")).withColumnRenamed("row", "_gone_row")
-    joined = documents.withColumn("_row", row_of(key, text)).join(gone, F.col("_row") == F.col("_gone_row"), "left")
+        F.sort_array(F.collect_set(F.struct("first", "last"))).alias(spans)).withColumnRenamed("row", out_of)
+    joined = documents.withColumn(row, row_of(key, text)).join(gone, F.col(row) == F.col(out_of), "left")
     lines = F.split(documents[text], "\n")
-    dropped = F.aggregate("_gone", F.lit(0), lambda n, s: n + s["last"] - s["first"] + 1)
-    kept = let(marks(F.col("_gone")), lambda out: F.array_join(F.filter(
+    dropped = F.aggregate(spans, F.lit(0), lambda n, s: n + s["last"] - s["first"] + 1)
+    kept = let(marks(F.col(spans)), lambda out: F.array_join(F.filter(
         lines, lambda s, i: ~F.get(out, i).eqNullSafe("1")), "\n"))
     return joined.select(
-        *[F.when(F.col("_gone").isNull(), documents[c]).otherwise(kept).alias(c) if c == text else documents[c]
+        *[F.when(F.col(spans).isNull(), documents[c]).otherwise(kept).alias(c) if c == text else documents[c]
           for c in documents.columns],
         F.when(documents[text].isNotNull(), F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(dropped).cast("long").alias("n_removed"))
+        F.when(F.col(spans).isNull(), 0).otherwise(dropped).cast("long").alias("n_removed"))

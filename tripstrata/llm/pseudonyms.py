@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.text import let
+from tripstrata.llm.text import fresh, let
 
 ROUNDS = 10
 EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9\-]*\.)+[A-Za-z]{2,}"
@@ -271,17 +271,18 @@ def pseudonymise(documents: DataFrame, secret: str, text: str = "text", invert:
     own = documents[text]
     may = own.rlike("[0-9@]")
     none = F.array().cast("array<string>")
-    found = documents.select("*", F.when(may, F.regexp_extract_all(own, F.lit(ANY), 0)).otherwise(none).alias("_found"))
-    values = found.withColumn("_new", F.transform("_found", lambda v: F.struct(
-        v.alias("old"), kind_of(v).alias("kind")))).withColumn("_new", F.transform("_new", lambda m: F.struct(
+    own_values, renewed = fresh(documents, "_found", "_new")
+    found = documents.select("*", F.when(may, F.regexp_extract_all(own, F.lit(ANY), 0)).otherwise(none).alias(own_values))
+    values = found.withColumn(renewed, F.transform(own_values, lambda v: F.struct(
+        v.alias("old"), kind_of(v).alias("kind")))).withColumn(renewed, F.transform(renewed, lambda m: F.struct(
             m["old"].alias("old"), m["kind"].alias("kind"), pseudonym(m["old"], m["kind"], secret, invert).alias("new"))))
     filled = let(F.split(F.col(text), ANY), lambda gaps: F.concat(F.element_at(gaps, 1), F.array_join(F.transform(
-        F.col("_new"), lambda m, i: F.concat(F.coalesce(m["new"], m["old"]), F.get(gaps, i + 1))), "")))
+        F.col(renewed), lambda m, i: F.concat(F.coalesce(m["new"], m["old"]), F.get(gaps, i + 1))), "")))
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("_new", lambda m: (m["kind"] == kind) & m["new"].isNotNull())).cast("long")
+        return F.size(F.filter(renewed, lambda m: (m["kind"] == kind) & m["new"].isNotNull())).cast("long")
 
     return values.select(
-        *[F.when(F.size("_found") > 0, filled).otherwise(F.col(c)).alias(c) if c == text else F.col(c)
+        *[F.when(F.size(own_values) > 0, filled).otherwise(F.col(c)).alias(c) if c == text else F.col(c)
           for c in documents.columns],
         *[count(k).alias(f"n_{k}") for k in KINDS])

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from tripstrata.llm.components import connected_components
 from tripstrata.llm.line_chunks import row_of
 from tripstrata.llm.shingles import shingle_sets, signature
+from tripstrata.llm.text import fresh
 from tripstrata.sources.staging import drop_stage, stage_table
 
 #: Similarity as a fraction, exact in integers.
@@ -544,10 +545,11 @@ def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     Rows that share only the key are documents of their own; of rows that repeat in key and text one stays. All rows whose
     texts have no words stay.
     """
-    rows = documents.withColumn("_row", row_of(key, text))
-    found = stage_table(jaccard_components(rows, "_row", text).filter(F.col("_row") == F.col("component_id")).groupBy(
-        "_row").agg(F.count(F.lit(1)).alias("_copies"), F.max("n_shingles").alias("_n")), "kept-rows")
-    once = found.filter("_copies = 1 or _n = 0").select("_row")
-    again = found.filter("_copies > 1 and _n > 0").select("_row")
-    return rows.join(once, "_row", "left_semi").unionByName(
-        rows.join(again, "_row", "left_semi").dropDuplicates(["_row"])).select(documents.columns)
+    (row,) = fresh(documents, "_row")
+    rows = documents.withColumn(row, row_of(key, text))
+    found = stage_table(jaccard_components(rows, row, text).filter(F.col(row) == F.col("component_id")).groupBy(
+        row).agg(F.count(F.lit(1)).alias("_copies"), F.max("n_shingles").alias("_n")), "kept-rows")
+    once = found.filter("_copies = 1 or _n = 0").select(row)
+    again = found.filter("_copies > 1 and _n > 0").select(row)
+    return rows.join(once, row, "left_semi").unionByName(
+        rows.join(again, row, "left_semi").dropDuplicates([row])).select(documents.columns)

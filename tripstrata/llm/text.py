@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,3 +22,13 @@ def split_words(text: Column, between: str) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once, even where ``body`` uses it for each element of an array."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many ``_`` behind it as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+
+    def free(name: str) -> str:
+        return free(f"{name}_") if name.lower() in taken else name
+
+    return [free(n) for n in names]
