@@ -2,8 +2,10 @@
 
 import datetime
 import hashlib
+import random
 import re
 import textwrap
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,34 +205,45 @@ def test_pseudonyms_keep_columns(spark):
 
 # --- Line chunks -------------------------------------------------------------------
 
+def chunks_in_python(lines):
+    """(first, last) of the chunks, from 0, by the definition."""
+    hashes = [int(hashlib.md5(s.encode()).hexdigest()[:8], 16) for s in lines]
+    counts = [len([w for w in s.split(" ") if w]) for s in lines]
+    rolled = {i: (hashes[i - 1] * ch.BASE + hashes[i]) % ch.PRIME for i in range(1, len(lines))
+              if max(counts[i - 1:i + 1]) < ch.LONG_LINE and sum(counts[i - 1:i + 1]) >= ch.LEAST_WORDS}
+    out = [(i, i) for i, n in enumerate(counts) if n >= ch.LONG_LINE]
+    for i, own in rolled.items():
+        beside = [rolled.get(i - 1), rolled.get(i + 1)]
+        if None in beside or own <= max(beside) or sum(counts[i - 1:i + 1]) >= ch.LONG_LINE:
+            out.append((i - 1, i))
+    return sorted(out)
+
+
 def cut_in_python(docs):
     """(doc_id, text without later copies) by the definition, for sorted documents."""
-    seen, out = set(), {}
-    for key, text in docs:
-        if text is None:
-            out[key] = None
-            continue
-        lines = text.split("\n")
-        hashes = [int(hashlib.md5(s.encode()).hexdigest()[:8], 16) for s in lines]
-        counts = [len([w for w in s.split(" ") if w]) for s in lines]
-        kept, own = [], []
-        for i, line in enumerate(lines):
-            own.append(i)
-            rolled = 0
-            for back in range(ch.WINDOW - 1, -1, -1):
-                rolled = (rolled * ch.BASE + (hashes[i - back] if i >= back else 0)) % ch.PRIME
-            if not (rolled % ch.DIVISOR == 0 or counts[i] >= ch.LONG_LINE or i == len(lines) - 1
-                    or counts[i + 1] >= ch.LONG_LINE):
-                continue
-            body, words = "\n".join(lines[j] for j in own), sum(counts[j] for j in own)
-            wanted = words >= ch.LEAST_WORDS and (len(own) > 1 or words >= ch.LONG_LINE)
-            if not (wanted and body in seen):
-                kept += own
-            if wanted:
-                seen.add(body)
-            own = []
-        out[key] = "\n".join(lines[j] for j in kept)
-    return out
+    texts = {key: text.split("\n") for key, text in docs if text is not None}
+    cut = {key: chunks_in_python(lines) for key, lines in texts.items()}
+
+    def body(key, span):
+        return "\n".join(texts[key][span[0]:span[1] + 1])
+
+    times = Counter(body(key, span) for key, spans in cut.items() for span in spans)
+    asked = set()
+    for key, spans in cut.items():
+        own = [span for span in spans if times[body(key, span)] > 1]
+        for first, last in own:
+            asked.add((key, first, last))
+            if first > 0:
+                asked.add((key, first - 1, last))
+            if last + 1 < len(texts[key]):
+                asked.add((key, first, last + 1))
+    seen, gone = set(), set()
+    for key, first, last in sorted(asked):
+        if body(key, (first, last)) in seen:
+            gone |= {(key, i) for i in range(first, last + 1)}
+        seen.add(body(key, (first, last)))
+    return {key: None if text is None else "\n".join(s for i, s in enumerate(texts[key]) if (key, i) not in gone)
+            for key, text in docs}
 
 
 def line(n, words=8):
@@ -248,6 +261,35 @@ def test_repeated_chunks_go_and_shifts_do_not_matter(spark):
     assert all(len(got[n]) < len(rows[n][1]) - 300 for n in range(1, 12)) and got[0] == rows[0][1]
 
 
+def test_shared_passages_go_whole_wherever_they_stand(spark):
+    draw = random.Random(7)
+    rows, planted = [], {}
+    for n in range(300):
+        size = draw.choice([1, 2, 3, 4, 5, 8])
+        least = -(-ch.LONG_LINE // size)
+        passage = [line(f"p{n}k{k}", draw.randint(max(6, least), max(6, least) + 9)) for k in range(size)]
+        for copy in range(3):
+            around = [[line(f"o{n}c{copy}s{side}k{k}", draw.choice([0, 1, 4, 9, 30, 70])) for k in range(draw.randint(0, 6))]
+                      for side in range(2)]
+            rows.append((3 * n + copy, "\n".join([*around[0], *passage, *around[1]])))
+            planted[3 * n + copy] = passage, around
+    got = {r.doc_id: r.text for r in ch.dedup_lines(frame(spark, rows)).collect()}
+    assert got == cut_in_python(rows)
+    whole = [key for key, (passage, _) in planted.items() if key % 3 and not set(passage) & set(got[key].split("\n"))]
+    assert len(whole) == 600  # all later copies, none of a first one
+    assert all(got[key] == text for key, text in rows if key % 3 == 0)
+    for key, (passage, around) in planted.items():
+        assert [s for s in got[key].split("\n") if s not in passage and s] == [s for side in around for s in side if s]
+
+
+def test_lines_that_repeat_on_the_spot_and_periods(spark):
+    same, other = line(1), line(2)
+    rows = [(1, "\n".join([same] * 7)), (2, "\n".join([same, other] * 6)), (3, "\n".join([same, other])),
+            (4, "\n".join([line(3, 60)] * 3 + [same])), (5, "\n".join(["", line(3, 60), "", ""])), (6, same), (7, other)]
+    got = {r.doc_id: r.text for r in ch.dedup_lines(frame(spark, rows)).collect()}
+    assert got == cut_in_python(rows) and got[1] == same and got[6] == same and got[3] == ""
+
+
 def test_rows_that_share_a_key(spark):
     text = "\n".join(line(n) for n in range(20))
     docs = frame(spark, [(1, text, "a", 1), (1, text, "b", 2), (1, text + "\nmore", "c", 3), (2, "x", None, 4)],

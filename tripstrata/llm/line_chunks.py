@@ -1,18 +1,23 @@
 """Line dedup by content-defined chunks of lines.
 
-Each line has a hash; a rolling hash over ``window`` line hashes closes a chunk where it is a
-multiple of ``divisor``, so boundaries depend on the lines around them alone and survive shifts. A
-line of ``long_line`` words or more holds several wrapped lines and is a chunk of its own. Chunks of
-at least two lines, or of such a long line, and of at least ``least_words`` words, are compared by
-hash over all documents. Where a hash repeats, the chunk that comes first by key and place is the
-one that stays; every other is removed once its bytes equal those of the first.
+A rolling hash runs over the hashes of each two adjacent lines that hold ``least_words`` words or more together. A
+place closes a chunk, its two lines, where its rolling hash is not above one of its neighbours', where it has no such
+neighbour, or where the two lines hold ``long_line`` words; so of two places next to each other one is always chosen,
+by the lines around it alone, whatever comes before. A line of ``long_line`` words or more holds several wrapped lines and
+is a chunk of its own, which others do not reach into. A chunk that repeats anywhere is also
+taken with the line before it and with the line after it. All these spans are compared by hash over all documents; where a hash
+repeats, the span that comes first by key and place stays, and every other goes once its bytes equal those of the first.
+
+A run of lines that an earlier document has goes whole, wherever its lines stand: if it has three lines or more, each of six words or more,
+or two lines of ``long_line`` words together, or one such line. Of others only lines of few words, next to such ones, can stay. Spans
+are judged on the input, not on what is left: the first copy of a span can lose lines that another span, itself repeated, has.
 
 Only (hash, key, place) of the chunks is grouped, reduced in the map task first. Texts move twice,
-by key: to take out the chunks that need the byte comparison, and to cut the removed ones. A
+by key: to take out the spans that need the byte comparison, and to cut the removed ones. A
 chunk that a third of all rows have is one row of the grouped side, so its other side can be split.
 
 Defined results: NULL stays NULL and has no chunk; an empty text is one empty line, never removed;
-empty lines belong to chunks like others; lines end at ``\\n`` only; copies within one document go
+empty lines count as lines like others; lines end at ``\\n`` only; copies within one document go
 as well; rows that repeat in key and text are one document and stay alike, rows that share only the key
 are documents of their own. A text of which everything goes becomes empty. Extra columns pass
 unchanged, an empty table gives an empty result.
@@ -26,8 +31,6 @@ from pyspark.sql import functions as F
 from tripstrata.llm.text import fresh, let
 from tripstrata.sources.staging import stage_table
 
-WINDOW = 2
-DIVISOR = 2
 LONG_LINE = 50
 LEAST_WORDS = 12
 #: Multiplier and modulus of the rolling hash; line hashes are below the modulus, products below 2**63.
@@ -44,37 +47,68 @@ def word_count(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text, " "), ""))
 
 
-def chunk_ends(hashes: Column, counts: Column, window: int, divisor: int, long_line: int) -> Column:
-    """Numbers (from 1) of the lines that end a chunk, the last line always among them."""
-    n = F.size(hashes)
+def rolling(hashes: Column, counts: Column, long_line: int, least_words: int) -> Column:
+    """Per line the hash of it and the line before; NULL where the two are no chunk."""
+    def one(h: Column, i: Column) -> Column:
+        own, before = F.get(counts, i), F.get(counts, i - 1)
+        return F.when((i > 0) & (own < long_line) & (before < long_line) & (own + before >= least_words),
+                      F.pmod(F.get(hashes, i - 1) * F.lit(BASE) + h, F.lit(PRIME)))
 
-    def ends(i: Column) -> Column:
-        rolled = F.lit(0).cast("long")
-        for back in range(window - 1, -1, -1):
-            value = F.when(i > back, F.element_at(hashes, F.greatest(i - back, F.lit(1)))).otherwise(F.lit(0))
-            rolled = F.pmod(rolled * F.lit(BASE) + value, F.lit(PRIME))
-        return ((F.pmod(rolled, F.lit(divisor)) == 0) | (F.element_at(counts, i) >= long_line) | (i == n)
-                | (F.element_at(counts, F.least(i + 1, n)) >= long_line))
+    return F.transform(hashes, one)
 
-    return F.filter(F.sequence(F.lit(1), n), ends)
 
+def chunks_of(lines: Column, long_line: int, least_words: int) -> Column:
+    """The chunks (first, last, h) of ``lines``, with ``before`` and ``after``: the hashes of those grown by a line, or NULL."""
+    def span_hash(named: Column, first: Column, last: Column) -> Column:
+        return F.aggregate(F.sequence(first, last), (last - first).cast("long"), lambda a, i: F.xxhash64(a, F.get(named, i)))
 
-def chunks_of(lines: Column, window: int, divisor: int, long_line: int, least_words: int) -> Column:
-    """The chunks (first, last, h) of ``lines``; h is NULL for those that are not compared."""
-    def one(s: Column, hashes: Column, counts: Column) -> Column:
-        places = F.sequence(s["first"], s["last"])
-        return let(F.aggregate(places, F.lit(0), lambda a, i: a + F.get(counts, i - 1)), lambda words: F.struct(
-            s["first"].alias("first"), s["last"].alias("last"),
-            F.when((words >= least_words) & ((s["last"] > s["first"]) | (words >= long_line)), F.aggregate(
-                places, words.cast("long"), lambda a, i: F.xxhash64(a, F.get(hashes, i - 1)))).alias("h")))
+    def chunk(named: Column, first: Column, last: Column) -> Column:
+        return F.struct(
+            (first + 1).alias("first"), (last + 1).alias("last"), span_hash(named, first, last).alias("h"),
+            F.when(first > 0, span_hash(named, first - 1, last)).alias("before"),
+            F.when(last + 1 < F.size(named), span_hash(named, first, last + 1)).alias("after"))
 
-    def cut(hashes: Column, counts: Column, ends: Column) -> Column:
-        spans = F.transform(ends, lambda e, i: F.struct(
-            F.when(i == 0, F.lit(1)).otherwise(F.get(ends, i - 1) + 1).alias("first"), e.alias("last")))
-        return F.transform(spans, lambda s: one(s, hashes, counts))
+    def cut(counts: Column, rolled: Column, named: Column) -> Column:
+        def one(own: Column, i: Column) -> Column:
+            left, right, words = F.get(rolled, i - 1), F.get(rolled, i + 1), F.get(counts, i) + F.get(counts, i - 1)
+            chosen = left.isNull() | right.isNull() | (own <= left) | (own <= right) | (words >= long_line)
+            return F.when(F.get(counts, i) >= long_line, i).when(own.isNotNull() & chosen, i - 1)
 
-    return let(F.transform(lines, line_hash), lambda hashes: let(F.transform(lines, word_count), lambda counts: let(
-        chunk_ends(hashes, counts, window, divisor, long_line), lambda ends: cut(hashes, counts, ends))))
+        firsts = F.transform(rolled, one)
+        return F.filter(F.transform(firsts, lambda first, i: F.when(first.isNotNull(), chunk(named, first, i))),
+                        lambda c: c.isNotNull())
+
+    return let(F.transform(lines, word_count), lambda counts: let(
+        rolling(F.transform(lines, line_hash), counts, long_line, least_words), lambda rolled: let(
+            F.transform(lines, lambda line: F.xxhash64(line)), lambda named: cut(counts, rolled, named))))
+
+
+def grown(c: Column) -> Column:
+    """The spans (first, last, h, side) of a repeated chunk: the chunk (side 0), with the line before (-1) and the one after (1)."""
+    def span(first: Column, last: Column, h: Column, side: int) -> Column:
+        return F.when(h.isNotNull(), F.struct(first.alias("first"), last.alias("last"), h.alias("h"), F.lit(side).alias("side")))
+
+    return F.filter(F.array(span(c["first"] - 1, c["last"], c["before"], -1), span(c["first"], c["last"], c["h"], 0),
+                            span(c["first"], c["last"] + 1, c["after"], 1)), lambda s: s.isNotNull())
+
+
+def enough(spans: Column) -> Column:
+    """Those of a text's spans (start, end of their chunk, side, h), sorted, that together have every line the spans have.
+
+    A grown span is left out where its chunk is there and another chunk has the line it adds; such a chunk is one of
+    two at most, with three spans each.
+    """
+    def needed(s: Column, i: Column) -> Column:
+        line = F.when(s["side"] < 0, s["start"] - 1).otherwise(s["end"] + 1)
+        has = F.lit(False)
+        for k in range(1, 7):
+            other = F.get(spans, F.when(s["side"] < 0, i - k).otherwise(i + k))
+            has = has | F.coalesce((other["side"] == 0) & (other["start"] <= line) & (other["end"] >= line), F.lit(False))
+        beside = F.get(spans, i - s["side"])
+        own = F.coalesce((beside["side"] == 0) & (beside["start"] == s["start"]) & (beside["end"] == s["end"]), F.lit(False))
+        return (s["side"] == 0) | ~own | ~has
+
+    return F.filter(spans, needed)
 
 
 def row_of(key: str, text: str) -> Column:
@@ -82,50 +116,58 @@ def row_of(key: str, text: str) -> Column:
     return F.struct(F.col(key), F.xxhash64(F.col(text)).alias("h"))
 
 
-def chunks(documents: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-           divisor: int = DIVISOR, long_line: int = LONG_LINE, least_words: int = LEAST_WORDS) -> DataFrame:
+def chunks(documents: DataFrame, key: str = "doc_id", text: str = "text", long_line: int = LONG_LINE,
+           least_words: int = LEAST_WORDS) -> DataFrame:
     """(row, chunks): the chunks of each text that is not NULL."""
     return documents.filter(F.col(text).isNotNull()).select(row_of(key, text).alias("row"), let(
-        F.split(text, "\n"), lambda lines: chunks_of(lines, window, divisor, long_line, least_words)).alias("chunks"))
+        F.split(text, "\n"), lambda lines: chunks_of(lines, long_line, least_words)).alias("chunks"))
 
 
 def repeated_chunks(documents: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
-    """(row, first, last): the chunks to remove, each equal in bytes to one that comes before it."""
-    cut = chunks(documents, key, text, **rules)
-    rows = stage_table(cut.select("row", F.explode(F.filter("chunks", lambda c: c["h"].isNotNull())).alias("c")).select(
-        "row", "c.first", "c.last", "c.h"), "chunks")
-    again = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first")).alias("kept")).filter(
-        "n > 1").select("h", "kept")
-    asked = rows.join(again, "h").groupBy("row").agg(F.collect_set(F.struct(
-        "first", "last", "h", (F.struct("row", "first") == F.col("kept")).alias("is_kept"))).alias("asked"))
+    """(row, first, last): the spans to remove, each equal in bytes to one that comes before it."""
+    rows = stage_table(chunks(documents, key, text, **rules).select("row", F.explode("chunks").alias("c")).select(
+        "row", "c.*"), "chunks")
+    # Staged, so that both sides of the join come straight from an exchange and a chunk of very many rows can be split.
+    again = stage_table(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "repeated")
+    spans = stage_table(rows.join(again, "h").select("row", F.explode(grown(F.struct(
+        "first", "last", "h", "before", "after"))).alias("s")).select("row", "s.*"), "spans")
+    kept = stage_table(spans.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last")).alias("kept"))
+                       .filter("n > 1").select("h", "kept"), "kept")
+    later = spans.join(kept, "h").filter(F.struct("row", "first", "last") != F.col("kept")).groupBy("row").agg(
+        F.sort_array(F.collect_set(F.struct(
+            (F.col("first") + (F.col("side") < 0).cast("int")).alias("start"),
+            (F.col("last") - (F.col("side") > 0).cast("int")).alias("end"), "side", "h"))).alias("spans"))
+    later = stage_table(later.select("row", F.explode(enough(F.col("spans"))).alias("s")).select(
+        "row", (F.col("s.start") - (F.col("s.side") < 0).cast("int")).alias("first"),
+        (F.col("s.end") + (F.col("s.side") > 0).cast("int")).alias("last"), "s.h"), "later")
+    firsts = kept.join(later.select("h").distinct(), "h", "left_semi").select("kept.*", "h", F.lit(True).alias("is_kept"))
+    asked = firsts.unionByName(later.withColumn("is_kept", F.lit(False))).groupBy("row").agg(
+        F.collect_set(F.struct("first", "last", "h", "is_kept")).alias("asked"))
     texts = documents.select(row_of(key, text).alias("row"), F.col(text).alias("text")).join(asked, "row")
     bodies = stage_table(texts.select("row", F.split("text", "\n").alias("lines"), F.explode("asked").alias("a")).select(
         "row", "a.*", F.array_join(F.slice("lines", F.col("a.first"), F.col("a.last") - F.col("a.first") + 1), "\n")
         .alias("body")), "chunk-bodies", partition_by="is_kept")
-    # Staged, so that both sides of the join come straight from an exchange and a chunk of very many rows can be split.
     firsts = stage_table(bodies.filter("is_kept").select("h", F.col("body").alias("kept_body")).distinct(), "first-bodies")
     return bodies.filter("not is_kept").join(firsts, "h").filter("body = kept_body").select("row", "first", "last")
 
 
-def marks(spans: Column) -> Column:
-    """For sorted spans (first, last), which do not overlap: "1" at the places in one, "0" before and between."""
-    return F.split(F.array_join(F.transform(spans, lambda s, i: F.concat(
-        F.repeat(F.lit("0"), s["first"] - F.coalesce(F.get(spans, i - 1)["last"], F.lit(0)) - 1),
-        F.repeat(F.lit("1"), s["last"] - s["first"] + 1))), ""), "")
+def marks(places: Column) -> Column:
+    """For sorted numbers of lines: "1" at these, "0" before and between."""
+    return F.split(F.array_join(F.transform(places, lambda p, i: F.concat(
+        F.repeat(F.lit("0"), p - F.coalesce(F.get(places, i - 1), F.lit(0)) - 1), F.lit("1"))), ""), "")
 
 
 def dedup_lines(documents: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
     """``documents`` with repeated chunks cut from ``text``, and ``n_lines``, ``n_removed`` (lines) added."""
-    row, out_of, spans = fresh(documents, "_row", "_gone_row", "_gone")
-    gone = repeated_chunks(documents, key, text, **rules).groupBy("row").agg(
-        F.sort_array(F.collect_set(F.struct("first", "last"))).alias(spans)).withColumnRenamed("row", out_of)
+    row, out_of, places = fresh(documents, "_row", "_gone_row", "_gone")
+    gone = repeated_chunks(documents, key, text, **rules).groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(
+        F.collect_set(F.sequence("first", "last"))))).alias(places)).withColumnRenamed("row", out_of)
     joined = documents.withColumn(row, row_of(key, text)).join(gone, F.col(row) == F.col(out_of), "left")
     lines = F.split(documents[text], "\n")
-    dropped = F.aggregate(spans, F.lit(0), lambda n, s: n + s["last"] - s["first"] + 1)
-    kept = let(marks(F.col(spans)), lambda out: F.array_join(F.filter(
+    kept = let(marks(F.col(places)), lambda out: F.array_join(F.filter(
         lines, lambda s, i: ~F.get(out, i).eqNullSafe("1")), "\n"))
     return joined.select(
-        *[F.when(F.col(spans).isNull(), documents[c]).otherwise(kept).alias(c) if c == text else documents[c]
+        *[F.when(F.col(places).isNull(), documents[c]).otherwise(kept).alias(c) if c == text else documents[c]
           for c in documents.columns],
         F.when(documents[text].isNotNull(), F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
-        F.when(F.col(spans).isNull(), 0).otherwise(dropped).cast("long").alias("n_removed"))
+        F.when(F.col(places).isNull(), 0).otherwise(F.size(places)).cast("long").alias("n_removed"))

@@ -86,19 +86,22 @@ with l as (select doc_id, i, ls[i] s, ('0x' || md5(ls[i])[1:8])::bigint h,
     len(list_filter(string_split(ls[i], ' '), lambda x: x <> '')) c, len(ls) n from (
   select doc_id, ls, unnest(generate_series(1, len(ls))) i from (
     select doc_id, string_split(text, chr(10)) ls from documents where text is not null))),
-r as (select *, coalesce(lag(h) over w, 0) p, coalesce(lead(c) over w, 0) nc from l
-  window w as (partition by doc_id order by i)),
-e as (select *, (((p * {ch.BASE} + h) % {ch.PRIME}) % {ch.DIVISOR} = 0 or c >= {ch.LONG_LINE}
-  or nc >= {ch.LONG_LINE} or i = n) as is_end from r),
-g as (select *, sum(is_end::int) over (partition by doc_id order by i) - is_end::int k from e),
-c as (select doc_id, k, min(i) first, count(*) m, sum(c) words, string_agg(s, chr(10) order by i) body
-  from g group by doc_id, k),
-f as (select *, row_number() over (partition by body order by doc_id, first) nr from c
-  where words >= {ch.LEAST_WORDS} and (m >= 2 or words >= {ch.LONG_LINE})),
-x as (select doc_id, k from f where nr > 1),
-o as (select g.doc_id, count(*) n_lines, count(*) filter (x.k is not null) n_removed,
-    string_agg(s, chr(10) order by i) filter (x.k is null) t
-  from g left join x on g.doc_id = x.doc_id and g.k = x.k group by g.doc_id)
+r as (select *, lag(s) over w ps, lead(s) over w ns, case when lag(c) over w < {ch.LONG_LINE} and c < {ch.LONG_LINE}
+    and lag(c) over w + c >= {ch.LEAST_WORDS} then (lag(h) over w * {ch.BASE} + h) % {ch.PRIME} end r,
+    lag(c) over w + c cc, lag(s, 2) over w pps from l window w as (partition by doc_id order by i)),
+e as (select *, coalesce(r <= lag(r) over w, true) or coalesce(r <= lead(r) over w, true) or cc >= {ch.LONG_LINE} chosen
+  from r window w as (partition by doc_id order by i)),
+c as (select doc_id, i first, i last, n, s body, ps b, ns a from e where c >= {ch.LONG_LINE}
+  union all select doc_id, i - 1, i, n, ps || chr(10) || s, pps, ns from e where r is not null and chosen),
+m as (select * from (select *, count(*) over (partition by body) times from c) where times > 1),
+f as (select *, row_number() over (partition by body order by doc_id, first) nr from (
+  select doc_id, first, last, body from m
+  union select doc_id, first - 1, last, b || chr(10) || body from m where first > 1
+  union select doc_id, first, last + 1, body || chr(10) || a from m where last < n)),
+x as (select distinct doc_id, unnest(generate_series(first, last)) i from f where nr > 1),
+o as (select l.doc_id, count(*) n_lines, count(*) filter (x.i is not null) n_removed,
+    string_agg(s, chr(10) order by l.i) filter (x.i is null) t
+  from l left join x on l.doc_id = x.doc_id and l.i = x.i group by l.doc_id)
 select d.doc_id, case when text is not null then coalesce(t, '') end as text,
   coalesce(n_lines, 0)::bigint n_lines, coalesce(n_removed, 0)::bigint n_removed
 from documents d left join o on d.doc_id = o.doc_id""")
