@@ -59,14 +59,14 @@ def rolling(hashes: Column, counts: Column, long_line: int, least_words: int) ->
 
 def chunks_of(lines: Column, long_line: int, least_words: int) -> Column:
     """The chunks (first, last, h) of ``lines``, with ``before`` and ``after``: the hashes of those grown by a line, or NULL."""
-    def span_hash(named: Column, first: Column, last: Column) -> Column:
-        return F.aggregate(F.sequence(first, last), (last - first).cast("long"), lambda a, i: F.xxhash64(a, F.get(named, i)))
-
     def chunk(named: Column, first: Column, last: Column) -> Column:
+        before, after = F.get(named, first - 1), F.get(named, last + 1)
+        # NULLs are passed over, so the hash of a span is that of its lines alone.
+        own = [F.get(named, first), F.when(last > first, F.get(named, last))]
         return F.struct(
-            (first + 1).alias("first"), (last + 1).alias("last"), span_hash(named, first, last).alias("h"),
-            F.when(first > 0, span_hash(named, first - 1, last)).alias("before"),
-            F.when(last + 1 < F.size(named), span_hash(named, first, last + 1)).alias("after"))
+            (first + 1).alias("first"), (last + 1).alias("last"), F.xxhash64(*own).alias("h"),
+            F.when(before.isNotNull(), F.xxhash64(before, *own)).alias("before"),
+            F.when(after.isNotNull(), F.xxhash64(*own, after)).alias("after"))
 
     def cut(counts: Column, rolled: Column, named: Column) -> Column:
         def one(own: Column, i: Column) -> Column:
