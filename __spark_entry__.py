@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from oracle_base import BAND, CENTROIDS, SITES, eta, hav, long_sql, psi_ctes, rnd, state, with_ctes  # noqa: E402
+from oracle_base import BAND, CENTROIDS, CTES, SITES, eta, hav, long_sql, psi_ctes, rnd, state, with_ctes  # noqa: E402
 from oracle_base import _near  # noqa: E402
 from tripstrata.config import INTENSITIES, MODEL, RULE_NAMES, THRESHOLDS, TableNames  # noqa: E402
 from tripstrata.functions import calendar as cal  # noqa: E402
@@ -1333,6 +1333,20 @@ def _(spark, sf):
         F.col(a).alias("a"), F.col(b).cast("string").alias("b")) for layer, (a, b) in shown.items()])
 
 
+def demand_sql(span):
+    """The demand table of the trips of some days."""
+    return CTES["demand"].replace("FROM zoned GROUP BY ALL", f"FROM zoned WHERE {span} GROUP BY ALL")
+
+
+@query("batch_demand", with_ctes(demand_sql("pickup_datetime >= '2024-01-01' AND pickup_datetime < '2024-01-22'"), "zoned"))
+def _(spark, sf):
+    """The demand table after three weeks, one of them taken twice, each merged into the counts kept of the others."""
+    folder = f"{scratch_dir(spark)}/stages/demand-{uuid.uuid4().hex}"
+    for date in ("2024-01-22", "2024-01-08", "2024-01-15", "2024-01-08"):
+        stored = batches.run_batch(raw_trips(spark, sf), date, folder, CENTROIDS, LIMITS)
+    return stored["demand"]
+
+
 @query("run_alerts", with_ctes(ALERTS_SQL.replace(
     "SELECT pickup_cluster FROM train GROUP BY 1 HAVING count(*) > 0.05 * (SELECT count(*) FROM train)\n          EXCEPT SELECT pickup_cluster FROM test",
     "(SELECT 'c', pickup_cluster FROM train GROUP BY 2 HAVING count(*) > 0.05 * (SELECT count(*) FROM train) "

@@ -1,5 +1,6 @@
 """Weeks and late deliveries in any order equal one full run."""
 
+import datetime
 import random
 from dataclasses import replace
 
@@ -8,10 +9,11 @@ from pyspark.sql import functions as F
 
 from oracle_base import CENTROIDS
 from tripstrata.config import THRESHOLDS
+from tripstrata.operators.demand import demand_aggregate
 from tripstrata.plans import batches
 from tripstrata.plans.silver import flagged_trips
 from tripstrata.sources.event_trips import raw_trips
-from tripstrata.streaming import copies
+from tripstrata.streaming import copies, demand_state
 from tripstrata.streaming.incremental import incremental_batch, partitions, replace_days
 
 LIMITS = replace(THRESHOLDS, split_cutoff="2024-01-24")
@@ -29,6 +31,9 @@ def same(stored, wanted):
         assert sorted(stored[name].columns) == sorted(wanted[name].columns)
         a, b = stored[name].select(columns), wanted[name].select(columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    a, b = stored["demand"], demand_aggregate(wanted["analytics"])
+    assert a.dtypes == b.dtypes
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, "demand"
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +120,47 @@ def test_a_day_without_rows_loses_its_files(spark, sf, tmp_path):
     stored = replace_days(incremental_batch(less, "2024-01-15", "ts"), path, covered=covered)
     assert stored.count() == less.filter("ts >= '2024-01-08' AND ts < '2024-01-15'").count()
     assert replace_days(incremental_batch(events.limit(0), "2024-01-15", "ts"), path, covered=covered).count() == 0
+
+
+def trips(spark, rows):
+    return spark.createDataFrame(rows, "fecha date, lote string, pickup_cluster int, pickup_hour int, pickup_dayofweek int, "
+                                       "trip_duration long, distancia_haversine_km double, passenger_count int")
+
+
+def drawn(day, n, seed, keys=3):
+    draw = random.Random(seed)
+    value = lambda x: None if draw.random() < 0.1 else x
+    return [(day, "x", value(draw.randrange(keys)), draw.randrange(2), day.isoweekday(), value(draw.randrange(5, 900)),
+             value(draw.choice([0.0, -1.5, 2.5, draw.expovariate(0.2), 3 + draw.random() / 1e6])), value(draw.randrange(7))) for _ in range(n)]
+
+
+def test_only_changed_keys_are_computed_and_failures_are_made_up_for(spark, tmp_path, monkeypatch):
+    folder, week = str(tmp_path), [datetime.date(2024, 1, d) for d in range(8, 15)]
+    rows = {day: drawn(day, 120, k) for k, day in enumerate(week)}
+    asked, original = [], demand_state.merged_demand
+
+    def seen(values, *rest):
+        asked.append({r[0] for r in values.select("pickup_dayofweek").distinct().collect()})
+        return original(values, *rest)
+
+    def run(days):
+        analytics = trips(spark, [r for own in rows.values() for r in own])
+        analytics.write.mode("overwrite").partitionBy("fecha", "lote").parquet(f"{folder}/analytics")
+        names = {str(d) for d in days}
+        out = demand_state.update_demand(spark.read.schema(analytics.schema).parquet(f"{folder}/analytics"), folder, lambda p: p["fecha"] in names)
+        wanted = demand_aggregate(analytics)
+        assert out.exceptAll(wanted).count() == 0 and wanted.exceptAll(out).count() == 0
+        return out
+
+    monkeypatch.setattr(demand_state, "merged_demand", seen)
+    run(week)
+    rows[week[2]] = drawn(week[2], 90, 50, keys=2)  # keys that lose all rows, and others that change
+    run(week[2:3])
+    assert asked == [set(range(1, 8)), {3}]
+    rows[week[4]] = []  # a weekday that is left without a row
+    monkeypatch.setattr(demand_state, "merged_demand", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(week[4:5])
+    monkeypatch.setattr(demand_state, "merged_demand", original)
+    out = run(week[4:5])  # its old counts are gone by now, its keys are not
+    assert out.filter("pickup_dayofweek = 5").count() == 0 and not (tmp_path / demand_state.PENDING).exists()

@@ -38,6 +38,11 @@ def demand_aggregate(df: DataFrame, keys: Sequence[str] = ("pickup_cluster", "pi
     )
     for value, name in (("trip_duration", "duracion_mediana_seg"), ("distancia_haversine_km", "distancia_mediana_km")):
         grouped = _with_median(grouped, df, keys, value, name)
+    return demand_columns(grouped, keys)
+
+
+def demand_columns(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The demand table from its counts, mean and medians."""
     grouped = grouped.select(*keys, "n_viajes", "duracion_mediana_seg", "distancia_mediana_km", "pasajeros_promedio")
     hours = F.col("duracion_mediana_seg") / 3600.0
     return grouped.withColumns({
@@ -46,12 +51,17 @@ def demand_aggregate(df: DataFrame, keys: Sequence[str] = ("pickup_cluster", "pi
     })
 
 
-def _with_median(groups: DataFrame, rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """``groups`` with the lower median of ``value``, in the type of the column; NULL keys match."""
-    found = lower_quantiles(rows, keys, value, [0.5], [name]).drop("n").withColumnsRenamed({k: f"_{k}" for k in keys})
+def join_keys(groups: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``groups`` with what is ``found`` for some of them; NULL keys match."""
+    found = found.withColumnsRenamed({k: f"_{k}" for k in keys})
     same = reduce(and_, [groups[k].eqNullSafe(found[f"_{k}"]) for k in keys])
-    kind = rows.schema[value].dataType
-    return groups.join(found, same, "left").drop(*[f"_{k}" for k in keys]).withColumn(name, F.col(name).cast(kind))
+    return groups.join(found, same, "left").drop(*[f"_{k}" for k in keys])
+
+
+def _with_median(groups: DataFrame, rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``groups`` with the lower median of ``value``, in the type of the column."""
+    found = lower_quantiles(rows, keys, value, [0.5], [name]).drop("n")
+    return join_keys(groups, found, keys).withColumn(name, F.col(name).cast(rows.schema[value].dataType))
 
 
 def hour_profile(demand: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ SLOTS = 4096
 Rank = Callable[[Column], Column]
 
 
-def _magnitude_step(value: Column) -> Column:
+def magnitude_step(value: Column) -> Column:
     """Integer that never falls as ``value`` grows: signed logarithm in fixed steps."""
     size = F.least(F.greatest(F.abs(value), F.lit(2.0**SMALLEST_OCTAVE)), F.lit(2.0**1000))
     step = F.floor((F.log2(size) - SMALLEST_OCTAVE) * STEPS_PER_OCTAVE).cast("int")
@@ -80,11 +80,12 @@ def _columns_by_position(hits: DataFrame, keys: list[str], names: Sequence[str])
 
 
 def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: Sequence[Rank], names: Sequence[str],
-                     domain: str = "continuous", weight: str | None = None) -> DataFrame:
+                     domain: str = "continuous", weight: str | None = None, steps: DataFrame | None = None) -> DataFrame:
     """Values at 0-based ``ranks`` (functions of the group size) of each group, and the size ``n``.
 
     NULL values are not counted. ``weight`` is for rows that already stand for several
-    (value counts), in the discrete search only. The continuous search stages its two small intermediate
+    (value counts). ``steps`` is the histogram of the continuous search, if it is kept already: the keys, ``_step``,
+    ``_n``, ``_low`` and ``_high``. The continuous search stages its two small intermediate
     tables, so it runs two jobs when called; whether the wanted steps are broadcast follows
     from their size on disk.
     """
@@ -98,18 +99,21 @@ def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: Sequ
         counted = rows.groupBy(*own_keys, "_v").agg(times.alias("_n"))
         found = _rank_hits(counted, own_keys, ["_v"], ranks)
     elif domain == "continuous":
-        found = _narrowed(rows, own_keys, ranks)
+        if steps is not None and not keys:
+            steps = steps.withColumn("_all_rows", F.lit(0))
+        found = _narrowed(rows, own_keys, ranks, steps)
     else:
         raise ValueError(f"unknown domain: {domain}")
     result = _columns_by_position(found, own_keys, names)
     return result if keys else result.drop("_all_rows")
 
 
-def _narrowed(rows: DataFrame, keys: list[str], ranks: Sequence[Rank]) -> DataFrame:
-    rows = rows.withColumn("_v", F.col("_v").cast("double")).withColumn("_step", _magnitude_step(F.col("_v")))
-    steps = rows.groupBy(*keys, "_step").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
-    )
+def _narrowed(rows: DataFrame, keys: list[str], ranks: Sequence[Rank], steps: DataFrame | None = None) -> DataFrame:
+    weights = [c for c in rows.columns if c == "_n"]
+    times = F.sum("_n") if weights else F.count(F.lit(1))
+    rows = rows.withColumn("_v", F.col("_v").cast("double")).withColumn("_step", magnitude_step(F.col("_v")))
+    if steps is None:
+        steps = rows.groupBy(*keys, "_step").agg(times.alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     spans = stage_table(
         _rank_hits(steps, keys, ["_step"], ranks)
         .groupBy(*keys, "_step", "_low", "_high", "_all").agg(_wanted_here()),
@@ -120,8 +124,8 @@ def _narrowed(rows: DataFrame, keys: list[str], ranks: Sequence[Rank]) -> DataFr
     slot = F.coalesce(F.floor((F.col("_v") - F.col("_low")) / width * SLOTS).cast("int"), F.lit(0))
     cells = stage_table(
         _join(rows, spans.drop("_wanted", "_all"), [*keys, "_step"])
-        .select(*_qualified("r", [*keys, "_step"]), "_v", slot.alias("_slot"))
-        .groupBy(*keys, "_step", "_slot", "_v").agg(F.count(F.lit(1)).alias("_n")),
+        .select(*_qualified("r", [*keys, "_step"]), "_v", slot.alias("_slot"), *weights)
+        .groupBy(*keys, "_step", "_slot", "_v").agg(times.alias("_n")),
         "cells",
     )
     # The slot that holds each rank, then the value within the slot.
@@ -174,10 +178,11 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Seq
 
 
 def lower_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float],
-                    names: Sequence[str], domain: str = "continuous") -> DataFrame:
+                    names: Sequence[str], domain: str = "continuous", weight: str | None = None,
+                    steps: DataFrame | None = None) -> DataFrame:
     """The smallest value that at least a share ``p`` of the group does not exceed, and the size ``n``."""
     ranks = [lambda n, p=p: F.greatest(F.ceil(F.lit(float(p)) * n) - 1, F.lit(0)) for p in probabilities]
-    return order_statistics(df, keys, value, ranks, list(names), domain)
+    return order_statistics(df, keys, value, ranks, list(names), domain, weight, steps)
 
 
 def quantile_cuts(df: DataFrame, keys: Sequence[str], value: str, bins: int = 10, domain: str = "continuous") -> DataFrame:

@@ -25,6 +25,7 @@ from tripstrata.plans.gold import analytics_frame, enrich
 from tripstrata.sources.audit import row_hash
 from tripstrata.sources.staging import drop_stage, stage_table
 from tripstrata.streaming.copies import build_filters, may_hold
+from tripstrata.streaming.demand_state import update_demand
 from tripstrata.streaming.incremental import batch_days, clear_partitions, incremental_batch, partitions, write_partitions
 
 #: In the order in which a run writes them: what tells stored rows comes last, then their filters.
@@ -66,6 +67,7 @@ def write_layers(rows: DataFrame, folder: str, centroids: Sequence[tuple[float,
         write_partitions(frame, f"{folder}/{name}", KEYS)
         clear_partitions(spark, f"{folder}/{name}", lambda p, own=held[name]: emptied(p) and (p["fecha"], p["lote"]) not in own, 2)
         kept[name] = spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+    kept["demand"] = update_demand(kept["analytics"], folder, emptied, KEYS)
     kept["quality"] = spark.createDataFrame(metrics.collect(), metrics.schema)  # one row per rule
     drop_stage(flagged)
     return kept
@@ -77,8 +79,8 @@ def run_batch(raw: DataFrame, process_date: str, folder: str, centroids: Sequenc
 
     ``raw`` holds all rows of those days: what is stored for them, of any delivery, is replaced, and a day without rows
     ends without files. ``centroids`` are those of the first full run, so a zone keeps its meaning. Rows whose pickup does
-    not parse belong to no day; a full load counts and rejects them. Returns the stored layers and, as ``quality``, the
-    metrics of the batch.
+    not parse belong to no day; a full load counts and rejects them. Returns the stored layers, the demand table of all
+    days, brought up to date from kept counts, as ``demand``, and the metrics of the batch as ``quality``.
     """
     typed = incremental_batch(apply_types(hashed(raw)), process_date, days=days)
     rows = dedup_exact(typed).withColumn("lote", F.lit(WEEKLY))
