@@ -41,6 +41,7 @@ from tripstrata.plans import alerting, batches, bronze, eda, gold, model, monito
 from tripstrata.sources import audit, readers, writers  # noqa: E402
 from tripstrata.sources.event_trips import FIRST_DAY, SPLIT_CUTOFF, raw_trips  # noqa: E402
 from tripstrata.sources.staging import scratch_dir, stage_table  # noqa: E402
+from tripstrata.streaming import demand_state  # noqa: E402
 from tripstrata.streaming.incremental import batch_days, incremental_batch, replace_days  # noqa: E402
 
 LIMITS = replace(THRESHOLDS, split_cutoff=SPLIT_CUTOFF)
@@ -1344,7 +1345,8 @@ def _(spark, sf):
     folder = f"{scratch_dir(spark)}/stages/demand-{uuid.uuid4().hex}"
     for date in ("2024-01-22", "2024-01-08", "2024-01-15", "2024-01-08"):
         stored = batches.run_batch(raw_trips(spark, sf), date, folder, CENTROIDS, LIMITS)
-    return stored["demand"]
+    # The SQL's distances have six places, so the speed follows from a median of six places here too.
+    return dm.demand_columns(r6(stored["demand"], "distancia_mediana_km"), demand_state.KEYS)
 
 
 @query("run_alerts", with_ctes(ALERTS_SQL.replace(
