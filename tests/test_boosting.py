@@ -127,3 +127,17 @@ def test_many_values_and_labels_share_bins(spark):
     assert 200 <= len(bins.cuts[0]) <= 254 and len(bins.labels[0]) == 255 and max(bins.sizes) <= 256
     encoded = bins.encode([np.array([-1.0, 19_999.0, np.nan]), np.array(["0", "never", None], object)])
     assert encoded[0].tolist() == [0, len(bins.cuts[0]), len(bins.cuts[0]) + 1] and encoded[1, 1] == encoded[1, 2] == 255
+
+
+def test_passes_send_counts_in_the_smallest_type_and_small_tables_have_few_tasks(spark):
+    n, s = bo.packed_counts(np.array([[[0.0, 300.0]], [[0.5, -2.0]]]))
+    assert n.dtype == np.uint16 and n.tolist() == [[0, 300]] and s.tolist() == [[0.5, -2.0]]
+    total = bo.add_counts((n, s), (np.array([[65535, 65535]], np.uint16), s))
+    assert total[0].tolist() == [[65535, 65835]] and total[1].tolist() == [[1.0, -4.0]]
+    rows = spark.range(0, 4000, 1, 8).selectExpr("double(id % 100) AS x", "string(id % 3) AS k", "double(id % 100) AS y")
+    bins = bo.fit_bins(rows, ["x"], ["k"])
+    blocks = bo.binned_blocks(rows, bins, "y", block_rows=100).coalesce(1)
+    models, state = bo.train(blocks, bins, [bo.Fit(bo.BoostingParams(3, 2, 0.5))])
+    assert state.getNumPartitions() == 1
+    assert models[0].trees[0].depth == 3
+    state.unpersist()
