@@ -57,6 +57,21 @@ def test_trees_know_the_labels_and_beat_the_median(data):
     assert order[:2] == ["x", "k"] and importance.first().importancia > 0.5
 
 
+def test_importance_of_trees_bins_rows_once_and_equals_that_of_scored_rows(data, monkeypatch):
+    train, number = data.filter("k <> 'k3'"), F.substring("id", 3, 9).cast("int")
+    odd = data.withColumns({"x": F.when(number % 7 != 0, F.col("x")), "k": F.when(number % 5 != 0, F.col("k")),
+                            "y_log": F.when(number % 11 != 0, F.col("y_log"))})
+    model = models.fit_gbt(train, models.BoostingParams(None, 5, 0.3), SMALL)
+    with monkeypatch.context() as m:
+        m.setattr(models, "_tree_scores", models._row_scores)
+        wanted = models.permutation_importance(model, odd, SMALL).collect()
+    monkeypatch.setattr(type(model), "transform", None)
+    got = models.permutation_importance(model, odd, SMALL).collect()
+    assert [r.variable for r in got] == [r.variable for r in wanted]
+    for name in ("importancia", "desviacion"):
+        assert np.allclose([r[name] for r in got], [r[name] for r in wanted], atol=1e-9)
+
+
 def test_forward_search_picks_the_smallest_error(data):
     grid = (models.BoostingParams(1, 2, 0.05), models.BoostingParams(4, 10, 0.3))
     best, found = models.forward_search(data, forward_windows("2024-01-01", "2024-01-29", 3), grid, columns=SMALL)
