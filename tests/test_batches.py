@@ -89,6 +89,34 @@ def test_nothing_is_compared_where_filters_exclude_copies(spark, raw, tmp_path,
     assert "2024-01-09" in days and not any(d >= "2024-01-15" for d in days) and len(days) < 7
 
 
+def test_raw_rows_are_read_and_typed_once(spark, raw, tmp_path):
+    folder, seen = str(tmp_path / "layers"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        seen.add(1)
+        return text
+
+    week = raw.filter("pickup_datetime >= '2024-01-08' AND pickup_datetime < '2024-01-15'").drop("n")
+    rows, n = week.withColumn("id", noted("id")), week.count()
+    batches.run_batch(rows, "2024-01-15", folder, CENTROIDS, LIMITS)
+    assert seen.value == n > 0
+    stored = batches.late_batch(rows, "a", folder, CENTROIDS, LIMITS)
+    assert seen.value == 2 * n and stored["clean"].filter("lote = 'a'").count() == 0
+
+
+def test_sizes_are_sent_to_the_rows_of_filters(spark):
+    rows = spark.range(100).select((F.col("id") % 3).alias("part"), F.sha2(F.col("id").cast("string"), 256).alias("_row_hash"))
+    key = "spark.sql.autoBroadcastJoinThreshold"  # as for a table whose size says nothing
+    usual = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = copies.build_filters(rows, ["part"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, usual)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_filters_hold_all_rows_and_few_others(spark):
     rows = spark.range(30_000).select(
         F.when(F.col("id") < 25_000, "a").otherwise("b").alias("part"), F.sha2(F.col("id").cast("string"), 256).alias("_row_hash"))
