@@ -141,3 +141,35 @@ def test_passes_send_counts_in_the_smallest_type_and_small_tables_have_few_tasks
     assert state.getNumPartitions() == 1
     assert models[0].trees[0].depth == 3
     state.unpersist()
+
+
+def test_fits_grown_whole_in_tasks_equal_shared_passes(small, monkeypatch):
+    rows, _, _ = small
+    rows = rows.withColumns({"x": F.when(F.col("n") % 9 != 0, F.col("x")), "k": F.when(F.col("n") % 11 != 0, F.col("k")),
+                             "y": F.when(F.col("n") % 13 != 0, F.col("y"))})
+    bins = bo.fit_bins(rows, ["x", "z"], ["k"])
+    blocks = bo.binned_blocks(rows, bins, "y", "day", block_rows=40)
+    settings = [bo.BoostingParams(2, 6, 0.3), bo.BoostingParams(None, 9, 0.2, 12, 5), bo.BoostingParams(4, 3, 0.5, 31, 1)]
+    fits = [bo.Fit(p, d) for p in settings for d in (19_723 + 9, 19_723 + 20)] + [bo.Fit(settings[0])]
+    checks = [(f.until, f.until + 8) for f in fits[:-1]] + [(30_000, 30_001)]  # the last has nothing to check
+    shared = bo.validate(blocks, bins, fits, checks, 0.0, 1e9, task_bytes=0)
+    # Rows of a node are counted in several parts.
+    monkeypatch.setattr(bo, "COUNTED_ROWS", 30)
+    monkeypatch.setattr(bo, "train", None)
+    whole = bo.validate(blocks, bins, fits, checks, 0.0, 1e9)
+    assert whole[0] == shared[0] and whole[1] == pytest.approx(shared[1], abs=1e-12)
+    assert min(whole[0][:-1]) > 0 and whole[0][-1] == 0 and whole[1][-1] == 0
+    with pytest.raises(ValueError):
+        bo.validate(blocks, bins, [bo.Fit(settings[0], 19_723)], [(19_723, 19_730)], 0.0, 1e9)
+
+
+def test_a_held_tree_leaves_its_values_in_the_residuals():
+    rng = np.random.RandomState(8)
+    bins = bo.Bins(("x",), ("k",), (tuple(range(9)),), (tuple("abcd"),))
+    encoded = np.array([rng.randint(0, 11, 500), rng.randint(0, 5, 500)], np.uint8)
+    y = rng.randn(500) + (encoded[0] > 6) - 2.0 * (encoded[1] == 2)
+    held = bo.HeldRows(encoded, y - y.mean(), bins)
+    trees = tuple(held.grow(bo.BoostingParams(None, 4, 0.5, 7, 10)) for _ in range(4))
+    assert all((tree.left == np.arange(len(tree.left))).sum() <= 7 for tree in trees)
+    model = bo.BoostedTrees(bins, y.mean(), trees, bo.BoostingParams(None, 4, 0.5, 7, 10))
+    assert np.allclose(held.residual, y - model.raw(encoded), atol=1e-12)

@@ -80,6 +80,16 @@ def test_forward_search_picks_the_smallest_error(data):
     assert rows[1].rmsle_promedio < rows[0].rmsle_promedio
 
 
+def test_jobs_of_a_search_do_not_grow_with_its_trees(spark, data):
+    windows, jobs = forward_windows("2024-01-01", "2024-01-29", 3), []
+    for trees in (2, 30):
+        spark.sparkContext.setJobGroup(f"search of {trees}", "")
+        models.forward_search(data, windows, (models.BoostingParams(3, trees, 0.1),), columns=SMALL)[1].collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"search of {trees}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs[1] <= jobs[0] + 2
+
+
 def test_median_model_falls_back_to_the_global_median(spark):
     train = spark.createDataFrame([(1, 10), (1, 30), (2, 50), (None, 70)], "k int, trip_duration int")
     rows = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
